@@ -1,0 +1,62 @@
+"""Joins that stay balanced when one key holds a large share of the rows."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, functions as F
+
+# At most this many keys are treated as heavy. The 1001st largest key holds less than
+# 1/1000 of the rows, so the table that is broadcast has a fixed size and the rest is balanced.
+MAX_HEAVY_KEYS = 1000
+ROWS_PER_SPLIT = 1_000_000
+
+
+def heavy_keys(df: DataFrame, keys: Sequence[str], rows_per_split: int = ROWS_PER_SPLIT) -> DataFrame:
+    """The keys with more than ``rows_per_split`` rows and the number of splits each needs."""
+    return (
+        df.groupBy(*keys)
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .filter(F.col("_n") > rows_per_split)
+        .orderBy(F.col("_n").desc(), *keys)
+        .limit(MAX_HEAVY_KEYS)
+        .select(*keys, F.ceil(F.col("_n") / rows_per_split).cast("int").alias("_splits"))
+    )
+
+
+def _has_null(keys: Sequence[str]) -> Column:
+    return F.array_contains(F.array(*[F.col(k).isNull() for k in keys]), True)
+
+
+def spread_join(
+    left: DataFrame,
+    right: DataFrame,
+    on: Sequence[str],
+    how: str = "left",
+    spread_by: Sequence[str] | None = None,
+    rows_per_split: int = ROWS_PER_SPLIT,
+) -> DataFrame:
+    """Equi-join whose heavy left keys are split over several tasks.
+
+    A left row of a heavy key goes to the split given by a hash of ``spread_by`` (default: the
+    whole row), and the right rows of that key are repeated once per split. Works for the join
+    kinds that keep or drop left rows: inner, left, left_semi and left_anti.
+    """
+    if how not in ("inner", "left", "left_semi", "left_anti"):
+        raise ValueError(f"spread_join cannot run a {how} join")
+    on = list(on)
+    heavy = F.broadcast(heavy_keys(left, on, rows_per_split))
+    row_hash = F.xxhash64(*[F.col(c) for c in (spread_by or left.columns)])
+    salted = left.join(heavy, on, "left").withColumn(
+        "_split",
+        # rows without a key match nothing, so they may go anywhere
+        F.when(_has_null(on), F.pmod(row_hash, F.lit(1024)).cast("int")).otherwise(
+            F.pmod(row_hash, F.coalesce(F.col("_splits"), F.lit(1))).cast("int")
+        ),
+    ).drop("_splits")
+    copies = (
+        right.join(heavy, on, "left")
+        .withColumn("_split", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_splits"), F.lit(1)) - 1)))
+        .drop("_splits")
+    )
+    return salted.join(copies, [*on, "_split"], how).drop("_split")
