@@ -35,17 +35,19 @@ def spread_join(
     how: str = "left",
     spread_by: Sequence[str] | None = None,
     rows_per_split: int = ROWS_PER_SPLIT,
+    heavy: DataFrame | None = None,
 ) -> DataFrame:
     """Equi-join whose heavy left keys are split over several tasks.
 
     A left row of a heavy key goes to the split given by a hash of ``spread_by`` (default: the
     whole row), and the right rows of that key are repeated once per split. Works for the join
-    kinds that keep or drop left rows: inner, left, left_semi and left_anti.
+    kinds that keep or drop left rows: inner, left, left_semi and left_anti. ``heavy`` may be given
+    (keys and ``_splits``, at most MAX_HEAVY_KEYS rows) when the counts are known already.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"spread_join cannot run a {how} join")
     on = list(on)
-    heavy = F.broadcast(heavy_keys(left, on, rows_per_split))
+    heavy = F.broadcast(heavy_keys(left, on, rows_per_split) if heavy is None else heavy)
     row_hash = F.xxhash64(*[F.col(c) for c in (spread_by or left.columns)])
     salted = left.join(heavy, on, "left").withColumn(
         "_split",

@@ -104,6 +104,33 @@ select doc_id, col, cast((doc_id + col) % 9 as double) as width from v_cells gro
     "v_text_requests": """
 select doc_id as project_id, case when doc_id % 3 = 0 then 'api' else 'webapp' end as type, text as description
 from documents""",
+    "v_placeholders": """
+select file_id, path, size, case file_id % 61 when 0 then ' TODO: ' when 1 then 'Coming  soon...' when 2 then 'to do it' else content end as content
+from v_files""",
+    "v_artifacts": """
+select user_id as project_id, concat('0', cast(event_id % 5 + 1 as string)) as phase,
+       concat('out/0', cast(event_id % 5 + 1 as string),
+         case event_id % 23 when 0 then '-handoff-out.json' when 1 then '-report.json' when 2 then '-notes.tmp'
+           when 3 then '-Bad Name.md' else concat('-', event_type, '.md') end) as path,
+       event_id
+from events""",
+    "v_handoffs": """
+select event_id, user_id as project_id, concat('0', cast(event_id % 5 + 1 as string)) as from_phase,
+       case when event_id % 17 = 0 then '' else concat('0', cast(event_id % 5 + 2 as string)) end as to_phase,
+       case event_id % 13 when 0 then null when 1 then 'One. Two. Three.' when 2 then '   ' else concat('Did ', event_type, '. Next is review.') end as summary,
+       case when event_id % 11 = 0 then 0 else 2 end as deliverables,
+       case when event_id % 7 = 0 then '' else 'retry' end as suggested,
+       cast(ts as timestamp) as ts
+from events""",
+    # each file is referenced under its own path or, for every ninth, under one that does not exist
+    "v_refs": """
+select path as ref_source, case when file_id % 9 = 0 then concat(path, '.old') when file_id % 4 = 0 then 'src0/en/1.docx' else path end as path
+from v_files""",
+    "v_phases": """
+select o_custkey as project_id, concat('0', cast(o_orderkey % 5 + 1 as string)) as phase,
+       case when sum(case when o_orderstatus = 'F' then 1 else 0 end) > 0 then 'completed'
+            when sum(case when o_orderstatus = 'P' then 1 else 0 end) > 0 then 'in-progress' else 'pending' end as status
+from orders group by o_custkey, concat('0', cast(o_orderkey % 5 + 1 as string))""",
     "v_state_json": """
 select event_id, case when event_id % 50 = 0 then replace(props, ':', '') else props end as doc from events""",
     "v_html_blocks": (
