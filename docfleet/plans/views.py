@@ -131,6 +131,51 @@ select o_custkey as project_id, concat('0', cast(o_orderkey % 5 + 1 as string))
        case when sum(case when o_orderstatus = 'F' then 1 else 0 end) > 0 then 'completed'
             when sum(case when o_orderstatus = 'P' then 1 else 0 end) > 0 then 'in-progress' else 'pending' end as status
 from orders group by o_custkey, concat('0', cast(o_orderkey % 5 + 1 as string))""",
+    # up to three stored variants per id
+    "v_stored": """
+select cast(floor(file_id / 3) as bigint) as file_id, path, size from v_files""",
+    "v_lookups": "select event_id as request_id, event_id % 500 as file_id from events",
+    "v_merge_requests": (
+        """
+select event_id as merge_id, array(event_id % 500, user_id, 999999, event_id % 500) as file_ids from events""",
+        """
+select event_id as merge_id, [event_id % 500, user_id, 999999, event_id % 500] as file_ids from events""",
+    ),
+    "v_conversions": """
+select event_id as request_id, case event_id % 13 when 0 then 'pdf_to_excel' when 1 then 'word_to_html' when 2 then 'jpg_to_pdf'
+    when 3 then 'pptx_to_images' when 4 then 'png_to_pdf' when 5 then 'markdown_to_html' when 6 then 'pdf_to_word'
+    when 7 then 'md_to_doc' else 'word_to_pdf' end as conversion_type
+from events""",
+    "v_results": """
+select project_id, pos, description as name, case when pos % 3 = 0 then 'pass' else 'fail' end as status,
+       case when pos % 3 <> 0 then 'broken' end as error
+from v_features where pos % 2 = 0""",
+    "v_tasks": """
+select seq, task_id, state, case seq % 5 when 0 then 'failure' when 1 then null else 'success' end as result_status, seq % 7 <> 0 as has_data
+from v_task_events""",
+    "v_projects": """
+select o_orderkey as project_id, o_custkey % 25 as owner, case o_orderkey % 7 when 0 then 'developing' when 1 then 'testing'
+    when 2 then 'completed' when 3 then 'failed' when 4 then 'waiting_approval' when 5 then 'initializing' else 'deploying' end as status
+from orders""",
+    "v_requirements": """
+select o_custkey as project_id, o_orderkey as seq, cast(floor(o_totalprice) as bigint) % 5 as priority,
+       case when o_orderstatus = 'F' then 'processing' else 'pending' end as status
+from orders""",
+    # every event snapshots one of forty paths of its user; contents change now and then
+    "v_snapshots": """
+select concat(cast(user_id as string), '/', cast(event_id % 3 as string), '.md') as path, cast(ts as timestamp) as ts,
+       concat('h', cast(cast(floor(value / 20) as bigint) as string)) as hash, event_id
+from events""",
+    "v_entries": (
+        """
+select event_id, user_id as project_id, cast(ts as timestamp) as ts, concat('0', cast(event_id % 5 + 1 as string)) as phase,
+       array(concat('f', cast(event_id % 40 as string)), 'f0', concat('f', cast(user_id as string))) as files_affected
+from events""",
+        """
+select event_id, user_id as project_id, ts, concat('0', cast(event_id % 5 + 1 as string)) as phase,
+       [concat('f', cast(event_id % 40 as string)), 'f0', concat('f', cast(user_id as string))] as files_affected
+from events""",
+    ),
     "v_state_json": """
 select event_id, case when event_id % 50 = 0 then replace(props, ':', '') else props end as doc from events""",
     "v_html_blocks": (

@@ -65,7 +65,7 @@ def compare(q, spark, con, sf_dir):
 
 def main():
     sf_dir, names = sys.argv[1], sys.argv[2:]
-    spark = build_session(cpus="8")
+    spark = build_session(cpus="8", **{"spark.ui.showConsoleProgress": "false"})
     spark.sparkContext.setLogLevel("ERROR")
     con = duck(sf_dir)
     bad = 0
