@@ -201,11 +201,14 @@ from v_html_blocks""",
 }
 
 
-def register_table(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    """Register one given parquet table as a temporary view."""
-    df = spark.read.parquet(f"{sf_dir}/{table}.parquet")
+def register_table(spark: SparkSession, sf_dir: str, table: str, stream: bool = False) -> None:
+    """Register one given parquet table as a temporary view, to be read at once or as a stream."""
+    path = f"{sf_dir}/{table}.parquet"
+    df = spark.read.parquet(path)
+    if stream:
+        # as a pattern, because a stream takes a plain path for a folder only
+        df = spark.readStream.schema(df.schema).parquet(f"{sf_dir}/{table}.parque[t]")
     df.createOrReplaceTempView(table)
-    return df
 
 
 def _text(name: str, engine: int) -> str:
@@ -225,20 +228,32 @@ def _used(sql: str, engine: int) -> list[str]:
     return [name for name in VIEWS if name in wanted]
 
 
-def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def view(spark: SparkSession, sf_dir: str, name: str, stream: bool = False) -> DataFrame:
     """A given table or a derived view as a DataFrame; times are read in UTC."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    if name in TABLES:
-        return register_table(spark, sf_dir, name)
     needed = _used(name, 0)
+    texts = [_text(n, 0) for n in needed] or [name]
     for table in TABLES:
-        if any(re.search(rf"\b{table}\b", _text(n, 0)) for n in needed):
-            register_table(spark, sf_dir, table)
+        if any(re.search(rf"\b{table}\b", text) for text in texts):
+            register_table(spark, sf_dir, table, stream)
     for n in needed:
         spark.sql(_text(n, 0)).createOrReplaceTempView(n)
     return spark.table(name)
 
 
+class Source:
+    """``source(name)`` is a table or view of one folder; ``source.stream(name)`` the same as a stream."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark, self.sf_dir = spark, sf_dir
+
+    def __call__(self, name: str) -> DataFrame:
+        return view(self.spark, self.sf_dir, name)
+
+    def stream(self, name: str) -> DataFrame:
+        return view(self.spark, self.sf_dir, name, stream=True)
+
+
 def duck_sql(sql: str) -> str:
     """Complete a DuckDB statement with the derived views it uses."""
     names = _used(sql, 1)

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docfleet.plans.views import duck_sql, view
+from docfleet.plans.views import Source, duck_sql
 
 
 @dataclass(frozen=True)
@@ -22,11 +22,11 @@ REGISTRY: dict[str, Query] = {}
 
 
 def query(item: str, sql: str | None = None):
-    """Register a function ``(v) -> DataFrame``, where ``v(name)`` is a table or derived view."""
+    """Register a function ``(v) -> DataFrame``, with ``v`` a :class:`Source`."""
 
     def add(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return fn(lambda name: view(spark, sf_dir, name))
+            return fn(Source(spark, sf_dir))
 
         if fn.__name__ in REGISTRY:
             raise ValueError(f"query {fn.__name__} is registered twice")

@@ -1 +1,308 @@
+"""Queries on history, decisions, issues and references."""
 
+from pyspark.sql import functions as F
+
+from docfleet.functions import constants as K
+from docfleet.operators import history as H
+from docfleet.operators import hygiene
+from docfleet.queries import query
+
+FMT = "yyyy-MM-dd HH:mm:ss"
+DUCK_FMT = "'%Y-%m-%d %H:%M:%S'"
+
+
+def _times(df, *columns):
+    for c in columns:
+        df = df.withColumn(c, F.date_format(c, FMT))
+    return df
+
+
+def _t(column: str, name: str | None = None) -> str:
+    return f"strftime({column}, {DUCK_FMT}) as {name or column}"
+
+
+PHASES = "select project_id, phase, status from v_phases"
+
+
+@query(
+    "A10",
+    """
+select project_id, count(*) filter (status = 'completed') as completed, count(*) as total,
+    cast(count(*) filter (status = 'completed') as double) / count(*) * 100 as progress
+from v_phases group by project_id""",
+)
+def phase_progress(v):
+    # a manifest holds its phases as one array, which the phase catalogue bounds
+    manifests = v("v_phases").groupBy("project_id").agg(F.collect_list(F.struct("phase", "status")).alias("phases"))
+    return H.phase_progress(manifests)
+
+
+@query(
+    "A11",
+    f"""
+with l as (select project_id, max(ts) as last_activity, arg_max(phase, event_id) as phase from v_history group by project_id),
+i as (select project_id, count(*) filter (status in ('open', 'in-progress')) as open_issues from v_issues group by project_id),
+d as (select project_id, count(*) filter (status = 'proposed') as pending_decisions from v_decisions group by project_id),
+p as (select project_id, cast(count(*) filter (status = 'completed') as double) / count(*) * 100 as progress,
+        case when count(*) filter (status = 'completed') = count(*) then 'completed' when count(*) filter (status = 'completed') = 0 then 'initialized' else 'in-progress' end as status,
+        min(phase) filter (status = 'pending') as next_milestone from v_phases group by project_id)
+select l.project_id, {_t('last_activity')}, phase, coalesce(open_issues, 0) as open_issues, coalesce(pending_decisions, 0) as pending_decisions,
+    progress, status, next_milestone
+from l left join i using (project_id) left join d using (project_id) left join p using (project_id)""",
+)
+def current_status(v):
+    out = H.current_status(v("v_history"), v("v_issues"), v("v_decisions"), v("v_phases"))
+    return _times(out, "last_activity")
+
+
+@query(
+    "A12",
+    f"""
+select project_id, phase, {_t('min(ts)', 'started')}, {_t('max(ts)', 'completed')}, (epoch_us(max(ts)) - epoch_us(min(ts))) / 3.6e9 as duration_hours,
+    count(distinct artifact) as artifacts, count(distinct decision_id) as decisions
+from v_history group by project_id, phase""",
+)
+def phase_history(v):
+    return _times(H.phase_history(v("v_history")), "started", "completed")
+
+
+@query(
+    "A12",
+    """
+select distinct project_id, phase, 'artifact' as kind, artifact as item from v_history
+union select project_id, phase, 'decision', cast(decision_id as varchar) from v_history where decision_id is not null""",
+)
+def phase_items(v):
+    return H.phase_items(v("v_history"))
+
+
+METRIC = {m: f"l_{c} % {k}" for m, (c, k) in zip(
+    K.PHASE_METRICS,
+    [("partkey", 7), ("suppkey", 5), ("partkey", 1000), ("suppkey", 90), ("linenumber", 4), ("linenumber", 3), ("partkey", 3), ("suppkey", 2), ("partkey", 2)],
+)}
+CHECK = {c: f"l_{k}" for c, k in zip(K.PHASE_CHECKS, ["partkey % 50 <> 0", "suppkey % 20 <> 0", "linenumber < 7", "returnflag <> 'R'"])}
+
+
+@query(
+    "A13",
+    "select l_orderkey as project_id, "
+    + ", ".join(f"sum({e}) as {m}" for m, e in METRIC.items())
+    + ", "
+    + ", ".join(f"bool_and({e}) as {c}" for c, e in CHECK.items())
+    + " from lineitem group by l_orderkey",
+)
+def metric_totals(v):
+    reports = v("lineitem").select(
+        F.col("l_orderkey").alias("project_id"),
+        F.struct(*[F.expr(e).cast("bigint").alias(m) for m, e in METRIC.items()]).alias("metrics"),
+        F.struct(*[F.expr(e).alias(c) for c, e in CHECK.items()]).alias("quality"),
+    )
+    return H.metric_totals(reports)
+
+
+FILE_HASH = "case when file_id % 50 = 0 then 'f0' else concat('f', file_id) end"
+
+
+@query(
+    "A14",
+    f"""
+with h as (select 'f' || file_id as path, sha256(content) as hash from v_files where size > 0),
+w as (select distinct event_id, unnest(files_affected) as path from v_entries)
+select event_id as entry_id, sha256(string_agg(hash, '' order by hash)) as context_hash from w join h using (path) group by event_id""",
+)
+def context_hash(v):
+    files = v("v_files").withColumn("path", F.concat(F.lit("f"), F.col("file_id").cast("string")))
+    return H.context_hash(v("v_entries").withColumnRenamed("event_id", "entry_id"), hygiene.file_digests(files))
+
+
+@query(
+    "A15",
+    f"""
+select project_id, {_t('min(ts)', 'created_at')}, {_t('max(ts)', 'last_updated')}, arg_max(phase, event_id) as current_phase,
+    arg_max(type, event_id) as last_type, count(*) as entries
+from v_history group by project_id""",
+)
+def rebuild_manifest(v):
+    return _times(H.rebuild_manifest(v("v_history")), "created_at", "last_updated")
+
+
+@query(
+    "A16",
+    f"""
+with t as (select distinct event_id, ts, phase, unnest(files_affected) as path from v_entries)
+select path, {_t('min(ts)', 'first_ts')}, {_t('max(ts)', 'last_ts')}, count(*) as entries, array_to_string(list_sort(list_distinct(list(phase))), ',') as phases
+from t group by path""",
+)
+def artifact_index(v):
+    return _times(H.artifact_index(v("v_entries")), "first_ts", "last_ts").withColumn("phases", F.array_join("phases", ","))
+
+
+@query("J9", "select distinct path from v_refs where path not in (select path from v_files)")
+def dangling_references(v):
+    return H.dangling_references(v("v_refs"), v("v_files"))
+
+
+@query("J10", "select path from v_files where path not in (select path from v_refs)")
+def orphan_files(v):
+    return H.orphan_files(v("v_files"), v("v_refs"))
+
+
+@query(
+    "J11",
+    f"""
+with p as (select o_custkey % 200 as project_id, timestamp '2024-01-01' + (o_orderkey % 43200) * interval 1 minute as t, o_orderkey from orders),
+h as (select * from v_history)
+select p.project_id, {_t('p.t', '"at"')}, phase, type from p asof left join h on h.project_id = p.project_id and h.ts <= p.t""",
+)
+def state_as_of(v):
+    points = v("orders").select(
+        (F.col("o_custkey") % 200).alias("project_id"),
+        F.expr("cast('2024-01-01' as timestamp) + (o_orderkey % 43200) * interval 1 minute").alias("at"),
+    )
+    history = v("v_history").withColumnRenamed("event_id", "seq")
+    return _times(H.state_as_of(points, history, ["phase", "type"]), "at")
+
+
+SNAPSHOT = "select path, arg_max(hash, event_id) as hash from v_snapshots where {} group by path"
+EARLY, LATE = "ts < timestamp '2024-01-15'", "event_id % 10 <> 0 and ts >= timestamp '2024-01-04'"
+
+
+@query(
+    "J12",
+    f"""
+with a as ({SNAPSHOT.format(EARLY)}), b as ({SNAPSHOT.format(LATE)})
+select path, case when a.hash is null then 'added' when b.hash is null then 'removed' else 'modified' end as change
+from a full join b using (path) where a.hash is distinct from b.hash""",
+)
+def snapshot_diff(v):
+    snapshots = v("v_snapshots")
+    at = lambda when: snapshots.filter(F.expr(when)).groupBy("path").agg(F.max_by("hash", "event_id").alias("hash"))
+    return H.snapshot_diff(at(EARLY), at(LATE))
+
+
+@query(
+    "J13",
+    """
+select decision_id, project_id, phase from v_decisions d where status = 'accepted'
+and not exists (select 1 from v_decisions o where o.supersedes = d.decision_id)""",
+)
+def effective_decisions(v):
+    return H.effective_decisions(v("v_decisions")).select("decision_id", "project_id", "phase")
+
+
+@query("U2", "select decision_id, phase, category, status from v_decisions where phase = '02' and category = 'technical'")
+def decision_log(v):
+    return H.decision_log(v("v_decisions"), "02", "technical").select("decision_id", "phase", "category", "status")
+
+
+@query("U2", "select decision_id, phase, category, status from v_decisions where status = 'proposed'")
+def pending_decisions(v):
+    return H.decision_log(v("v_decisions"), pending=True).select("decision_id", "phase", "category", "status")
+
+
+@query("U3", f"select issue_id, project_id, severity, {_t('created_at')} from v_issues where status = 'in-progress'")
+def issue_list(v):
+    return _times(H.issue_list(v("v_issues"), "in-progress"), "created_at").select("issue_id", "project_id", "severity", "created_at")
+
+
+@query(
+    "U3",
+    """
+select issue_id, case when l_orderkey is null then status else 'resolved' end as status, 'fixed in ' || l_orderkey as resolution
+from (select issue_id, status, l_orderkey from v_issues left join (select distinct l_orderkey from lineitem where l_quantity > 45) on l_orderkey = issue_id)""",
+)
+def resolve_issues(v):
+    updates = (
+        v("lineitem").filter(F.col("l_quantity") > 45).select(F.col("l_orderkey").alias("issue_id")).distinct()
+        .withColumn("resolved_at", F.lit("2024-02-01").cast("timestamp"))
+        .withColumn("resolution", F.concat(F.lit("fixed in "), F.col("issue_id").cast("string")))
+    )
+    return H.resolve_issues(v("v_issues"), updates).select("issue_id", "status", "resolution")
+
+
+@query(
+    "U4",
+    f"""
+select project_id, event_id, from_phase, to_phase, {_t('ts')} from (
+  select *, row_number() over (partition by project_id order by ts desc) as rn from v_handoffs where from_phase = '02') where rn = 1""",
+)
+def latest_handoff(v):
+    out = H.latest_handoff(v("v_handoffs"), "02")
+    return _times(out, "ts").select("project_id", "event_id", "from_phase", "to_phase", "ts")
+
+
+@query("U4", f"select project_id, event_id, from_phase, to_phase, {_t('ts')} from v_handoffs")
+def handoff_history(v):
+    out = H.handoff_history(v("v_handoffs"))
+    return _times(out, "ts").select("project_id", "event_id", "from_phase", "to_phase", "ts")
+
+
+@query(
+    "W6",
+    """
+select project_id, event_id, rank from (
+  select project_id, event_id, row_number() over (partition by project_id order by ts desc, event_id desc) as rank from v_history) where rank <= 10""",
+)
+def recent_history(v):
+    return H.recent_history(v("v_history")).select("project_id", "event_id", F.col("rank").cast("bigint").alias("rank"))
+
+
+@query(
+    "W7",
+    """
+with e as (select project_id, count(*) as n from v_history where ts < timestamp '2024-01-10' group by project_id),
+n as (select project_id, event_id, row_number() over (partition by project_id order by ts) as k from v_history where ts >= timestamp '2024-01-10')
+select n.project_id, event_id, k + coalesce(n, 0) as sequence
+from n left join (select project_id, n as n from e) e on e.project_id = n.project_id""".replace("coalesce(n, 0)", "coalesce(e.n, 0)"),
+)
+def append_history(v):
+    history, cut = v("v_history"), F.lit("2024-01-10").cast("timestamp")
+    out = H.append_history(history.filter(F.col("ts") < cut), history.filter(F.col("ts") >= cut))
+    return out.select("project_id", "event_id", "sequence")
+
+
+def _labels(table: str, prefix: str, key: str) -> str:
+    return f"""
+select {key}, concat('{prefix}-', phase, '-', case when n < 1000 then lpad(cast(n as varchar), 3, '0') else cast(n as varchar) end) as label
+from (select {key}, phase, row_number() over (partition by phase order by created_at, {key}) as n from {table})"""
+
+
+@query("W8", _labels("v_issues", "I", "issue_id"))
+def issue_ids(v):
+    order = [F.col("created_at"), F.col("issue_id")]
+    return H.assign_ids(v("v_issues"), "I", order).select("issue_id", "label")
+
+
+@query("W8", _labels("v_decisions", "D", "decision_id"))
+def decision_ids(v):
+    order = [F.col("created_at"), F.col("decision_id")]
+    return H.assign_ids(v("v_decisions"), "D", order).select("decision_id", "label")
+
+
+@query(
+    "W9",
+    f"""
+select issue_id, severity, {_t('created_at')}, list_position(['critical', 'high', 'medium', 'low'], severity) as rank
+from v_issues where status in ('open', 'in-progress')""",
+)
+def open_issues(v):
+    return _times(H.open_issues(v("v_issues")), "created_at").select("issue_id", "severity", "created_at", "rank")
+
+
+@query(
+    "W10",
+    f"""
+select project_id, {_t('max(ts)', 'last_activity')}, max(ts) = (select max(ts) from v_history) as active from v_history group by project_id""",
+)
+def projects_by_activity(v):
+    return _times(H.projects_by_activity(v("v_history")), "last_activity")
+
+
+@query(
+    "W11",
+    f"""
+with c as (select *, case when hash is distinct from lag(hash) over (partition by path order by ts, hash) then 1 else 0 end as changed from v_snapshots)
+select path, event_id, hash, sum(changed) over (partition by path order by ts, hash) as version from c""",
+)
+def content_versions(v):
+    return H.content_versions(v("v_snapshots")).select("path", "event_id", "hash", "version")
