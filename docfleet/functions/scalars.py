@@ -24,11 +24,11 @@ def div(number: Column, by: int) -> Column:
 
 def strip(text: Column) -> Column:
     """Drop leading and trailing white space, in the Unicode sense."""
-    return F.regexp_replace(text, rf"^[{K.BLANKS}]+|[{K.BLANKS}]+\z", "")
+    return F.btrim(text, F.lit(K.BLANK_CHARS))
 
 
 def is_blank(text: Column) -> Column:
-    return ~text.rlike(rf"[^{K.BLANKS}]")
+    return F.ltrim(text, F.lit(K.BLANK_CHARS)) == ""
 
 
 def file_extension(name: Column) -> Column:

@@ -247,7 +247,7 @@ def sheet_rows(cells: DataFrame) -> DataFrame:
     return (
         cells.filter(F.col("rw") > 0)
         .groupBy("doc_id", "rw")
-        .agg(F.array_sort(F.collect_list(F.struct("col", F.coalesce("value", F.lit("")).alias("v")))).alias("c"))
+        .agg(F.sort_array(F.collect_list(F.struct("col", F.coalesce("value", F.lit("")).alias("v")))).alias("c"))
         .select("doc_id", "rw", F.transform("c", lambda x: x["v"]).alias("values"))
     )
 

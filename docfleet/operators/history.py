@@ -257,7 +257,7 @@ def artifact_index(history: DataFrame) -> DataFrame:
         F.min("first_ts").alias("first_ts"),
         F.max("last_ts").alias("last_ts"),
         F.sum("entries").alias("entries"),
-        F.array_sort(F.collect_list("phase")).alias("phases"),
+        F.sort_array(F.collect_list("phase")).alias("phases"),
     )
 
 

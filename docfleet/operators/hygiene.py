@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -9,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from docfleet.functions import constants as K
 from docfleet.functions.scalars import age_hours, archive_path, base_name, strip, valid_artifact_name
 from docfleet.plans.runtime import stored
-from docfleet.plans.skew import MAX_HEAVY_KEYS, ROWS_PER_SPLIT, spread_join
+from docfleet.plans.skew import heavy_of, spread_join
 
 PLACEHOLDERS = ("todo", "tbd", "tba", "n/a", "placeholder", "coming soon", "to be written", "待补充")
 
@@ -34,13 +35,9 @@ def _copies(digests: DataFrame) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("copies"), F.min_by("path", newest_first).alias("keeper"))
         .filter(F.col("copies") > 1)
     )
-    heavy = (
-        groups.filter(F.col("copies") > ROWS_PER_SPLIT)
-        .orderBy(F.col("copies").desc(), "hash")
-        .limit(MAX_HEAVY_KEYS)
-        .select("hash", F.ceil(F.col("copies") / ROWS_PER_SPLIT).cast("int").alias("_splits"))
+    return spread_join(
+        digests, groups, ["hash"], "inner", spread_by=["path"], heavy=heavy_of(groups, ["hash"], "copies")
     )
-    return spread_join(digests, groups, ["hash"], "inner", spread_by=["path"], heavy=heavy)
 
 
 def duplicate_groups(digests: DataFrame) -> DataFrame:
@@ -93,10 +90,13 @@ def zero_size(files: DataFrame) -> DataFrame:
 
 
 def placeholders(files: DataFrame, texts: Sequence[str] = PLACEHOLDERS) -> DataFrame:
-    """Files whose whole content is a placeholder, ignoring case, spacing and end marks."""
-    plain = F.lower(strip(F.regexp_replace("content", rf"[{K.BLANKS}]+", " ")))
-    bare = strip(F.regexp_replace(plain, r"^[-#*<\[( ]+|[-.:!…>\]) ]+\z", ""))
-    return files.filter(bare.isin(list(texts))).select("path")
+    """Files whose whole content is a placeholder, ignoring case, spacing and marks around it.
+
+    The pattern is anchored, so a real text is given up at its first letters.
+    """
+    marks = F.lit(K.BLANK_CHARS + "-#*<>[]().:!…")
+    words = "|".join(re.escape(t).replace("\\ ", f"[{K.BLANKS}]+") for t in texts)
+    return files.filter(F.btrim(F.lower("content"), marks).rlike(rf"^(?:{words})\z")).select("path")
 
 
 def large_logs(files: DataFrame, min_bytes: int = K.LARGE_LOG_BYTES, suffixes: Sequence[str] = (".log",)) -> DataFrame:

@@ -26,7 +26,7 @@ ROWS_PER_PART = 10_000
 # ---------------------------------------------------------------- pieces by position
 
 
-def piece_of(pos: str, width: int = POSITIONS_PER_PIECE) -> Column:
+def piece_of(pos: str, width: int) -> Column:
     return F.expr(f"`{pos}` div {width}")
 
 
@@ -36,10 +36,10 @@ def running_sum_by_position(
     pos: str,
     value: Column,
     out: str,
-    width: int = POSITIONS_PER_PIECE,
+    width: int | None = None,
 ) -> DataFrame:
     """Sum of ``value`` over all rows of the group up to and including this position."""
-    keys = list(keys)
+    keys, width = list(keys), width or POSITIONS_PER_PIECE
     pieces = df.withColumn("_piece", piece_of(pos, width)).withColumn("_value", value)
     earlier = Window.partitionBy(*keys).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
     carry = (
@@ -62,14 +62,14 @@ def with_neighbours(
     keys: Sequence[str],
     pos: str,
     columns: dict[str, tuple[str, int]],
-    width: int = POSITIONS_PER_PIECE,
+    width: int | None = None,
 ) -> DataFrame:
     """Add values of the row just before (offset -1) or after (+1) in position order.
 
     Positions must be gapless. The rows at the edge of a piece are copied into the neighbouring
     piece, so one shuffle is enough.
     """
-    keys = list(keys)
+    keys, width = list(keys), width or POSITIONS_PER_PIECE
     piece = piece_of(pos, width)
     at_end = F.expr(f"`{pos}` % {width}") == width - 1
     at_start = (F.expr(f"`{pos}` % {width}") == 0) & (piece > 0)
@@ -88,29 +88,31 @@ def ordered_parts(
     text: Column,
     sep: str,
     out: str = "text",
-    rows_per_part: int = ROWS_PER_PART,
+    rows_per_part: int | None = None,
 ) -> DataFrame:
     """Join ``text`` in position order, in numbered parts of at most ``rows_per_part`` positions.
 
     A document that fits in one part comes back as one row (part 0). The parts of a longer one,
     joined by ``sep`` in part order, are the whole text.
     """
+    rows_per_part = rows_per_part or ROWS_PER_PART
     piece = df.select(
         *keys,
         F.expr(f"cast(`{pos}` div {rows_per_part} as bigint)").alias("part"),
         F.struct(F.col(pos).alias("p"), F.coalesce(text, F.lit("")).alias("t")).alias("_item"),
     )
-    ordered = F.array_sort(F.collect_list("_item"))
+    ordered = F.sort_array(F.collect_list("_item"))
     return piece.groupBy(*keys, "part").agg(
         F.array_join(F.transform(ordered, lambda item: item["t"]), sep).alias(out)
     )
 
 
-def explode_range(df: DataFrame, keys: Sequence[str], low: str, high: str, out: str, width: int = POSITIONS_PER_PIECE) -> DataFrame:
+def explode_range(df: DataFrame, keys: Sequence[str], low: str, high: str, out: str, width: int | None = None) -> DataFrame:
     """One row per integer in low..high (inclusive), none where low > high.
 
     Long ranges are first cut into stretches and shuffled, so no task or array holds a long one.
     """
+    width = width or POSITIONS_PER_PIECE
     stretches = (
         df.filter(F.col(low) <= F.col(high))
         .withColumn("_stretch", F.explode(F.expr(f"sequence(cast(0 as bigint), (`{high}` - `{low}`) div {width})")))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
@@ -23,6 +24,11 @@ def build_session(app_name: str = "docfleet", cpus: str = "*", **conf: str) -> S
     return builder.getOrCreate()
 
 
+@functools.cache
+def _local_base() -> str:
+    return tempfile.mkdtemp(prefix="docfleet-")
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh folder under the shared folder named by ``spark.checkpoint.dir``.
 
@@ -33,7 +39,7 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     if not base:
         if not spark.conf.get("spark.master", "local").startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-        base = tempfile.mkdtemp(prefix="docfleet-")
+        base = _local_base()
     return f"{base.rstrip('/')}/docfleet/{label}-{uuid.uuid4().hex}"
 
 

@@ -12,18 +12,20 @@ MAX_HEAVY_KEYS = 1000
 ROWS_PER_SPLIT = 1_000_000
 
 
-def heavy_keys(df: DataFrame, keys: Sequence[str], rows_per_split: int = ROWS_PER_SPLIT) -> DataFrame:
-    """The keys with more than ``rows_per_split`` rows and the number of splits each needs."""
+def heavy_of(counts: DataFrame, keys: Sequence[str], n: str) -> DataFrame:
+    """From rows counted per key, the heavy keys and how many splits each needs (``_splits``)."""
     return (
-        df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .filter(F.col("_n") > rows_per_split)
-        .orderBy(F.col("_n").desc(), *keys)
+        counts.filter(F.col(n) > ROWS_PER_SPLIT)
+        .orderBy(F.col(n).desc(), *keys)
         .limit(MAX_HEAVY_KEYS)
-        .select(*keys, F.ceil(F.col("_n") / rows_per_split).cast("int").alias("_splits"))
+        .select(*keys, F.ceil(F.col(n) / ROWS_PER_SPLIT).cast("int").alias("_splits"))
     )
 
 
+def heavy_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return heavy_of(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")), keys, "_n")
+
+
 def _has_null(keys: Sequence[str]) -> Column:
     return F.array_contains(F.array(*[F.col(k).isNull() for k in keys]), True)
 
@@ -34,7 +36,6 @@ def spread_join(
     on: Sequence[str],
     how: str = "left",
     spread_by: Sequence[str] | None = None,
-    rows_per_split: int = ROWS_PER_SPLIT,
     heavy: DataFrame | None = None,
 ) -> DataFrame:
     """Equi-join whose heavy left keys are split over several tasks.
@@ -42,12 +43,12 @@ def spread_join(
     A left row of a heavy key goes to the split given by a hash of ``spread_by`` (default: the
     whole row), and the right rows of that key are repeated once per split. Works for the join
     kinds that keep or drop left rows: inner, left, left_semi and left_anti. ``heavy`` may be given
-    (keys and ``_splits``, at most MAX_HEAVY_KEYS rows) when the counts are known already.
+    (see :func:`heavy_of`) when the rows per key are counted already.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"spread_join cannot run a {how} join")
     on = list(on)
-    heavy = F.broadcast(heavy_keys(left, on, rows_per_split) if heavy is None else heavy)
+    heavy = F.broadcast(heavy_keys(left, on) if heavy is None else heavy)
     row_hash = F.xxhash64(*[F.col(c) for c in (spread_by or left.columns)])
     salted = left.join(heavy, on, "left").withColumn(
         "_split",

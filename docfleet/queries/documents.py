@@ -111,7 +111,7 @@ kinds as (
   from counted),
 blocks as (
   select doc_id, pos, kind,
-      case when kind = 'heading' then least(length(regexp_extract(line, '^#+')), 6) end as level,
+      case when kind = 'heading' then cast(least(length(regexp_extract(line, '^#+')), 6) as int) end as level,
       case when kind = 'heading' then {_strip("regexp_replace(line, '^#+', '')")} else line end as text
   from kinds)"""
 
@@ -170,7 +170,7 @@ def render_html(v):
 @query("T9", HTML.replace("cast(0 as bigint) as part, ", ""))
 def render_html_of_texts(v):
     """The same HTML from whole texts, inside one row each."""
-    lines = v("v_md_lines").groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("pos", "line"))).alias("l"))
+    lines = v("v_md_lines").groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("pos", "line"))).alias("l"))
     text = F.array_join(F.transform("l", lambda x: x["line"]), "\n")
     return lines.select("doc_id", M.text_to_html(text).alias("html"))
 

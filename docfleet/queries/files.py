@@ -12,7 +12,10 @@ from docfleet.queries import query
 from docfleet.sources import files as S
 from docfleet.sources import state
 
-NOW_COL = F.lit(NOW).cast("timestamp")
+
+def _now():
+    return F.lit(NOW).cast("timestamp")
+
 
 
 def _case(key: str, mapping: dict, default: str) -> str:
@@ -162,7 +165,7 @@ from s""",
 )
 def time_ago(v):
     return v("events").select(
-        "event_id", P.time_ago(F.col("ts"), NOW_COL).alias("ago"), P.is_stale(F.col("ts"), NOW_COL).alias("stale")
+        "event_id", P.time_ago(F.col("ts"), _now()).alias("ago"), P.is_stale(F.col("ts"), _now()).alias("stale")
     )
 
 
@@ -184,7 +187,7 @@ def preview(v):
 
 @query("P16", f"select file_id, (epoch_us(timestamp '{NOW}') - epoch_us(mtime)) / 3.6e9 as age_hours from v_files")
 def age_hours(v):
-    return v("v_files").select("file_id", P.age_hours(F.col("mtime"), NOW_COL).alias("age_hours"))
+    return v("v_files").select("file_id", P.age_hours(F.col("mtime"), _now()).alias("age_hours"))
 
 
 # ---------------------------------------------------------------- sources and sinks
@@ -282,7 +285,7 @@ def write_report(v):
     """Writes the hygiene report and counts the entries of each section as read back."""
     files = v("v_files")
     path = scratch_path(files.sparkSession, "report")
-    report = H.scan_report(files, NOW_COL).filter(F.col("section") != "action")
+    report = H.scan_report(files, _now()).filter(F.col("section") != "action")
     S.write_report(report, path)
     return files.sparkSession.read.json(path).groupBy("section").agg(F.count(F.lit(1)).alias("entries"))
 
@@ -298,4 +301,4 @@ def write_results(v):
     rows = done.select("seq", "task_id", F.lower("state").alias("status"), F.col("ts").alias("created_at"))
     path = scratch_path(rows.sparkSession, "results")
     S.write_results(rows, path)
-    return S.read_results(rows.sparkSession, path, NOW_COL, ttl_hours=72).select("seq", "task_id", "status")
+    return S.read_results(rows.sparkSession, path, _now(), ttl_hours=72).select("seq", "task_id", "status")

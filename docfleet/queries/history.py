@@ -86,7 +86,7 @@ CHECK = {c: f"l_{k}" for c, k in zip(K.PHASE_CHECKS, ["partkey % 50 <> 0", "supp
 @query(
     "A13",
     "select l_orderkey as project_id, "
-    + ", ".join(f"sum({e}) as {m}" for m, e in METRIC.items())
+    + ", ".join(f"cast(sum({e}) as bigint) as {m}" for m, e in METRIC.items())
     + ", "
     + ", ".join(f"bool_and({e}) as {c}" for c, e in CHECK.items())
     + " from lineitem group by l_orderkey",
@@ -282,7 +282,7 @@ def decision_ids(v):
 @query(
     "W9",
     f"""
-select issue_id, severity, {_t('created_at')}, list_position(['critical', 'high', 'medium', 'low'], severity) as rank
+select issue_id, severity, {_t('created_at')}, cast(list_position(['critical', 'high', 'medium', 'low'], severity) as bigint) as rank
 from v_issues where status in ('open', 'in-progress')""",
 )
 def open_issues(v):
@@ -302,7 +302,7 @@ def projects_by_activity(v):
     "W11",
     f"""
 with c as (select *, case when hash is distinct from lag(hash) over (partition by path order by ts, hash) then 1 else 0 end as changed from v_snapshots)
-select path, event_id, hash, sum(changed) over (partition by path order by ts, hash) as version from c""",
+select path, event_id, hash, cast(sum(changed) over (partition by path order by ts, hash) as bigint) as version from c""",
 )
 def content_versions(v):
     return H.content_versions(v("v_snapshots")).select("path", "event_id", "hash", "version")

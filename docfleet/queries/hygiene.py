@@ -10,7 +10,10 @@ from docfleet.plans.views import NOW
 from docfleet.queries import query
 from docfleet.sources import state
 
-NOW_COL = F.lit(NOW).cast("timestamp")
+
+def _now():
+    return F.lit(NOW).cast("timestamp")
+
 AGE = f"(epoch_us(timestamp '{NOW}') - epoch_us(mtime)) / 3.6e9"
 
 COPIES = """
@@ -40,7 +43,7 @@ expired as (select * from temp where rn > 3 and age > 24)"""
 
 @query("W4", f"with {TEMP} select pattern, path, strftime(mtime, '%Y-%m-%d %H:%M:%S') as mtime from expired")
 def expired_temp(v):
-    return H.expired_temp(v("v_files"), NOW_COL).withColumn("mtime", F.date_format("mtime", "yyyy-MM-dd HH:mm:ss"))
+    return H.expired_temp(v("v_files"), _now()).withColumn("mtime", F.date_format("mtime", "yyyy-MM-dd HH:mm:ss"))
 
 
 PLAN = (
@@ -56,7 +59,7 @@ plan as (
 @query("H6", PLAN + " select *, 'dry-run' as status from plan")
 def action_plan(v):
     files = v("v_files")
-    return H.action_plan(files, H.file_digests(files), NOW_COL)
+    return H.action_plan(files, H.file_digests(files), _now())
 
 
 @query(
@@ -88,7 +91,7 @@ def scan_report(v):
     """The report rows, with the JSON detail of duplicates and actions taken apart again."""
     field = lambda name: F.get_json_object("detail", f"$.{name}")
     action = F.concat_ws(" ", field("action"), F.coalesce(field("moved_to"), F.lit("-")), F.coalesce(field("kept"), F.lit("-")))
-    return H.scan_report(v("v_files"), NOW_COL).select(
+    return H.scan_report(v("v_files"), _now()).select(
         "section",
         "path",
         F.when(F.col("section") == "action", action).when(F.col("section") == "duplicate", field("hash")).alias("what"),
@@ -108,7 +111,7 @@ def placeholders(v):
 
 @query("H3", f"with {TEMP} select path, age as age_hours from temp")
 def temp_listing(v):
-    return H.temp_listing(v("v_files"), NOW_COL).select("path", "age_hours")
+    return H.temp_listing(v("v_files"), _now()).select("path", "age_hours")
 
 
 NEAR_PAIRS = f"""
@@ -163,8 +166,8 @@ def similar_names(v):
 )
 def expired_results(v):
     results = v("v_task_events").withColumn("created_at", F.col("ts"))
-    gone = H.expired_results(results, NOW_COL, 240).select("seq", F.lit(True).alias("expired"))
-    return gone.union(H.live_results(results, NOW_COL, 240).select("seq", F.lit(False)))
+    gone = H.expired_results(results, _now(), 240).select("seq", F.lit(True).alias("expired"))
+    return gone.union(H.live_results(results, _now(), 240).select("seq", F.lit(False)))
 
 
 @query("H8", "select path, size from v_files where (path like '%.md' or path like '%.docx') and size > 4096")
@@ -187,7 +190,7 @@ with {TEMP}, c(check_name, violations) as (
 def _checks(v):
     docs = state.read_state_json(v("v_state_json"), T.StructType([T.StructField("k", T.LongType())]))
     decided = v("v_decisions").filter(F.col("status") != "rejected")
-    return H.health_checks(docs, v("v_refs"), v("v_files"), decided, v("v_phases"), NOW_COL)
+    return H.health_checks(docs, v("v_refs"), v("v_files"), decided, v("v_phases"), _now())
 
 
 @query("H9", CHECKS + ' select check_name as "check", violations, violations = 0 as passed from c')

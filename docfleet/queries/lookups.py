@@ -141,12 +141,12 @@ def catalogue_coverage(v):
 
 
 def _json_list(items) -> F.Column:
-    return F.to_json(F.transform(F.array_sort(F.collect_list(items)), lambda x: x["t"]))
+    return F.to_json(F.transform(F.sort_array(F.collect_list(items)), lambda x: x["t"]))
 
 
 def _conversion_input(v):
     """Markdown texts, page lists, sheets and unsupported files, built from the given tables."""
-    lines = v("v_md_lines").groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("pos", "line"))).alias("l"))
+    lines = v("v_md_lines").groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("pos", "line"))).alias("l"))
     md = lines.select(
         F.concat(F.lit("md-"), F.col("doc_id").cast("string")).alias("file_id"),
         F.lit("markdown_to_html").alias("conversion_type"),
@@ -160,11 +160,11 @@ def _conversion_input(v):
     )
     cell = F.coalesce(F.when(F.col("is_num"), F.col("value")).otherwise(F.to_json(F.array("value"))), F.lit("null"))
     bare = F.when(F.startswith(cell, F.lit("[")), F.substring(cell, F.lit(2), F.length(cell) - 2)).otherwise(cell)
-    row = v("v_cells").groupBy("doc_id", "rw").agg(F.array_sort(F.collect_list(F.struct("col", bare.alias("t")))).alias("c"))
+    row = v("v_cells").groupBy("doc_id", "rw").agg(F.sort_array(F.collect_list(F.struct("col", bare.alias("t")))).alias("c"))
     row = row.withColumn("t", F.concat(F.lit("["), F.array_join(F.transform("c", lambda x: x["t"]), ","), F.lit("]")))
     sheets = (
         row.groupBy("doc_id")
-        .agg(F.array_sort(F.collect_list(F.struct("rw", "t"))).alias("r"))
+        .agg(F.sort_array(F.collect_list(F.struct("rw", "t"))).alias("r"))
         .select(
             F.concat(F.lit("xls-"), F.col("doc_id").cast("string")),
             F.lit("excel_to_csv"),

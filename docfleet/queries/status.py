@@ -6,7 +6,10 @@ from docfleet.operators import status as S
 from docfleet.plans.views import NOW
 from docfleet.queries import query
 
-NOW_COL = F.lit(NOW).cast("timestamp")
+
+def _now():
+    return F.lit(NOW).cast("timestamp")
+
 
 
 @query(

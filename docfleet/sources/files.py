@@ -94,7 +94,7 @@ def csv_lines(cells: DataFrame, quote: bool = False) -> DataFrame:
         value = F.when(value.rlike('[",\r\n]'), doubled).otherwise(value)
     return (
         cells.groupBy("doc_id", "rw")
-        .agg(F.array_sort(F.collect_list(F.struct("col", value.alias("v")))).alias("c"))
+        .agg(F.sort_array(F.collect_list(F.struct("col", value.alias("v")))).alias("c"))
         .select("doc_id", "rw", F.array_join(F.transform("c", lambda x: x["v"]), ",").alias("line"))
     )
 

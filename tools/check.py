@@ -51,6 +51,7 @@ def compare(q, spark, con, sf_dir):
     start = time.time()
     cur = con.execute(q.sql)
     names = [d[0] for d in cur.description]
+    kinds = {d[0]: str(d[1]) for d in cur.description}
     want = rows_of(names, cur.fetchall())
     note = f"{len(got)} rows {took:.1f}s (duck {time.time() - start:.1f}s)"
     if sorted(names) != sorted(df.columns):
@@ -59,7 +60,8 @@ def compare(q, spark, con, sf_dir):
         extra = [r for r in got if r not in set(want)][:2]
         missing = [r for r in want if r not in set(got)][:2]
         return "DIFF", f"{note}, want {len(want)}\n   spark only {str(extra)[:600]}\n   duck only  {str(missing)[:600]}"
-    types = ", ".join(f"{n}:{t}" for n, t in df.dtypes if t.startswith(("array", "map", "struct", "timestamp")))
+    same = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE", "boolean": "BOOLEAN"}
+    types = ", ".join(f"TYPE {n}:{t}/{kinds[n]}" for n, t in df.dtypes if same.get(t) != kinds[n])
     return ("OK" if got else "EMPTY"), f"{note} {types}"
 
 
