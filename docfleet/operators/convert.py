@@ -63,7 +63,7 @@ def blocks_to_markdown(content: Column) -> Column:
         rest = strip(F.replace(style, F.lit("heading"), F.lit("")))
         level = F.when(rest == "", F.lit(1)).when(rest.rlike(r"^[+-]?[0-9]+\z"), rest.try_cast("int"))
         text = F.coalesce(block["text"], F.lit(""))
-        heading = F.concat(F.repeat(F.lit("#"), F.greatest(level, F.lit(0))), F.lit(" "), text)
+        heading = F.when(level.isNotNull(), F.concat(F.repeat(F.lit("#"), F.greatest(level, F.lit(0))), F.lit(" "), text))
         return F.concat(F.when(F.contains(style, F.lit("heading")), heading).otherwise(text), F.lit("\n"))
 
     def render(blocks: Column) -> Column:

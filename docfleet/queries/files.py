@@ -193,16 +193,16 @@ def age_hours(v):
 # ---------------------------------------------------------------- sources and sinks
 
 
-@query("S1")
+@query("S1", "select source, lang, cast(sum(octet_length(encode(text)) + 1) as bigint) as bytes from documents group by source, lang")
 def scan_files(v):
-    """Writes the documents as one file each under a fresh folder, then takes the inventory."""
-    texts = v("v_files").select("content", F.col("file_id").alias("id"))
+    """The documents are written as a tree of text files; its inventory gives the bytes per folder."""
+    texts = v("documents").select("text", "source", "lang")
     path = scratch_path(texts.sparkSession, "tree")
-    texts.withColumn("folder", F.pmod("id", F.lit(7))).write.partitionBy("folder").json(path)
-    found = S.scan_files(texts.sparkSession, path, glob="*.json")
-    return found.select(F.regexp_extract("path", r"^folder=(\d+)/", 1).alias("folder"), "size").groupBy("folder").agg(
-        F.count_if(F.col("size") > 0).alias("files")
-    )
+    texts.write.partitionBy("source", "lang").text(path)
+    found = S.scan_files(texts.sparkSession, path, skip=["_SUCCESS"])
+    folder = lambda i: F.substring_index(F.get(F.split("path", "/", -1), F.lit(i)), "=", -1)
+    data = found.filter(~F.startswith(P.base_name(F.col("path")), F.lit(".")))
+    return data.groupBy(folder(0).alias("source"), folder(1).alias("lang")).agg(F.sum("size").alias("bytes"))
 
 
 MEDIA = _case("ext", S._MEDIA_BY_EXTENSION, f"'{K.DEFAULT_CONTENT_TYPE}'")

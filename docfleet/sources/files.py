@@ -2,47 +2,102 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+import hashlib
+from collections.abc import Iterable, Iterator
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from docfleet.functions import constants as K
 from docfleet.functions.scalars import base_name, file_extension
 from docfleet.operators.documents import is_falsy
+from docfleet.plans.runtime import stored
+from docfleet.plans.skew import spread_join
 
 
-def not_excluded(path: Column, exclude_dirs: Iterable[str] = K.EXCLUDED_DIRS) -> Column:
-    """Does no folder on the path have an excluded name? Names are compared one by one."""
-    folders = F.slice(F.split(path, "/", -1), 1, F.size(F.split(path, "/", -1)) - 1)
-    return ~F.arrays_overlap(folders, F.array(*[F.lit(d) for d in exclude_dirs]))
+LISTING = "path string, is_dir boolean, size bigint, mtime_us bigint"
+
+
+def _open_root(root: str):
+    """File system and base path of a root folder; any scheme pyarrow knows, or a local path."""
+    from pyarrow import fs
+
+    return fs.FileSystem.from_uri(root if "://" in root or root.startswith("file:") else f"file://{root}")
 
 
 def scan_files(
-    spark: SparkSession,
-    root: str,
-    exclude_dirs: Iterable[str] = K.EXCLUDED_DIRS,
-    skip: Iterable[str] = (),
-    glob: str = "*",
-    content: bool = False,
+    spark: SparkSession, root: str, exclude_dirs: Iterable[str] = K.EXCLUDED_DIRS, skip: Iterable[str] = ()
 ) -> DataFrame:
-    """Recursive inventory: path (relative to root), size, mtime, and content only on request.
+    """Recursive inventory: path (relative to root), size, mtime.
 
-    Unless asked for, ``content`` is not selected, so no file is opened.
+    Spark's own file sources leave out empty files and names starting with a dot or underscore,
+    which an inventory must show, so folders are listed in tasks, one level of the tree after the
+    other. Folders with an excluded name are not entered. Names are compared one path component
+    at a time, so an excluded name that contains a slash never matches.
     """
-    found = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", glob)
-        .load(root)
+    excluded, root = set(exclude_dirs), root.rstrip("/")
+
+    def list_folders(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyarrow import fs
+
+        files, base = _open_root(root)
+        for batch in batches:
+            for folder in batch["path"]:
+                found = files.get_file_info(fs.FileSelector(f"{base}/{folder}".rstrip("/")))
+                yield pd.DataFrame(
+                    {
+                        "path": [f"{folder}/{i.base_name}".lstrip("/") for i in found],
+                        "is_dir": [i.type == fs.FileType.Directory for i in found],
+                        "size": [i.size or 0 for i in found],
+                        "mtime_us": [i.mtime_ns // 1000 if i.mtime_ns else 0 for i in found],
+                    }
+                )
+
+    level = spark.createDataFrame([("",)], "path string")
+    levels = []
+    while True:
+        level = stored(level.mapInPandas(list_folders, LISTING), "listing")
+        levels.append(level.filter(~F.col("is_dir")))
+        folders = level.filter(F.col("is_dir") & ~base_name(F.col("path")).isin(list(excluded))).select("path")
+        if folders.isEmpty():
+            break
+        level = folders.repartition("path")
+    out = levels[0]
+    for more in levels[1:]:
+        out = out.union(more)
+    return out.filter(~F.col("path").isin(list(skip))).select(
+        "path", "size", F.timestamp_micros("mtime_us").alias("mtime")
     )
-    place = "/" + root.split("://")[-1].split(":")[-1].strip("/") + "/"
-    inside = F.substring_index(F.col("path"), place, -1)
-    columns = [inside.alias("path"), F.col("length").alias("size"), F.col("modificationTime").alias("mtime")]
-    if content:
-        columns.append(F.col("content"))
-    listed = found.select(*columns).filter(not_excluded(F.col("path"), exclude_dirs))
-    skip = list(skip)
-    return listed.filter(~F.col("path").isin(skip)) if skip else listed
+
+
+def hash_files(files: DataFrame, root: str, copies_only: bool = True) -> DataFrame:
+    """SHA-256 of the files of an inventory: path, size, mtime, hash.
+
+    ``copies_only`` reads only files whose size occurs more than once, since no other file can
+    have a copy. Files are read in blocks, never whole, and the sizes table is joined before any
+    file is opened.
+    """
+    wanted = files.filter(F.col("size") > 0)
+    if copies_only:
+        sizes = wanted.groupBy("size").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1)
+        wanted = spread_join(wanted, sizes.select("size"), ["size"], "left_semi", spread_by=["path"])
+    kept = wanted.columns
+
+    def hash_batch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        opened, base = _open_root(root.rstrip("/"))
+        for batch in batches:
+            digests = []
+            for path in batch["path"]:
+                digest = hashlib.sha256()
+                with opened.open_input_stream(f"{base}/{path}") as stream:
+                    while block := stream.read(1 << 20):
+                        digest.update(block)
+                digests.append(digest.hexdigest())
+            yield batch.assign(hash=digests)
+
+    schema = ", ".join(f"{name} {kind}" for name, kind in files.select(kept).dtypes) + ", hash string"
+    # by path, so that large files of one folder are not read by one task
+    return stored(wanted.repartition("path").mapInPandas(hash_batch, schema), "digests")
 
 
 def ingest_manifest(files: DataFrame, uploaded_at: Column | None = None) -> DataFrame:
