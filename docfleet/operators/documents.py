@@ -17,9 +17,6 @@ from docfleet.plans.ordered import (
 )
 from docfleet.plans.skew import spread_join
 
-WHOLE_NUMBER = rf"^[{K.BLANKS}]*[+-]?[0-9]+[{K.BLANKS}]*\z"
-
-
 # ---------------------------------------------------------------- pages
 
 
@@ -47,32 +44,26 @@ def join_pages(pages: DataFrame, sep: str = "<hr/>", **parts) -> DataFrame:
 
 
 def parse_page_ranges(requests: DataFrame) -> DataFrame:
-    """requests(request_id, doc_id, ranges) -> one row per range: range_pos, lo, hi, valid."""
-    item = F.col("item")
-    bounds = F.split(item, "-", -1)
-    is_range = F.contains(item, F.lit("-"))
-    part = lambda i: strip(F.get(bounds, F.lit(i)))
-    number = lambda c: F.when(c.rlike(WHOLE_NUMBER), c.try_cast("bigint"))
-    return (
-        requests.select("request_id", "doc_id", F.posexplode("ranges").alias("range_pos", "item"))
-        .withColumn("lo", number(part(0)))
-        .withColumn("hi", F.when(is_range, number(part(1))).otherwise(F.col("lo")))
-        .withColumn(
-            "valid",
-            F.col("lo").isNotNull() & F.col("hi").isNotNull() & (~is_range | (F.size(bounds) == 2)),
-        )
-        .withColumn("range_pos", F.col("range_pos").cast("bigint"))
-        .drop("item")
+    """requests(request_id, doc_id, ranges) -> one row per readable range: range_pos, lo, hi."""
+    bounds = F.split("item", "-", -1)
+    number = lambda i: strip(F.get(bounds, F.lit(i))).try_cast("bigint")
+    return requests.select("request_id", "doc_id", F.posexplode("ranges").alias("range_pos", "item")).select(
+        "request_id",
+        "doc_id",
+        F.col("range_pos").cast("bigint").alias("range_pos"),
+        number(0).alias("lo"),
+        F.coalesce(number(1), number(0)).alias("hi"),
     )
 
 
+def _unreadable_ranges() -> Column:
+    number = rf"[{K.BLANKS}]*\+?[0-9]+[{K.BLANKS}]*"
+    return F.filter("ranges", lambda r: ~r.rlike(rf"^{number}(?:-{number})?\z"))
+
+
 def check_page_ranges(requests: DataFrame) -> DataFrame:
     """(request_id, status, error): one range that cannot be read fails the whole request."""
-    bad = lambda item: ~(
-        item.rlike(WHOLE_NUMBER)
-        | item.rlike(rf"^[{K.BLANKS}]*\+?[0-9]+[{K.BLANKS}]*-[{K.BLANKS}]*\+?[0-9]+[{K.BLANKS}]*\z")
-    )
-    wrong = F.filter("ranges", lambda r: bad(r) | F.startswith(strip(r), F.lit("-")))
+    wrong = _unreadable_ranges()
     return requests.select(
         "request_id",
         F.when(F.size(wrong) > 0, "failure").otherwise("success").alias("status"),
@@ -115,8 +106,7 @@ def select_pages(pages: DataFrame, requests: DataFrame) -> DataFrame:
     Ranges are 1-based and inclusive. Pages outside the document are dropped, a reversed range is
     empty, and a request with an unreadable range gives nothing (see :func:`check_page_ranges`).
     """
-    good = check_page_ranges(requests).filter(F.col("status") == "success").select("request_id")
-    ranges = parse_page_ranges(requests.join(good, "request_id", "left_semi"))
+    ranges = parse_page_ranges(requests.filter(F.size(_unreadable_ranges()) == 0))
     known = spread_join(ranges, page_counts(pages), ["doc_id"], "inner")
     return _take_ranges(known, pages, "request_id", "range_pos")
 

@@ -149,7 +149,7 @@ from events""",
     "v_results": """
 select project_id, pos, description as name, case when pos % 3 = 0 then 'pass' else 'fail' end as status,
        case when pos % 3 <> 0 then 'broken' end as error
-from v_features where pos % 2 = 0""",
+from v_features where passes is not null""",
     "v_tasks": """
 select seq, task_id, state, case seq % 5 when 0 then 'failure' when 1 then null else 'success' end as result_status, seq % 7 <> 0 as has_data
 from v_task_events""",

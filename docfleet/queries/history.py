@@ -164,7 +164,7 @@ def state_as_of(v):
 
 
 SNAPSHOT = "select path, arg_max(hash, event_id) as hash from v_snapshots where {} group by path"
-EARLY, LATE = "ts < timestamp '2024-01-15'", "event_id % 10 <> 0 and ts >= timestamp '2024-01-04'"
+EARLY, LATE = "ts < timestamp '2024-01-15'", "ts >= timestamp '2024-01-24'"
 
 
 @query(

@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from docfleet.functions import constants as K
+from docfleet.functions import markdown as M
 from docfleet.operators import catalogue, convert
 from docfleet.operators import lookup as L
 from docfleet.queries import query
@@ -140,33 +141,34 @@ def catalogue_coverage(v):
 # ---------------------------------------------------------------- conversions
 
 
-def _json_list(items) -> F.Column:
-    return F.to_json(F.transform(F.sort_array(F.collect_list(items)), lambda x: x["t"]))
-
-
 def _conversion_input(v):
     """Markdown texts, page lists, sheets and unsupported files, built from the given tables."""
-    lines = v("v_md_lines").groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("pos", "line"))).alias("l"))
-    md = lines.select(
-        F.concat(F.lit("md-"), F.col("doc_id").cast("string")).alias("file_id"),
+    block = lambda m: (
+        F.when(F.startswith(m, F.lit("<h")), F.concat(F.repeat(F.lit("#"), F.substring(m, 3, 1).cast("int")), F.lit(" "), F.substring(m, 5, 1_000_000)))
+        .when(F.startswith(m, F.lit("<li>")), F.concat(F.lit("- "), F.substring(m, 5, 1_000_000)))
+        .otherwise(F.substring(m, 4, 1_000_000))
+    )
+    found = F.regexp_extract_all("html", F.lit("<(?:h[1-6]|li|p)>[^<]*"), F.lit(0))
+    lines = F.transform(found, lambda m, i: F.concat(F.when(i % 11 == 3, M.FENCE).otherwise(""), F.lit("\n"), block(m)))
+    md = v("pages").select(
+        F.concat(F.lit("md-"), F.col("page_id").cast("string")).alias("file_id"),
         F.lit("markdown_to_html").alias("conversion_type"),
-        F.array_join(F.transform("l", lambda x: x["line"]), "\n").alias("content"),
+        F.array_join(lines, "\n").alias("content"),
+    )
+    pages = v("documents").select(
+        F.concat(F.lit("pdf-"), F.col("doc_id").cast("string")), F.lit("pdf_to_html"), F.to_json(F.split("text", "\n", -1))
     )
-    pages = (
-        v("v_pages")
-        .groupBy("doc_id")
-        .agg(_json_list(F.struct("page", F.col("text").alias("t"))).alias("content"))
-        .select(F.concat(F.lit("pdf-"), F.col("doc_id").cast("string")), F.lit("pdf_to_html"), "content")
+    # sheets of a hundred rows; a missing value is the JSON null
+    row = F.expr(
+        "concat('[', c_custkey, ',\"', c_name, '\",', case when c_nationkey = 1 then 'null' else cast(c_nationkey as string) end, ',\"', "
+        "case when c_custkey % 11 = 0 then '' else c_mktsegment end, '\"]')"
     )
-    cell = F.coalesce(F.when(F.col("is_num"), F.col("value")).otherwise(F.to_json(F.array("value"))), F.lit("null"))
-    bare = F.when(F.startswith(cell, F.lit("[")), F.substring(cell, F.lit(2), F.length(cell) - 2)).otherwise(cell)
-    row = v("v_cells").groupBy("doc_id", "rw").agg(F.sort_array(F.collect_list(F.struct("col", bare.alias("t")))).alias("c"))
-    row = row.withColumn("t", F.concat(F.lit("["), F.array_join(F.transform("c", lambda x: x["t"]), ","), F.lit("]")))
     sheets = (
-        row.groupBy("doc_id")
-        .agg(F.sort_array(F.collect_list(F.struct("rw", "t"))).alias("r"))
+        v("customer")
+        .groupBy(F.expr("c_custkey div 100").alias("sheet"))
+        .agg(F.sort_array(F.collect_list(F.struct("c_custkey", row.alias("t")))).alias("r"))
         .select(
-            F.concat(F.lit("xls-"), F.col("doc_id").cast("string")),
+            F.concat(F.lit("xls-"), F.col("sheet").cast("string")),
             F.lit("excel_to_csv"),
             F.concat(F.lit("["), F.array_join(F.transform("r", lambda x: x["t"]), ","), F.lit("]")),
         )
@@ -182,15 +184,16 @@ def _conversion_input(v):
 CONVERTED = (
     HTML.replace("select doc_id, cast(0 as bigint) as part, string_agg", ", html as (select doc_id, string_agg").strip()
     + f""")
-, rows as (select doc_id, rw, string_agg(case when value is null or value = '' or (is_num and try_cast(value as double) = 0) then '' else value end, ',' order by col) as line from v_cells group by all),
+, rows as (select c_custkey // 100 as sheet, c_custkey, concat(case when c_custkey = 0 then '' else cast(c_custkey as varchar) end, ',', c_name, ',',
+      case when c_nationkey in (0, 1) then '' else cast(c_nationkey as varchar) end, ',', case when c_custkey % 11 = 0 then '' else c_mktsegment end) as line from customer),
 out as (
   select concat('md-', doc_id) as file_id, 'markdown_to_html' as conversion_type, html as data, null as error from html
-  union all select concat('pdf-', doc_id), 'pdf_to_html', string_agg(text, '<hr/>' order by page), null from v_pages group by doc_id
-  union all select concat('xls-', doc_id), 'excel_to_csv', string_agg(line, chr(10) order by rw), null from rows group by doc_id
+  union all select concat('pdf-', doc_id), 'pdf_to_html', replace(text, chr(10), '<hr/>'), null from documents
+  union all select concat('xls-', sheet), 'excel_to_csv', string_agg(line, chr(10) order by c_custkey), null from rows group by sheet
   union all select concat('page-', page_id), case when page_id % 2 = 0 then 'pdf_to_excel' else 'word_to_markdown' end, null,
       case when page_id % 2 = 0 then '{K.MSG_UNSUPPORTED}pdf_to_excel' else 'content is not a list of blocks' end from pages)
-select file_id, conversion_type, case when error is null then 'success' else 'failure' end as status, data,
-    case conversion_type when 'excel_to_csv' then 'text/csv' when 'markdown_to_html' then 'text/html' when 'pdf_to_html' then 'text/html' end as content_type, error
+select file_id, conversion_type, case when error is null then 'success' else 'failure' end as status, nullif(data, '') as data,
+    case when data <> '' then case conversion_type when 'excel_to_csv' then 'text/csv' when 'markdown_to_html' then 'text/html' when 'pdf_to_html' then 'text/html' end end as content_type, error
 from out"""
 )
 
