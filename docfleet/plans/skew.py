@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -27,7 +29,7 @@ def heavy_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def _has_null(keys: Sequence[str]) -> Column:
-    return F.array_contains(F.array(*[F.col(k).isNull() for k in keys]), True)
+    return reduce(or_, [F.col(k).isNull() for k in keys])
 
 
 def spread_join(
