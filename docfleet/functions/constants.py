@@ -262,3 +262,5 @@ BLANKS = (
 BLANK_CHARS = "".join(
     map(chr, [*range(0x9, 0xE), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000])
 )
+# a run of them for java.util.regex, whose Unicode white space lacks four separators
+BLANK_RUN = r"(?U)[\s\x1c-\x1f]+"

@@ -88,12 +88,14 @@ def issue_list(issues: DataFrame, status: str | None = None) -> DataFrame:
 
 def resolve_issues(issues: DataFrame, updates: DataFrame) -> DataFrame:
     """updates(issue_id, resolved_at, resolution), one per issue -> issues with these applied."""
-    new = updates.select("issue_id", "resolved_at", "resolution", F.lit("resolved").alias("_status"))
-    return (
-        issues.join(new, "issue_id", "left")
-        .withColumn("status", F.coalesce("_status", "status"))
-        .drop("_status")
+    new = updates.select(
+        "issue_id", F.struct("resolved_at", "resolution", F.lit("resolved").alias("status")).alias("_new")
     )
+    out = issues.join(new, "issue_id", "left")
+    for field in ("status", "resolved_at", "resolution"):
+        value = F.col(f"_new.{field}")
+        out = out.withColumn(field, F.coalesce(value, field) if field in issues.columns else value)
+    return out.drop("_new")
 
 
 def open_issues(issues: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from docfleet.functions import constants as K
 from docfleet.functions import markdown as M
 from docfleet.functions import scalars as P
 from docfleet.operators import convert as C
@@ -82,6 +83,15 @@ def test_strip_is_unicode_wide(spark):
     assert apply(spark, texts, "string", P.is_blank) == [not t.strip() for t in texts]
 
 
+def test_the_forms_of_white_space_agree(spark):
+    chars = [chr(c) for c in range(0x3100) if chr(c).isspace()]
+    assert sorted(K.BLANK_CHARS) == chars
+    df = spark.range(0x3100).filter("id > 0").select("id", F.expr("decode(unhex(lpad(hex(id), 4, '0')), 'utf-16be')").alias("c"))
+    runs = df.filter(F.col("c").rlike(rf"^{K.BLANK_RUN}\z") | F.col("c").rlike(rf"^[{K.BLANKS}]\z"))
+    both = df.filter(F.col("c").rlike(rf"^{K.BLANK_RUN}\z") & F.col("c").rlike(rf"^[{K.BLANKS}]\z"))
+    assert [r.id for r in runs.orderBy("id").collect()] == [r.id for r in both.orderBy("id").collect()] == [ord(c) for c in chars]
+
+
 def test_time_ago_and_stale(spark):
     df = spark.range(1).select(*[P.time_ago(hours_ago(h), now()).alias(str(i)) for i, h in enumerate((0, 0.5, 2, 30, 72))])
     assert list(df.first()) == ["just now", "30 minutes ago", "2 hours ago", "yesterday", "3 days ago"]
@@ -376,6 +386,14 @@ def test_superseded_decisions(spark):
     assert sorted(r.decision_id for r in got.collect()) == [2, 4]
 
 
+def test_resolving_twice_keeps_other_issues(spark):
+    issues = spark.createDataFrame([(1, "open"), (2, "closed")], "issue_id int, status string")
+    update = lambda i, text: spark.createDataFrame([(i, text)], "issue_id int, resolution string").withColumn("resolved_at", now())
+    once = H.resolve_issues(issues, update(1, "a"))
+    twice = H.resolve_issues(once, update(2, "b"))
+    assert [(r.issue_id, r.status, r.resolution) for r in twice.orderBy("issue_id").collect()] == [(1, "resolved", "a"), (2, "resolved", "b")]
+
+
 def test_ids_grow_past_three_digits(spark):
     df = spark.range(1001).select("id", F.lit("02a").alias("phase"))
     got = {r.id: r.label for r in H.assign_ids(df, "D", [F.col("id")]).collect()}

@@ -1,6 +1,6 @@
 """Run queries in Spark and their statements in DuckDB on the same tables and compare all rows.
 
-usage: python tools/check.py SF_DIR [query ...]
+usage: python tools/check.py SF_DIR [query or inventory id, or -id to leave out ...]
 """
 
 import datetime
@@ -72,7 +72,9 @@ def main():
     con = duck(sf_dir)
     bad = 0
     for name, q in load_all().items():
-        if names and not any(n == name or n == q.item for n in names):
+        if "-" + q.item in names:
+            continue
+        if [n for n in names if n[0] != "-"] and not any(n == name or n == q.item for n in names):
             continue
         try:
             state, note = compare(q, spark, con, sf_dir)
