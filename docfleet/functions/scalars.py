@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from itertools import chain
 
 from pyspark.sql import Column, functions as F
@@ -22,6 +22,11 @@ def div(number: Column, by: int) -> Column:
     return F.call_function("div", number, F.lit(by).cast("bigint"))
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """Evaluate ``value`` once per row and use it any number of times in ``body``."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def strip(text: Column) -> Column:
     """Drop leading and trailing white space, in the Unicode sense."""
     return F.btrim(text, F.lit(K.BLANK_CHARS))

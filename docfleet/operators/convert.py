@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from docfleet.functions import constants as K
 from docfleet.functions import markdown as M
-from docfleet.functions.scalars import content_type, is_blank, output_format, strip
+from docfleet.functions.scalars import content_type, is_blank, let, output_format, strip
 
 ColumnConverter = Callable[[Column], Column]
 PandasConverter = Callable[[str], str]
@@ -50,11 +50,6 @@ def _result(data: Column, error: Column) -> Column:
     return F.struct(data.alias("data"), error.alias("error"))
 
 
-def _let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """Evaluate ``value`` once per row and use it several times in ``body``."""
-    return F.element_at(F.transform(F.array(value), body), 1)
-
-
 def blocks_to_markdown(content: Column) -> Column:
     """JSON list of {"style", "text"} -> Markdown text."""
 
@@ -74,7 +69,7 @@ def blocks_to_markdown(content: Column) -> Column:
             F.when(blocks.isNull(), "content is not a list of blocks").when(bad, "invalid heading level"),
         )
 
-    return _let(F.from_json(content, "array<struct<style:string,text:string>>"), render)
+    return let(F.from_json(content, "array<struct<style:string,text:string>>"), render)
 
 
 def blocks_to_pages(content: Column) -> Column:
@@ -84,7 +79,7 @@ def blocks_to_pages(content: Column) -> Column:
         texts = F.filter(F.transform(blocks, lambda b: b["text"]), lambda t: t.isNotNull() & ~is_blank(t))
         return _result(F.to_json(texts), F.when(blocks.isNull(), "content is not a list of blocks"))
 
-    return _let(F.from_json(content, "array<struct<style:string,text:string>>"), render)
+    return let(F.from_json(content, "array<struct<style:string,text:string>>"), render)
 
 
 def _is_falsy(cell: Column) -> Column:
@@ -106,7 +101,7 @@ def sheet_to_csv(content: Column) -> Column:
         lines = F.transform(rows, lambda r: F.array_join(F.transform(r.cast("array<variant>"), cell), ","))
         return _result(F.array_join(lines, "\n"), F.when(rows.isNull(), "content is not a list of rows"))
 
-    return _let(_rows(content), render)
+    return let(_rows(content), render)
 
 
 def sheet_to_rows(content: Column) -> Column:
@@ -120,7 +115,7 @@ def sheet_to_rows(content: Column) -> Column:
         )
         return _result(F.to_json(shown), F.when(rows.isNull(), "content is not a list of rows"))
 
-    return _let(_rows(content), render)
+    return let(_rows(content), render)
 
 
 def _rows(content: Column) -> Column:
@@ -129,7 +124,7 @@ def _rows(content: Column) -> Column:
 
 def pages_to_html(content: Column) -> Column:
     """JSON list of page texts -> the pages joined by a rule."""
-    return _let(
+    return let(
         F.from_json(content, "array<string>"),
         lambda pages: _result(
             F.array_join(pages, "<hr/>", ""), F.when(pages.isNull(), "content is not a list of pages")

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from docfleet.functions import constants as K
 from docfleet.functions import markdown as M
-from docfleet.functions.scalars import base_name, file_extension, is_blank, strip
+from docfleet.functions.scalars import base_name, is_blank, strip
 from docfleet.plans.ordered import (
     explode_range,
     ordered_parts,

@@ -21,9 +21,6 @@ def _t(column: str, name: str | None = None) -> str:
     return f"strftime({column}, {DUCK_FMT}) as {name or column}"
 
 
-PHASES = "select project_id, phase, status from v_phases"
-
-
 @query(
     "A10",
     """
@@ -100,9 +97,6 @@ def metric_totals(v):
     return H.metric_totals(reports)
 
 
-FILE_HASH = "case when file_id % 50 = 0 then 'f0' else concat('f', file_id) end"
-
-
 @query(
     "A14",
     f"""
@@ -250,10 +244,9 @@ def recent_history(v):
 @query(
     "W7",
     """
-with e as (select project_id, count(*) as n from v_history where ts < timestamp '2024-01-10' group by project_id),
+with e as (select project_id, count(*) as have from v_history where ts < timestamp '2024-01-10' group by project_id),
 n as (select project_id, event_id, row_number() over (partition by project_id order by ts) as k from v_history where ts >= timestamp '2024-01-10')
-select n.project_id, event_id, k + coalesce(n, 0) as sequence
-from n left join (select project_id, n as n from e) e on e.project_id = n.project_id""".replace("coalesce(n, 0)", "coalesce(e.n, 0)"),
+select project_id, event_id, k + coalesce(have, 0) as sequence from n left join e using (project_id)""",
 )
 def append_history(v):
     history, cut = v("v_history"), F.lit("2024-01-10").cast("timestamp")

@@ -33,7 +33,8 @@ def scan_files(
     Spark's own file sources leave out empty files and names starting with a dot or underscore,
     which an inventory must show, so folders are listed in tasks, one level of the tree after the
     other. Folders with an excluded name are not entered. Names are compared one path component
-    at a time, so an excluded name that contains a slash never matches.
+    at a time, so an excluded name that contains a slash never matches. ``root`` must be a folder
+    that the executors reach.
     """
     excluded, root = set(exclude_dirs), root.rstrip("/")
 
