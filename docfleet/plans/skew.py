@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 # 1/1000 of the rows, so the table that is broadcast has a fixed size and the rest is balanced.
 MAX_HEAVY_KEYS = 1000
 ROWS_PER_SPLIT = 1_000_000
+COUNT_EVERY = 64
 
 
 def heavy_of(counts: DataFrame, keys: Sequence[str], n: str) -> DataFrame:
@@ -24,8 +25,15 @@ def heavy_of(counts: DataFrame, keys: Sequence[str], n: str) -> DataFrame:
     )
 
 
-def heavy_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return heavy_of(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")), keys, "_n")
+def heavy_keys(df: DataFrame, keys: Sequence[str], row_hash: Column) -> DataFrame:
+    """Heavy keys of a table, estimated from the rows whose hash is a multiple of COUNT_EVERY.
+
+    The estimate only decides how the work is split, never what is in a result; it spares a
+    shuffle of all keys where nearly every key is rare. It is a function of the rows alone, so
+    both sides of a join, and a retried task, see the same list.
+    """
+    counted = df.filter(F.pmod(row_hash, F.lit(COUNT_EVERY)) == 0).groupBy(*keys)
+    return heavy_of(counted.agg((F.count(F.lit(1)) * COUNT_EVERY).alias("_n")), keys, "_n")
 
 
 def _has_null(keys: Sequence[str]) -> Column:
@@ -50,8 +58,8 @@ def spread_join(
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"spread_join cannot run a {how} join")
     on = list(on)
-    heavy = F.broadcast(heavy_keys(left, on) if heavy is None else heavy)
     row_hash = F.xxhash64(*[F.col(c) for c in (spread_by or left.columns)])
+    heavy = F.broadcast(heavy_keys(left, on, row_hash) if heavy is None else heavy)
     salted = left.join(heavy, on, "left").withColumn(
         "_split",
         # rows without a key match nothing, so they may go anywhere

@@ -28,5 +28,6 @@ def tight(monkeypatch):
     from docfleet.plans import ordered, skew
 
     monkeypatch.setattr(skew, "ROWS_PER_SPLIT", 3)
+    monkeypatch.setattr(skew, "COUNT_EVERY", 1)
     monkeypatch.setattr(ordered, "POSITIONS_PER_PIECE", 3)
     monkeypatch.setattr(ordered, "ROWS_PER_PART", 4)

@@ -29,10 +29,22 @@ def skewed(spark):
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
 def test_spread_join_equals_plain_join(spark, tight, skewed, how):
     right = spark.createDataFrame([(1, "a"), (3, "b"), (6, "c"), (500, "d"), (None, "e")], "k int, name string")
-    assert heavy_keys(skewed, ["k"]).count() >= 1
+    assert heavy_keys(skewed, ["k"], F.xxhash64("id")).count() >= 1
     assert rows(spread_join(skewed, right, ["k"], how)) == rows(skewed.join(right, "k", how))
 
 
+def test_heavy_keys_are_found_from_few_rows(spark, monkeypatch):
+    from docfleet.plans import skew
+
+    monkeypatch.setattr(skew, "ROWS_PER_SPLIT", 10_000)
+    df = spark.range(100_000).select(F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).alias("k"), "id")
+    found = heavy_keys(df, ["k"], F.xxhash64("id")).collect()
+    assert [(r.k, r._splits in (3, 4)) for r in found] == [(-1, True)]
+    right = df.select("k").distinct().withColumn("x", F.col("k") + 1)
+    joined = spread_join(df, right, ["k"], "inner")
+    assert joined.count() == 100_000 and joined.filter("x <> k + 1").count() == 0
+
+
 def test_spread_join_repeated_right_rows(spark, tight, skewed):
     right = spark.createDataFrame([(1, "a"), (1, "b"), (3, "c")], "k int, name string")
     assert rows(spread_join(skewed, right, ["k"], "left")) == rows(skewed.join(right, "k", "left"))
