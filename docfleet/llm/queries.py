@@ -40,7 +40,7 @@ def op4_residual_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = warc.derivatives(warc.responses_of(_read(spark, sf_dir, "pages")))
-    return made.withColumn("content_length", F.octet_length("block").cast("bigint")).withColumn("block", F.decode("block", F.lit("utf-8")))
+    return made.withColumn("content_length", F.octet_length("block").cast("bigint")).withColumn("block", F.decode("block", "utf-8"))
 
 
 def op6_lz_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
