@@ -11,8 +11,8 @@ link when 100 * intersection >= percent * union.
    n - ceil(t*n) + 1 shingles.
 3. Prefixes meet by shingle. In a shingle's group every member is compared with one member only, the
    pivot, so a group of near copies costs its size and not its square. Pairs pass the length filter, the
-   positional filter and the suffix filter (parity bits of the set bound the difference from below);
-   what is left is verified once per pair on the whole sets.
+   positional filter and the suffix filter (parity bits, then counts per hash range, bound from below
+   how much the sets differ); what is left is verified once per pair on the whole sets.
 4. Members that these links have not joined are compared with each other, pairs of a component left
    out. Groups above ``TILE`` members are cut into tiles of pairs of blocks. No link between different
    components is lost, and links within one change nothing.
@@ -28,9 +28,11 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import BooleanType
 
 from docfleet.llm.components import smallest_reachable
 from docfleet.llm.words import WordHash, chunks, grams, hashed, words_of
@@ -57,55 +59,103 @@ def shingle_sets(texts: list, k: int, cache: WordHash) -> Iterator[np.ndarray]:
             yield np.zeros(0, np.uint64)
 
 
+def fixed_table(df: DataFrame, fill, dtype: str, size: int, wide: str, merge) -> np.ndarray:
+    """A table of ``size`` numbers that ``fill`` makes from the batches of a task, merged over all tasks.
+
+    Tasks send the blocks that have anything in them; these are merged block by block, in two steps,
+    and only the finished table, of the same size at any input, comes to the driver.
+    """
+
+    def make(batches):
+        total = fill(batches)
+        for block in range(-(-size // BLOCK)):
+            own = total[block * BLOCK : (block + 1) * BLOCK]
+            if own.any():
+                yield pa.RecordBatch.from_pydict({"block": pa.array([block], pa.int32()), "n": [own.astype(dtype).tobytes()]})
+
+    def merged(kind: str):
+        def one(table: pa.Table) -> pa.Table:
+            total = None
+            for x in table.column("n").to_pylist():
+                part = np.frombuffer(x, kind).astype(wide)
+                total = part if total is None else merge(total, part)
+            return pa.table({"block": pa.array(table.column("block").to_pylist()[:1], pa.int32()), "n": [total.tobytes()]})
+
+        return one
+
+    parts = df.mapInArrow(make, "block int, n binary").withColumn("part", F.pmod(F.spark_partition_id(), F.lit(64)))
+    halfway = parts.groupBy("block", "part").applyInArrow(merged(dtype), "block int, n binary")
+    total = np.zeros(size, wide)
+    for row in halfway.groupBy("block").applyInArrow(merged(wide), "block int, n binary").collect():
+        total[row["block"] * BLOCK : (row["block"] + 1) * BLOCK] = np.frombuffer(row["n"], wide)
+    return total
+
+
 def shingle_counts(docs: DataFrame, k: int = K) -> np.ndarray:
-    """In how many documents the shingles of each counter occur; the table has COUNTERS entries at any input size."""
+    """In how many documents the shingles of each counter occur, as powers of two."""
 
-    def count(batches):
+    def fill(batches):
         cache, total = WordHash(), np.zeros(COUNTERS, np.int64)
         for part in chunks(batches):
             sets = list(shingle_sets(part.column("text").to_pylist(), k, cache))
             total += np.bincount(np.concatenate(sets) % np.uint64(COUNTERS), minlength=COUNTERS)
-        for block in range(COUNTERS // BLOCK):
-            own = total[block * BLOCK : (block + 1) * BLOCK]
-            if own.any():
-                yield pa.RecordBatch.from_pydict({"block": pa.array([block], pa.int32()), "n": [own.astype("<i4").tobytes()]})
-
-    def added(kind: str):
-        def add(table: pa.Table) -> pa.Table:
-            total = sum(np.frombuffer(x, kind).astype("<i8") for x in table.column("n").to_pylist())
-            return pa.table({"block": pa.array(table.column("block").to_pylist()[:1], pa.int32()), "n": [total.tobytes()]})
-
-        return add
+        return total
 
-    parts = docs.select("text").mapInArrow(count, "block int, n binary").withColumn("part", F.pmod(F.spark_partition_id(), F.lit(64)))
-    halfway = parts.groupBy("block", "part").applyInArrow(added("<i4"), "block int, n binary")
-    total = np.zeros(COUNTERS, np.int64)
-    for row in halfway.groupBy("block").applyInArrow(added("<i8"), "block int, n binary").collect():
-        total[row["block"] * BLOCK : (row["block"] + 1) * BLOCK] = np.frombuffer(row["n"], "<i8")
+    total = fixed_table(docs.select("text"), fill, "<i4", COUNTERS, "<i8", np.add)
     # only the order matters: powers of two tell rare from frequent and fit a byte
     return np.ceil(np.log2(np.maximum(total, 1))).astype(np.uint8)
 
 
-SET_ROW = "_id bigint, _text bigint, _n int, _key binary, _parity bigint, _prefix binary"
+def some_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose _id is in ``ids``, and a few others.
+
+    The ids set bits in a table of fixed size, so texts are not shuffled to find the few that are
+    wanted. Rows that pass by chance find no partner in the joins that follow.
+    """
+
+    def fill(batches):
+        bits = np.zeros(FILTER_BITS // 8, np.uint8)
+        for batch in batches:
+            p = batch.column(0).to_numpy()
+            np.bitwise_or.at(bits, p >> 3, (128 >> (p & 7)).astype(np.uint8))
+        return bits
+
+    place = lambda c: F.pmod(F.xxhash64(c), F.lit(FILTER_BITS))
+    table = fixed_table(ids.select(place("_id").alias("p")), fill, "u1", FILTER_BITS // 8, "u1", np.bitwise_or)
+    bits = docs.sparkSession.sparkContext.broadcast(table)
+
+    @F.pandas_udf(BooleanType())
+    def passes(at: pd.Series) -> pd.Series:
+        p = at.to_numpy()
+        return pd.Series(bits.value[p >> 3] & (128 >> (p & 7)).astype(np.uint8) != 0)
+
+    return docs.filter(passes(place("_id")))
+
+
+RANGES = 256
+FILTER_BITS = 1 << 27
+SET_ROW = "_id bigint, _text bigint, _n int, _key binary, _parity bigint, _ranges binary, _prefix binary"
 
 
 def _set_rows(counts, k: int, percent: int):
     def rows(batches):
         cache, rank = WordHash(), counts.value
         for part in chunks(batches):
-            n, key, parity, prefix = [], [], [], []
+            n, key, parity, ranges, prefix = [], [], [], [], []
             for s in shingle_sets(part.column("text").to_pylist(), k, cache):
                 size = len(s)
                 n.append(size)
                 key.append(xxhash.xxh3_128_digest(s.tobytes()) if size else None)
-                bits = np.bincount(s >> np.uint64(58), minlength=64) & 1
+                spread = np.bincount(s >> np.uint64(56), minlength=RANGES)
+                ranges.append(np.minimum(spread, 255).astype(np.uint8).tobytes())
+                bits = spread.reshape(64, -1).sum(axis=1) & 1
                 parity.append(int(np.packbits(bits.astype(np.uint8)).view(">i8")[0]))
                 length = size - -(-percent * size // 100) + 1 if size else 0
                 order = np.argsort(rank[s % np.uint64(COUNTERS)], kind="stable")[:length]
                 prefix.append(s[order].tobytes())
             yield pa.RecordBatch.from_arrays(
-                [part.column("_id"), part.column("_text"), pa.array(n, pa.int32()), pa.array(key, pa.binary()), pa.array(parity, pa.int64()), pa.array(prefix, pa.binary())],
-                ["_id", "_text", "_n", "_key", "_parity", "_prefix"],
+                [part.column("_id"), part.column("_text"), pa.array(n, pa.int32()), pa.array(key, pa.binary()), pa.array(parity, pa.int64()), pa.array(ranges, pa.binary()), pa.array(prefix, pa.binary())],
+                ["_id", "_text", "_n", "_key", "_parity", "_ranges", "_prefix"],
             )
 
     return rows
@@ -217,8 +267,25 @@ def _shuffled(df: DataFrame, by: str) -> DataFrame:
     return df.repartition(F.col(by)).sortWithinPartitions(by, "_id")
 
 
+def _close(pairs: DataFrame, shapes: DataFrame, percent: int) -> DataFrame:
+    """The pairs that pass the suffix filter: sets differ at least by what their counts per hash range differ."""
+
+    @F.pandas_udf(BooleanType())
+    def passes(na: pd.Series, ra: pd.Series, nb: pd.Series, rb: pd.Series) -> pd.Series:
+        if not len(na):
+            return pd.Series([], dtype=bool)
+        rows = lambda r: np.frombuffer(b"".join(r), np.uint8).reshape(-1, RANGES).astype(np.int16)
+        both = na.to_numpy(np.int64) + nb.to_numpy(np.int64)
+        differ = np.abs(rows(ra) - rows(rb)).sum(axis=1)
+        return pd.Series(both - differ >= 2 * -(-percent * both // (100 + percent)))
+
+    right = shapes.select(F.col("_id").alias("b"), F.col("_n").alias("_nb"), F.col("_ranges").alias("_rb"))
+    left = shapes.select(F.col("_id").alias("a"), F.col("_n").alias("_na"), F.col("_ranges").alias("_ra"))
+    return pairs.join(right, "b").join(left, "a").filter(passes("_na", "_ra", "_nb", "_rb")).select("a", "b").distinct()
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs whose whole sets link; natively, one set per row."""
+    """The pairs whose whole sets link; natively, one pair per row."""
     right = sets.select(F.col("_id").alias("b"), F.col("_set").alias("_sb"))
     left = sets.select(F.col("_id").alias("a"), F.col("_set").alias("_sa"))
     both = pairs.join(right, "b").join(left, "a")
@@ -266,6 +333,7 @@ def link_documents(docs: DataFrame, k: int = K, percent: int = PERCENT, work: Wo
                 yield whole.slice(start, 50_000)
 
     rows = "_token bigint, _id bigint, _n int, _pos int, _parity bigint"
+    shapes = work.save(chosen.select("_id", "_n", "_ranges"), "shapes")
     posted = _shuffled(chosen.select("_id", "_n", "_parity", "_prefix").mapInArrow(postings, rows), "_token")
     met = work.save(
         posted.mapInArrow(_with_pivots, f"{rows}, _pid bigint, _pn int, _ppos int, _pparity bigint"), "met"
@@ -282,7 +350,7 @@ def link_documents(docs: DataFrame, k: int = K, percent: int = PERCENT, work: Wo
             a, b = x["_id"][ok], x["_pid"][ok]
             yield pa.RecordBatch.from_pydict({"a": np.minimum(a, b), "b": np.maximum(a, b)})
 
-    first = work.save(met.mapInArrow(pivot_pairs, "a bigint, b bigint").distinct(), "pairs1")
+    first = work.save(_close(met.mapInArrow(pivot_pairs, "a bigint, b bigint").distinct(), shapes, percent), "pairs1")
     # whole sets of the documents in a pair, and of no others
 
     def whole_sets(batches):
@@ -295,9 +363,13 @@ def link_documents(docs: DataFrame, k: int = K, percent: int = PERCENT, work: Wo
                 [part.column("_id"), pa.ListArray.from_arrays(pa.array(offsets), values)], ["_id", "_set"]
             )
 
-    wanted = first.select(F.explode(F.array("a", "b")).alias("_id")).distinct()
-    sets1 = work.save(narrow.join(wanted, "_id", "left_semi").mapInArrow(whole_sets, "_id bigint, _set array<bigint>"), "sets1")
+    def sets_for(pairs: DataFrame, name: str) -> DataFrame:
+        wanted = pairs.select(F.explode(F.array("a", "b")).alias("_id")).distinct()
+        return work.save(some_of(narrow.filter("_id IS NOT NULL"), wanted).select("_id", "text").mapInArrow(whole_sets, "_id bigint, _set array<bigint>"), name)
+
+    sets1 = sets_for(first, "sets1")
     links = work.save(_verified(first, sets1, percent), "links1")
+    work.drop("sets1")
     labels = smallest_reachable(links, work, "labels1")
 
     apart = (
@@ -318,12 +390,11 @@ def link_documents(docs: DataFrame, k: int = K, percent: int = PERCENT, work: Wo
         .withColumn("_tile", F.xxhash64("_token", F.least("_block", "_other"), F.greatest("_block", "_other")))
         .select("_tile", "_id", "_n", "_pos", "_parity", "_label", "_block", "_same")
     )
-    second = work.save(_shuffled(tiles, "_tile").mapInArrow(_tile_pairs(percent), "a bigint, b bigint").distinct(), "pairs2")
-    work.drop("met")
-    missing = second.select(F.explode(F.array("a", "b")).alias("_id")).distinct().join(sets1.select("_id"), "_id", "left_anti")
-    sets2 = work.save(narrow.join(missing, "_id", "left_semi").mapInArrow(whole_sets, "_id bigint, _set array<bigint>"), "sets2")
-    links2 = work.save(_verified(second, sets1.unionByName(sets2), percent), "links2")
-    work.drop("sets1", "sets2")
+    apart_pairs = _shuffled(tiles, "_tile").mapInArrow(_tile_pairs(percent), "a bigint, b bigint").distinct()
+    second = work.save(_close(apart_pairs, shapes, percent), "pairs2")
+    work.drop("met", "shapes")
+    links2 = work.save(_verified(second, sets_for(second, "sets2"), percent), "links2")
+    work.drop("sets2")
     known = labels.filter("id <> label").select(F.col("id").alias("a"), F.col("label").alias("b"))
     final = smallest_reachable(known.unionByName(links2), work, "labels2")
     # a class takes the smallest id of its component; its members follow it
