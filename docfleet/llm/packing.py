@@ -47,7 +47,7 @@ class WordIds:
 
     parts = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
     plain = regex.compile(r"[\x21-\x7e\u00a1-\u00ac\u00ae-\u012f\u0131-\u024f]+")  # lower-cased letter by letter
-    most = 300_000
+    most = 600_000
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -64,7 +64,8 @@ class WordIds:
 
     def _word(self, raw: bytes) -> bytes:
         word = raw.decode("utf-8", "surrogatepass")
-        if "<|" in word or not self.plain.fullmatch(word) or not unicodedata.is_normalized("NFC", word):
+        simple = word.isprintable() if raw.isascii() else self.plain.fullmatch(word) and unicodedata.is_normalized("NFC", word)
+        if "<|" in word or not simple:
             return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
         out = []
         for part in self.parts.findall(word.lower()):
@@ -77,15 +78,13 @@ class WordIds:
         return b"".join(out)
 
     def __call__(self, text: str | None) -> bytes:
-        words, out = self.words, []
-        for w in (text or "").encode("utf-8", "surrogatepass").split():
-            ids = words.get(w)
-            if ids is None:
-                if len(words) >= self.most:
-                    words.clear()
-                ids = words[w] = self._word(w)
-            out.append(ids)
-        return b"".join(out)
+        split = (text or "").encode("utf-8", "surrogatepass").split()
+        found = list(map(self.words.get, split))
+        for i in [i for i, ids in enumerate(found) if ids is None]:
+            if len(self.words) >= self.most:
+                self.words.clear()
+            found[i] = self.words[split[i]] = self._word(split[i])
+        return b"".join(found)
 
 
 # ---------------------------------------------------------------- best fit
