@@ -308,7 +308,7 @@ def link_documents(docs: DataFrame, k: int = K, percent: int = PERCENT, work: Wo
     )
     named = work.save(
         sets.select("_id", "_text", "_n", "_key").join(classes.filter("_rows > 1").drop("_rows"), "_key", "left")
-        .select("_id", "_text", "_n", F.when(F.col("_n") > 0, F.coalesce("_class", "_id")).alias("_class")),
+        .select("_id", "_text", "_n", F.when((F.col("_n") > 0) & F.col("_id").isNotNull(), F.coalesce("_class", "_id")).alias("_class")),
         "named",
     )
     # a class is shown by its smallest id
