@@ -20,15 +20,15 @@ from collections.abc import Iterator
 
 import pandas as pd
 import pyarrow as pa
-import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql.types import StringType
 
+from docfleet.llm.words import tidy
 from docfleet.llm.work import Work
 
-BUCKET_BYTES = 32 << 20
-FOLD_BYTES = 32 << 20
+BUCKET_BYTES = 16 << 20
+FOLD_BYTES = 16 << 20
 RECORD = "_sha string, _text binary, _n bigint, _top bigint, _tops bigint"
 
 
@@ -81,12 +81,12 @@ class ContentTable:
         elif count[1] is None or (top is not None and top > count[1]):
             count[1], count[2] = top, tops
 
-    def batch(self) -> pa.RecordBatch:
-        counts = list(zip(*self.counts)) or [(), (), ()]
+    def batch(self, start: int = 0, end: int | None = None) -> pa.RecordBatch:
+        counts, contents = list(zip(*self.counts[start:end])) or [(), (), ()], self.contents[start:end]
         return pa.RecordBatch.from_arrays(
             [
-                pa.array([hashlib.sha256(c).hexdigest() for c in self.contents], pa.string()),
-                pa.array(self.contents, pa.binary()),
+                pa.array([hashlib.sha256(c).hexdigest() for c in contents], pa.string()),
+                pa.array(contents, pa.binary()),
                 *(pa.array(c, pa.int64()) for c in counts),
             ],
             ["_sha", "_text", "_n", "_top", "_tops"],
@@ -94,9 +94,8 @@ class ContentTable:
 
 
 def _flush(table: ContentTable) -> Iterator[pa.RecordBatch]:
-    whole = table.batch()
-    for at in range(0, whole.num_rows, 1000):
-        yield whole.slice(at, 1000)
+    for at in range(0, len(table.contents), 1000):
+        yield table.batch(at, at + 1000)
 
 
 def _fold_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -113,8 +112,8 @@ def _fold_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _fold_records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     table = ContentTable()
     for batch in batches:
-        for row in zip(*(batch.column(c).to_pylist() for c in ("_text", "_n", "_top", "_tops"))):
-            table.add(*row)
+        for text, *count in zip(batch.column("_text"), *(batch.column(c).to_pylist() for c in ("_n", "_top", "_tops"))):
+            table.add(text.as_py(), *count)
             if table.bytes > FOLD_BYTES:
                 yield from _flush(table)
                 table = ContentTable()
@@ -124,10 +123,14 @@ def _fold_records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 def _whole_bucket(bucket: pa.Table) -> pa.Table:
     table = ContentTable()
     for batch in bucket.to_batches():
-        for row in zip(*(batch.column(c).to_pylist() for c in ("_text", "_n", "_top", "_tops"))):
-            table.add(*row)
-    found = pa.Table.from_batches([table.batch()]).select(["_sha", "_n", "_top", "_tops"])
-    return found.filter(pc.greater(found.column("_n"), 1))
+        for text, *count in zip(batch.column("_text"), *(batch.column(c).to_pylist() for c in ("_n", "_top", "_tops"))):
+            table.add(text.as_py(), *count)
+    several = [(hashlib.sha256(content).hexdigest(), *count) for content, count in zip(table.contents, table.counts) if count[0] > 1]
+    columns = list(zip(*several)) or [(), (), (), ()]
+    return pa.table({
+        "_sha": pa.array(columns[0], pa.string()),
+        **{name: pa.array(column, pa.int64()) for name, column in zip(("_n", "_top", "_tops"), columns[1:])},
+    })
 
 
 @F.pandas_udf(StringType())
@@ -141,7 +144,7 @@ def copy_groups(docs: DataFrame, work: Work, bucket_bytes: int = BUCKET_BYTES) -
     The tables of spill files are gone when this returns; only the narrow result is kept.
     """
     size = docs.agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0)) + 64).alias("b")).first()["b"] or 0
-    records = docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(_fold_rows, RECORD)
+    records = docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(tidy(_fold_rows), RECORD)
     found, level, tables = [], 0, []
     while True:
         buckets = max(1, min(100_000, -(-size // bucket_bytes)))
@@ -158,7 +161,7 @@ def copy_groups(docs: DataFrame, work: Work, bucket_bytes: int = BUCKET_BYTES) -
         found.append(work.save(fits, f"groups{level}"))
         if not more:
             break
-        records = spill.join(large.select("_bucket"), "_bucket", "left_semi").drop("_bucket").mapInArrow(_fold_records, RECORD)
+        records = spill.join(large.select("_bucket"), "_bucket", "left_semi").drop("_bucket").mapInArrow(tidy(_fold_records), RECORD)
         size, level = more, level + 1
     for table in tables:
         work.drop_table(table)

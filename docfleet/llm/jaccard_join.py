@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import BooleanType
 
 from docfleet.llm.components import smallest_reachable
-from docfleet.llm.words import WordHash, chunks, grams, hashed, words_of
+from docfleet.llm.words import WordHash, chunks, grams, hashed, tidy, words_of
 from docfleet.llm.work import Work
 
 K = 5
@@ -83,7 +83,7 @@ def fixed_table(df: DataFrame, fill, dtype: str, size: int, wide: str, merge) ->
 
         return one
 
-    parts = df.mapInArrow(make, "block int, n binary").withColumn("part", F.pmod(F.spark_partition_id(), F.lit(64)))
+    parts = df.mapInArrow(tidy(make), "block int, n binary").withColumn("part", F.pmod(F.spark_partition_id(), F.lit(64)))
     halfway = parts.groupBy("block", "part").applyInArrow(merged(dtype), "block int, n binary")
     total = np.zeros(size, wide)
     for row in halfway.groupBy("block").applyInArrow(merged(wide), "block int, n binary").collect():
@@ -300,7 +300,7 @@ def link_documents(docs: DataFrame, k: int = K, percent: int = PERCENT, work: Wo
     work = work or Work(spark, "jaccard_join")
     narrow = docs.select(F.col("doc_id").cast("bigint").alias("_id"), F.col("text").cast("string").alias("text"), F.xxhash64("text").alias("_text"))
     counts = spark.sparkContext.broadcast(shingle_counts(narrow, k))
-    sets = work.save(narrow.mapInArrow(_set_rows(counts, k, percent), SET_ROW), "sets")
+    sets = work.save(narrow.mapInArrow(tidy(_set_rows(counts, k, percent)), SET_ROW), "sets")
 
     classes = (
         sets.filter("_n > 0 AND _id IS NOT NULL").groupBy("_key")

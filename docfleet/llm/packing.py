@@ -24,6 +24,7 @@ import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
+from docfleet.llm.words import tidy
 from docfleet.llm.work import Work
 
 LENGTH = 2048
@@ -47,7 +48,7 @@ class WordIds:
 
     parts = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
     plain = regex.compile(r"[\x21-\x7e\u00a1-\u00ac\u00ae-\u012f\u0131-\u024f]+")  # lower-cased letter by letter
-    most = 600_000
+    most = 450_000
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -164,7 +165,7 @@ def pack(docs: DataFrame, tokenizer_path: str, length: int = LENGTH, end_id: int
     """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
     work = work or Work(docs.sparkSession, "packing")
     source = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    pieces = work.save(source.mapInArrow(_lots(tokenizer_path, length, end_id), PIECES), "pieces")
+    pieces = work.save(source.mapInArrow(tidy(_lots(tokenizer_path, length, end_id)), PIECES), "pieces")
 
     slack = length // 128
     bins = pieces.filter("offset = 0").select(F.col("_bin").alias("_item"), "_fill")

@@ -30,6 +30,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import Column, DataFrame, functions as F
 
+from docfleet.llm.words import tidy
 from docfleet.llm.work import Work
 
 MAX_TRAIN = 9_000
@@ -157,7 +158,7 @@ def _with_features(df: DataFrame, lexicon: dict[str, float]) -> DataFrame:
 
     types = dict(df.dtypes)
     schema = ", ".join([*(f"`{c}` {types[c]}" for c in df.columns), "_x array<double>"])
-    return df.mapInArrow(rows, schema)
+    return df.mapInArrow(tidy(rows), schema)
 
 
 class Model:

@@ -7,7 +7,9 @@ about 2**-64.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+import functools
+from collections.abc import Callable, Iterator
 from itertools import chain
 
 import numpy as np
@@ -73,3 +75,20 @@ def chunks(batches: Iterator[pa.RecordBatch], text: str = "text", most: int = CH
         cuts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), batch.num_rows]
         for a, b in zip(cuts, cuts[1:]):
             yield batch.slice(a, b - a)
+
+
+def tidy(task: Callable) -> Callable:
+    """``task`` that gives its memory back when it ends: Spark keeps the Python worker for later stages."""
+
+    @functools.wraps(task)
+    def run(batches):
+        try:
+            yield from task(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            try:
+                ctypes.CDLL(None).malloc_trim(0)
+            except (AttributeError, OSError):  # not the GNU C library
+                pass
+
+    return run
