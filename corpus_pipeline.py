@@ -43,7 +43,7 @@ STAGES = [
     ("best-fit packing", pack_sequences),
 ]
 
-#: A learned classifier and a hash order decide, so SQL can't express the rows; tests/llm compares with brute force.
+#: A learned classifier and a hash order decide, so SQL can't express the rows; tests/llm checks the stages.
 ORACLE_SQL = None
 
 
