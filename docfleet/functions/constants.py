@@ -229,7 +229,6 @@ API_FEATURES = (
     ("functional", "Authentication works correctly", ("Login", "Verify token"), 1),
     ("functional", "Rate limiting protects API", ("Send many requests", "Verify 429"), 2),
 )
-MAX_CUSTOM_FEATURES = 50
 
 # messages
 MSG_UNSUPPORTED = "Unsupported conversion type: "

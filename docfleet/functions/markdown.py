@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+from docfleet.functions import constants as K
 from docfleet.functions.scalars import strip
 
 FENCE = "```"
@@ -67,6 +68,10 @@ def text_to_blocks(text: Column) -> Column:
     return F.flatten(F.transform(pieces, piece_blocks))
 
 
+# blanks within a line, as strip takes them
+BLANK = rf"[{K.BLANKS}&&[^\n]]"
+
+
 def text_to_html(text: Column) -> Column:
     """Block-level HTML of one Markdown text: headings, paragraphs, bullet lists, code."""
     pieces = F.split(F.concat(F.lit("\n"), escape_html(text)), r"\n```[^\n]*(?=\n|\z)", -1)
@@ -78,9 +83,10 @@ def text_to_html(text: Column) -> Column:
             # more than six signs still make an h6
             signs = "#{6,}" if level == 6 else "#" * level
             html = F.regexp_replace(
-                html, rf"\n{signs}[\t ]*([^\n]*?)[\t ]*(?=\n|\z)", f"\n<h{level}>$1</h{level}>"
+                html, rf"\n{signs}{BLANK}*([^\n]*?){BLANK}*(?=\n|\z)", f"\n<h{level}>$1</h{level}>"
             )
-        html = F.regexp_replace(html, r"((?:\n[-*] [^\n]*)+)", "\n<ul>$1\n</ul>")
+        # possessive, so that a list of any length is matched in a loop and not by recursion
+        html = F.regexp_replace(html, r"((?:\n[-*] [^\n]*+)++)", "\n<ul>$1\n</ul>")
         html = F.regexp_replace(html, r"\n[-*] ([^\n]*)", "\n<li>$1</li>")
         html = F.regexp_replace(html, r"\n([^<\n][^\n]*)", "\n<p>$1</p>")
         return F.when(i % 2 == 1, code).otherwise(F.regexp_replace(html, r"\n+(?=\n|\z)", ""))

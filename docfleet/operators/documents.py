@@ -304,10 +304,10 @@ def document_quality(pages: DataFrame) -> DataFrame:
     )
 
 
-def search_content(files: DataFrame, pattern: str, path: str = ".", limit: int = 50) -> DataFrame:
-    """First ``limit`` paths, in path order, whose content holds ``pattern`` as plain text."""
+def search_content(files: DataFrame, pattern: str, path: str = ".") -> DataFrame:
+    """All paths, in path order, whose content holds ``pattern`` as plain text."""
     hits = files if path == "." else files.filter(F.contains("path", F.lit(path)))
-    return hits.filter(F.contains("content", F.lit(pattern))).select("path").orderBy("path").limit(limit)
+    return hits.filter(F.contains("content", F.lit(pattern))).select("path").orderBy("path")
 
 
 def glob_regex(glob: str) -> str:
@@ -330,27 +330,20 @@ def glob_regex(glob: str) -> str:
     return rf"^{out}\z"
 
 
-def list_matching(files: DataFrame, glob: str = "*", limit: int = 100) -> DataFrame:
-    """First ``limit`` paths, in path order, whose file name matches ``glob``."""
-    return (
-        files.filter(base_name(F.col("path")).rlike(glob_regex(glob))).select("path").orderBy("path").limit(limit)
-    )
+def list_matching(files: DataFrame, glob: str = "*") -> DataFrame:
+    """All paths, in path order, whose file name matches ``glob``."""
+    return files.filter(base_name(F.col("path")).rlike(glob_regex(glob))).select("path").orderBy("path")
 
 
 def complex_files(
     files: DataFrame,
     extensions: Sequence[str] = ("js", "jsx", "py"),
     max_lines: int = 500,
-    first: int = 50,
     allowed: int = 5,
 ) -> DataFrame:
-    """One row: how many of the first ``first`` source files are too long, and is that acceptable?"""
+    """One row: how many of the source files are too long, and is that acceptable?"""
     ext = F.substring_index("path", ".", -1)
-    chosen = (
-        files.filter(ext.isin(list(extensions)) & F.contains("path", F.lit(".")))
-        .orderBy(F.array_position(F.array(*[F.lit(e) for e in extensions]), ext), "path")
-        .limit(first)
-    )
+    chosen = files.filter(ext.isin(list(extensions)) & F.contains("path", F.lit(".")))
     too_long = F.count_if(F.size(F.split("content", "\n", -1)) > max_lines)
     return chosen.agg(
         F.count(F.lit(1)).alias("checked"), too_long.alias("complex"), (too_long < allowed).alias("passed")
@@ -378,7 +371,7 @@ def explode_features(requirements: DataFrame) -> DataFrame:
 
     lines = F.filter(F.split("description", "\n", -1), lambda line: ~is_blank(line))
     own = F.transform(
-        F.slice(lines, 1, K.MAX_CUSTOM_FEATURES),
+        lines,
         lambda line: F.struct(
             F.lit("functional").alias("category"),
             strip(line).alias("description"),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -87,9 +88,11 @@ def issue_list(issues: DataFrame, status: str | None = None) -> DataFrame:
 
 
 def resolve_issues(issues: DataFrame, updates: DataFrame) -> DataFrame:
-    """updates(issue_id, resolved_at, resolution), one per issue -> issues with these applied."""
-    new = updates.select(
-        "issue_id", F.struct("resolved_at", "resolution", F.lit("resolved").alias("status")).alias("_new")
+    """updates(issue_id, resolved_at, resolution) -> issues with these applied; of several for one
+    issue the newest counts."""
+    newest = updates.groupBy("issue_id").agg(F.max(F.struct("resolved_at", "resolution")).alias("u"))
+    new = newest.select(
+        "issue_id", F.struct("u.resolved_at", "u.resolution", F.lit("resolved").alias("status")).alias("_new")
     )
     out = issues.join(new, "issue_id", "left")
     for field in ("status", "resolved_at", "resolution"):
@@ -132,7 +135,7 @@ def append_history(existing: DataFrame, new: DataFrame) -> DataFrame:
     have = existing.groupBy("project_id").agg(F.count(F.lit(1)).alias("_have"))
     numbered = number_rows(new, ["project_id"], [F.col("ts"), F.col("event_id")], "_n")
     return (
-        spread_join(numbered, have, ["project_id"], "left", spread_by=["event_id"])
+        numbered.join(have, "project_id", "left")
         .withColumn("sequence", F.col("_n") + F.coalesce("_have", F.lit(0)))
         .drop("_n", "_have")
     )
@@ -141,9 +144,12 @@ def append_history(existing: DataFrame, new: DataFrame) -> DataFrame:
 def projects_by_activity(history: DataFrame) -> DataFrame:
     """Projects, newest activity first; the first one is the active one."""
     last = history.groupBy("project_id").agg(F.max("ts").alias("last_activity"))
-    # one row, so it can be broadcast
-    first = last.agg(F.max_by("project_id", F.struct("last_activity", -F.col("project_id"))).alias("project_id")).withColumn(
-        "active", F.lit(True)
+    # one row, so it can be broadcast; of several with the latest time the smallest id, whatever its type
+    newest_first = F.struct((-F.unix_micros(F.col("last_activity").cast("timestamp"))).alias("t"), "project_id")
+    first = (
+        last.filter(F.col("last_activity").isNotNull())
+        .agg(F.min_by("project_id", newest_first).alias("project_id"))
+        .withColumn("active", F.lit(True))
     )
     return (
         last.join(F.broadcast(first), "project_id", "left")
@@ -165,8 +171,8 @@ def phase_progress(manifests: DataFrame) -> DataFrame:
 
 
 def current_status(history: DataFrame, issues: DataFrame, decisions: DataFrame, phases: DataFrame) -> DataFrame:
-    """One row per project: phase, progress, last activity, open issues, pending decisions and
-    the next phase. Every input is aggregated to a row per project before the joins."""
+    """One row per project of any input: phase, progress, last activity, open issues, pending
+    decisions and the next phase. Every input is aggregated to a row per project before the joins."""
     last = history.groupBy("project_id").agg(
         F.max("ts").alias("last_activity"), F.max_by("phase", F.struct("ts", "event_id")).alias("phase")
     )
@@ -181,9 +187,7 @@ def current_status(history: DataFrame, issues: DataFrame, decisions: DataFrame,
         F.when(done == total, "completed").when(done == 0, "initialized").otherwise("in-progress").alias("status"),
         F.min(F.when(F.col("status") == "pending", F.col("phase"))).alias("next_milestone"),
     )
-    out = last
-    for table in (unresolved, pending, by_phase):
-        out = out.join(table, "project_id", "left")
+    out = reduce(lambda a, b: a.join(b, "project_id", "full"), (last, unresolved, pending, by_phase))
     return out.fillna(0, ["open_issues", "pending_decisions"])
 
 
@@ -227,12 +231,15 @@ def metric_totals(reports: DataFrame, key: str = "project_id") -> DataFrame:
 
 
 def context_hash(entries: DataFrame, digests: DataFrame) -> DataFrame:
-    """entries(entry_id, files_affected array) -> (entry_id, context_hash): SHA-256 over the
-    sorted hashes of the entry's files. A file referenced by very many entries is split."""
-    wanted = entries.select("entry_id", F.explode(F.array_distinct("files_affected")).alias("path"))
-    found = spread_join(wanted, digests.select("path", "hash"), ["path"], "inner")
+    """entries(entry_id, files_affected array) -> (entry_id, context_hash, without_hash), one row per
+    entry: SHA-256 over the sorted hashes of the entry's files (of the empty text if none has one), and
+    its files that have no hash. A file referenced by very many entries is split. The lists are as long
+    as the entry's own array."""
+    wanted = entries.select("entry_id", F.explode_outer(F.array_distinct("files_affected")).alias("path"))
+    found = spread_join(wanted, digests.select("path", "hash"), ["path"], "left")
     return found.groupBy("entry_id").agg(
-        F.sha2(F.array_join(F.sort_array(F.collect_list("hash")), ""), 256).alias("context_hash")
+        F.sha2(F.array_join(F.sort_array(F.collect_list("hash")), ""), 256).alias("context_hash"),
+        F.sort_array(F.collect_set(F.when(F.col("hash").isNull(), F.col("path")))).alias("without_hash"),
     )
 
 

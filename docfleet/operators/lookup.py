@@ -111,7 +111,7 @@ def apply_test_results(features: DataFrame, results: DataFrame) -> DataFrame:
     old = lambda c: F.col(c) if c in features.columns else F.lit(None).cast("string")
     hit = F.col("_r").isNotNull()
     return (
-        spread_join(features, first, ["project_id", "description"], "left", spread_by=["pos"])
+        features.join(first, ["project_id", "description"], "left")
         .withColumn("test_status", F.when(hit, F.col("_r.status")).otherwise(old("test_status")))
         .withColumn("test_error", F.when(hit, F.col("_r.error")).otherwise(old("test_error")))
         .drop("_r")
@@ -119,8 +119,10 @@ def apply_test_results(features: DataFrame, results: DataFrame) -> DataFrame:
 
 
 def mark_feature(features: DataFrame, updates: DataFrame) -> DataFrame:
-    """updates(project_id, description, passes), one per description: sets ``passes`` on the first
-    feature with that description only. The join back is on the row's own key, so it is even."""
+    """updates(project_id, description, passes): sets ``passes`` on the first feature with that
+    description only; of several updates for one description all must pass. The join back is on the
+    row's own key, so it is even."""
+    updates = updates.groupBy("project_id", "description").agg(F.bool_and("passes").alias("passes"))
     first = features.groupBy("project_id", "description").agg(F.min("pos").alias("pos"))
     new = first.join(updates.withColumnRenamed("passes", "_new"), ["project_id", "description"]).select(
         "project_id", "pos", "_new", F.lit(True).alias("_hit")

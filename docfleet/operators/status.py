@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from docfleet.plans.ordered import ordered_parts, range_split, split_running_sum
-from docfleet.plans.skew import spread_join
+from docfleet.plans.skew import heavy_of, spread_join
 
 TERMINAL = ("SUCCESS", "FAILURE")
 
@@ -39,7 +39,7 @@ def batch_progress(items: DataFrame, order: Sequence[str] = ("idx",)) -> DataFra
     totals = split.groupBy("batch_id").agg(F.count(F.lit(1)).alias("total"))
     share = F.col("position").cast("double") / F.col("total") * 100
     return (
-        spread_join(placed, totals, ["batch_id"], "inner", spread_by=["position"])
+        spread_join(placed, totals, ["batch_id"], "inner", spread_by=["position"], heavy=heavy_of(totals, ["batch_id"], "total"))
         .withColumn("progress", F.floor(share).cast("bigint"))
         .drop("_piece")
     )

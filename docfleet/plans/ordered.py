@@ -14,6 +14,8 @@ Either way a piece is finished locally and a small per-piece summary carries the
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -47,13 +49,14 @@ def running_sum_by_position(
         .agg(F.sum("_value").alias("_total"))
         .withColumn("_carry", F.sum("_total").over(earlier))
         .filter(F.coalesce(F.col("_carry"), F.lit(0)) != 0)
-        .drop("_total")
+        .select(*[F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)], F.col("_piece").alias("_at"), "_carry")
     )
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_key{i}")) for i, k in enumerate(keys)], F.col("_piece") == F.col("_at"))
     local = Window.partitionBy(*keys, "_piece").orderBy(pos).rowsBetween(Window.unboundedPreceding, 0)
     return (
-        pieces.join(carry, [*keys, "_piece"], "left")
+        pieces.join(carry, same, "left")
         .withColumn(out, F.sum("_value").over(local) + F.coalesce(F.col("_carry"), F.lit(0)))
-        .drop("_piece", "_value", "_carry")
+        .drop("_piece", "_value", "_carry", "_at", *[f"_key{i}" for i in range(len(keys))])
     )
 
 

@@ -237,13 +237,13 @@ def document_quality(v):
 
 @query(
     "T13",
-    "select path from v_files where contains(path, '/en/') and contains(content, 'the') order by path limit 50",
+    "select path from v_files where contains(path, '/en/') and contains(content, 'the')",
 )
 def search_content(v):
     return D.search_content(v("v_files"), "the", "/en/")
 
 
-@query("T14", r"select path from v_files where regexp_matches(path, '/[^/]*1[^/]*\.[^/]$|/[^/]*1[^/]*\.md$') order by path limit 100")
+@query("T14", r"select path from v_files where regexp_matches(path, '/[^/]*1[^/]*\.[^/]$|/[^/]*1[^/]*\.md$')")
 def list_matching(v):
     return D.list_matching(v("v_files"), "*1*.md")
 
@@ -253,8 +253,7 @@ def list_matching(v):
     """
 select count(*) as checked, count(*) filter (n > 20) as complex, count(*) filter (n > 20) < 5 as passed
 from (select len(string_split(content, chr(10))) as n from v_files
-      where path like '%.md' or path like '%.docx'
-      order by case when path like '%.md' then 0 else 1 end, path limit 50)""",
+      where path like '%.md' or path like '%.docx')""",
 )
 def complex_files(v):
     return D.complex_files(v("v_files"), ("md", "docx"), max_lines=20)
@@ -282,7 +281,7 @@ with own as (
 select *, false as passes from (
   {_fixed_features(K.API_FEATURES, 0, "0")} union all {_fixed_features(K.BASE_FEATURES, 0, _SHIFT)}
   union all select project_id, 9 + n + {_SHIFT}, 'functional', own.description, '', 1
-  from own join v_text_requests on project_id = doc_id where n <= 50)""",
+  from own join v_text_requests on project_id = doc_id)""",
 )
 def explode_features(v):
     return D.explode_features(v("v_text_requests")).withColumn("steps", F.array_join("steps", "; "))

@@ -9,6 +9,7 @@ from docfleet.operators import hygiene as H
 from docfleet.plans.runtime import scratch_path
 from docfleet.plans.views import NOW
 from docfleet.queries import query
+from docfleet.queries.hygiene import PLAN
 from docfleet.sources import files as S
 from docfleet.sources import state
 
@@ -273,19 +274,20 @@ def csv_lines(v):
 
 @query(
     "S6",
-    """
-with d as (select sha256(content) as h, count(*) over (partition by sha256(content)) as n from v_files where size > 0)
+    PLAN
+    + """
 select section, count(*) as entries from (
   select 'summary' as section union all
-  select 'temp_file' from v_files where regexp_matches(path, '\\.(tmp|draft|bak)$') union all
+  select 'temp_file' from temp union all
   select 'zero_size' from v_files where size = 0 union all
-  select 'duplicate' from d where n > 1) group by section""",
+  select 'duplicate' from d union all
+  select 'action' from plan) group by section""",
 )
 def write_report(v):
     """Writes the hygiene report and counts the entries of each section as read back."""
     files = v("v_files")
     path = scratch_path(files.sparkSession, "report")
-    report = H.scan_report(files, _now()).filter(F.col("section") != "action")
+    report = H.scan_report(files, _now())
     S.write_report(report, path)
     return files.sparkSession.read.json(path).groupBy("section").agg(F.count(F.lit(1)).alias("entries"))
 

@@ -43,9 +43,9 @@ d as (select project_id, count(*) filter (status = 'proposed') as pending_decisi
 p as (select project_id, cast(count(*) filter (status = 'completed') as double) / count(*) * 100 as progress,
         case when count(*) filter (status = 'completed') = count(*) then 'completed' when count(*) filter (status = 'completed') = 0 then 'initialized' else 'in-progress' end as status,
         min(phase) filter (status = 'pending') as next_milestone from v_phases group by project_id)
-select l.project_id, {_t('last_activity')}, phase, coalesce(open_issues, 0) as open_issues, coalesce(pending_decisions, 0) as pending_decisions,
+select project_id, {_t('last_activity')}, phase, coalesce(open_issues, 0) as open_issues, coalesce(pending_decisions, 0) as pending_decisions,
     progress, status, next_milestone
-from l left join i using (project_id) left join d using (project_id) left join p using (project_id)""",
+from l full join i using (project_id) full join d using (project_id) full join p using (project_id)""",
 )
 def current_status(v):
     out = H.current_status(v("v_history"), v("v_issues"), v("v_decisions"), v("v_phases"))
@@ -102,11 +102,14 @@ def metric_totals(v):
     f"""
 with h as (select 'f' || file_id as path, sha256(content) as hash from v_files where size > 0),
 w as (select distinct event_id, unnest(files_affected) as path from v_entries)
-select event_id as entry_id, sha256(string_agg(hash, '' order by hash)) as context_hash from w join h using (path) group by event_id""",
+select event_id as entry_id, sha256(coalesce(string_agg(hash, '' order by hash), '')) as context_hash,
+    coalesce(string_agg(path, ',' order by path) filter (hash is null), '') as without_hash
+from w left join h using (path) group by event_id""",
 )
 def context_hash(v):
     files = v("v_files").withColumn("path", F.concat(F.lit("f"), F.col("file_id").cast("string")))
-    return H.context_hash(v("v_entries").withColumnRenamed("event_id", "entry_id"), hygiene.file_digests(files))
+    out = H.context_hash(v("v_entries").withColumnRenamed("event_id", "entry_id"), hygiene.file_digests(files))
+    return out.withColumn("without_hash", F.array_join("without_hash", ","))
 
 
 @query(
@@ -158,7 +161,7 @@ def state_as_of(v):
 
 
 SNAPSHOT = "select path, arg_max(hash, event_id) as hash from v_snapshots where {} group by path"
-EARLY, LATE = "ts < timestamp '2024-01-15'", "ts >= timestamp '2024-01-24'"
+EARLY, LATE = "ts < timestamp '2024-01-15'", "true"
 
 
 @query(

@@ -118,7 +118,7 @@ NEAR_PAIRS = f"""
 with recursive w as (
   select doc_id, string_split(regexp_replace(regexp_replace(lower(text), '[{K.BLANKS}]+', ' ', 'g'), '^ | $', '', 'g'), ' ') as w from documents),
 s as (select distinct doc_id, array_to_string(list_slice(w, i, i + 4), ' ') as g
-      from (select doc_id, w, unnest(generate_series(1, len(w) - 4)) as i from w where len(w) >= 5)),
+      from (select doc_id, w, unnest(generate_series(1, greatest(len(w) - 4, 1))) as i from w where w <> [''])),
 n as (select doc_id, count(*) as n from s group by doc_id),
 common as (select a.doc_id as a, b.doc_id as b, count(*) as c from s a join s b on a.g = b.g and a.doc_id < b.doc_id group by all),
 pairs as (select a, b from common join n x on x.doc_id = a join n y on y.doc_id = b where c / (x.n + y.n - c) > 0.8),

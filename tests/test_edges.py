@@ -201,7 +201,7 @@ def test_features_of_a_requirement(spark):
     got = D.explode_features(req).orderBy("project_id", "pos").collect()
     one = [r for r in got if r.project_id == 1]
     assert len(one) == 15 and one[0].description.startswith("REST") and [r.description for r in one[13:]] == ["a", "b"]
-    assert len([r for r in got if r.project_id == 2]) == 60 and not any(r.passes for r in got)
+    assert len([r for r in got if r.project_id == 2]) == 70 and not any(r.passes for r in got)
 
 
 # ---------------------------------------------------------------- sources

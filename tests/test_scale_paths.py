@@ -159,8 +159,8 @@ def brute_clusters(docs, threshold=0.8, words=5):
     sets = {}
     for i, text in docs:
         w = text.lower().split()
-        if len(w) >= words:
-            sets[i] = {tuple(w[j : j + words]) for j in range(len(w) - words + 1)}
+        if w:
+            sets[i] = {tuple(w[j : j + words]) for j in range(max(1, len(w) - words + 1))}
     label = {i: i for i in sets}
 
     def root(i):
