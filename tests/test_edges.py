@@ -448,3 +448,35 @@ def test_python_converters_and_fallback(spark):
     df = spark.createDataFrame([("a", "b"), (None, "b"), (None, None)], "p string, q string")
     used = [tuple(r.r) for r in df.select(C.with_fallback(F.col("p"), F.col("q")).alias("r")).collect()]
     assert used == [("a", False), ("b", True), (None, False)]
+
+
+def test_long_lists_and_unicode_blanks_in_html(spark):
+    texts = [("\n".join(f"- item {i}" for i in range(100_000)),), ("# T\u3000",)]
+    html = [r.h for r in spark.createDataFrame(texts, "t string").select(M.text_to_html(F.col("t")).alias("h")).collect()]
+    assert html[0].count("<li>") == 100_000 and html[0].count("<ul>") == 1 and html[1] == "<h1>T</h1>"
+
+
+def test_repeated_updates_do_not_multiply_rows(spark):
+    features = spark.createDataFrame([(1, 0, "a", False), (1, 1, "b", False)], "project_id int, pos int, description string, passes boolean")
+    updates = spark.createDataFrame([(1, "a", True), (1, "a", True), (1, "b", True), (1, "b", False)], "project_id int, description string, passes boolean")
+    assert [r.passes for r in L.mark_feature(features, updates).orderBy("pos").collect()] == [True, False]
+    issues = spark.createDataFrame([(1, "open")], "issue_id int, status string")
+    new = spark.createDataFrame([(1, 5, "old"), (1, 9, "new")], "issue_id int, resolved_at int, resolution string")
+    assert [(r.status, r.resolution) for r in H.resolve_issues(issues, new).collect()] == [("resolved", "new")]
+
+
+def test_projects_named_by_strings_and_known_from_issues_only(spark):
+    history = spark.createDataFrame([("p", 1, "01", 1), ("q", 2, "02", 2)], "project_id string, ts int, phase string, event_id int")
+    timed = history.withColumn("ts", F.timestamp_seconds("ts"))
+    assert {r.project_id: r.active for r in H.projects_by_activity(timed).collect()} == {"p": False, "q": True}
+    issues = spark.createDataFrame([("z", "open")], "project_id string, status string")
+    phases = spark.createDataFrame([], "project_id string, phase string, status string")
+    got = {r.project_id: r.open_issues for r in H.current_status(timed, issues, issues.limit(0), phases).collect()}
+    assert got == {"p": 0, "q": 0, "z": 1}
+
+
+def test_entries_without_hashes_stay(spark):
+    entries = spark.createDataFrame([(1, ["a", "b"]), (2, ["b"]), (3, [])], "entry_id int, files_affected array<string>")
+    digests = spark.createDataFrame([("a", "h")], "path string, hash string")
+    got = {r.entry_id: (r.context_hash[:4], r.without_hash) for r in H.context_hash(entries, digests).collect()}
+    assert {k: v[1] for k, v in got.items()} == {1: ["b"], 2: ["b"], 3: []} and got[2][0] == got[3][0] == "e3b0"
