@@ -5,7 +5,7 @@ folds the copies among its own rows in an open-addressing table, so a text that
 rows leaves as one record per task. The records are partitioned by a hash of the text to spill files
 (a bucketed table in the shared folder). A bucket above ``bucket_bytes`` is folded and partitioned
 again with another hash, until every bucket fits an open-addressing table that compares complete
-contents. No text is compared by its hash alone.
+contents, or holds copies of one text only: these stream through a table with that one content. No text is compared by its hash alone.
 
 Defined results: of equal texts the row with the largest doc_id stays, null ids last. Rows that
 repeat both that doc_id and the text are interchangeable: one of them stays. Other columns pass
@@ -98,36 +98,43 @@ def _flush(table: ContentTable) -> Iterator[pa.RecordBatch]:
         yield table.batch(at, at + 1000)
 
 
-def _fold_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    table = ContentTable()
-    for batch in batches:
-        for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-            table.add(normal(text.as_py()), 1, doc_id, 1)
-            if table.bytes > FOLD_BYTES:
-                yield from _flush(table)
-                table = ContentTable()
-    yield from _flush(table)
+def _fold_rows(most: int):
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = ContentTable()
+        for batch in batches:
+            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+                table.add(normal(text.as_py()), 1, doc_id, 1)
+                if table.bytes > most:
+                    yield from _flush(table)
+                    table = ContentTable()
+        yield from _flush(table)
 
+    return fold
 
-def _fold_records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    table = ContentTable()
-    for batch in batches:
-        for text, *count in zip(batch.column("_text"), *(batch.column(c).to_pylist() for c in ("_n", "_top", "_tops"))):
-            table.add(text.as_py(), *count)
-            if table.bytes > FOLD_BYTES:
-                yield from _flush(table)
-                table = ContentTable()
-    yield from _flush(table)
 
+def _fold_records(most: int):
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = ContentTable()
+        for batch in batches:
+            for text, *count in zip(batch.column("_text"), *(batch.column(c).to_pylist() for c in ("_n", "_top", "_tops"))):
+                table.add(text.as_py(), *count)
+                if table.bytes > most:
+                    yield from _flush(table)
+                    table = ContentTable()
+        yield from _flush(table)
+
+    return fold
 
-def _whole_bucket(bucket: pa.Table) -> pa.Table:
+
+def _whole_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Groups of one bucket; its records stream through a table that holds each content once."""
     table = ContentTable()
-    for batch in bucket.to_batches():
+    for batch in batches:
         for text, *count in zip(batch.column("_text"), *(batch.column(c).to_pylist() for c in ("_n", "_top", "_tops"))):
             table.add(text.as_py(), *count)
     several = [(hashlib.sha256(content).hexdigest(), *count) for content, count in zip(table.contents, table.counts) if count[0] > 1]
     columns = list(zip(*several)) or [(), (), (), ()]
-    return pa.table({
+    yield pa.RecordBatch.from_pydict({
         "_sha": pa.array(columns[0], pa.string()),
         **{name: pa.array(column, pa.int64()) for name, column in zip(("_n", "_top", "_tops"), columns[1:])},
     })
@@ -138,13 +145,13 @@ def text_sha(texts: pd.Series) -> pd.Series:
     return texts.map(lambda t: hashlib.sha256(normal(t if isinstance(t, str) else None)).hexdigest())
 
 
-def copy_groups(docs: DataFrame, work: Work, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
+def copy_groups(docs: DataFrame, work: Work, bucket_bytes: int = BUCKET_BYTES, fold_bytes: int = FOLD_BYTES) -> DataFrame:
     """Contents that several rows have: _sha, _n (rows), _top (largest doc_id), _tops (rows with that id).
 
     The tables of spill files are gone when this returns; only the narrow result is kept.
     """
     size = docs.agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0)) + 64).alias("b")).first()["b"] or 0
-    records = docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(tidy(_fold_rows), RECORD)
+    records = docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(tidy(_fold_rows(fold_bytes)), RECORD)
     found, level, tables = [], 0, []
     while True:
         buckets = max(1, min(100_000, -(-size // bucket_bytes)))
@@ -153,15 +160,17 @@ def copy_groups(docs: DataFrame, work: Work, bucket_bytes: int = BUCKET_BYTES) -
             f"spill{level}", "_bucket", buckets,
         )
         tables.append(spill.table_name)
-        sizes = spill.groupBy("_bucket").agg(F.sum(F.octet_length("_text") + 64).alias("_b"), F.count(F.lit(1)).alias("_r"))
-        large = work.save(sizes.filter((F.col("_b") > 2 * bucket_bytes) & (F.col("_r") > 1)), f"large{level}")
+        # copies of one text stay together under every hash, so a bucket with a single hash is not partitioned again
+        mark = F.xxhash64("_sha")
+        sizes = spill.groupBy("_bucket").agg(F.sum(F.octet_length("_text") + 64).alias("_b"), (F.min(mark) < F.max(mark)).alias("_several"))
+        large = work.save(sizes.filter((F.col("_b") > 2 * bucket_bytes) & F.col("_several")), f"large{level}")
         more = large.agg(F.sum("_b").alias("b")).first()["b"]
         small = spill if not more else spill.join(large.select("_bucket"), "_bucket", "left_anti")
         fits = small.groupBy("_bucket").applyInArrow(_whole_bucket, "_sha string, _n bigint, _top bigint, _tops bigint")
         found.append(work.save(fits, f"groups{level}"))
         if not more:
             break
-        records = spill.join(large.select("_bucket"), "_bucket", "left_semi").drop("_bucket").mapInArrow(tidy(_fold_records), RECORD)
+        records = spill.join(large.select("_bucket"), "_bucket", "left_semi").drop("_bucket").mapInArrow(tidy(_fold_records(fold_bytes)), RECORD)
         size, level = more, level + 1
     for table in tables:
         work.drop_table(table)
@@ -171,10 +180,10 @@ def copy_groups(docs: DataFrame, work: Work, bucket_bytes: int = BUCKET_BYTES) -
     return groups
 
 
-def mark_copies(docs: DataFrame, work: Work | None = None, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
+def mark_copies(docs: DataFrame, work: Work | None = None, bucket_bytes: int = BUCKET_BYTES, fold_bytes: int = FOLD_BYTES) -> DataFrame:
     """The rows with text_sha256, keep_id, group_size and kept added."""
     work = work or Work(docs.sparkSession, "exact_dedup")
-    groups = copy_groups(docs, work, bucket_bytes)
+    groups = copy_groups(docs, work, bucket_bytes, fold_bytes)
     marked = (
         docs.drop("text_sha256", "keep_id", "group_size", "kept")
         .withColumn("text_sha256", text_sha("text"))

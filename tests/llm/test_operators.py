@@ -58,6 +58,14 @@ def test_exact_dedup(documents, odd, none, monkeypatch):
     assert exact_dedup.drop_copies(odd).columns == odd.columns
 
 
+def test_exact_dedup_of_texts_above_the_limits(spark):
+    texts = ["a" * 5_000, "B" * 5_000, "c" * 5_000, "short"]
+    docs = spark.createDataFrame([(i, texts[i % 4]) for i in range(48)], "doc_id long, text string").repartition(6)
+    # every copy leaves its task unfolded, and one text alone is above the limit of a bucket
+    got = exact_dedup.mark_copies(docs, bucket_bytes=1_000, fold_bytes=1_000).collect()
+    assert {r.doc_id: (r.keep_id, r.group_size, r.kept) for r in got} == {i: (44 + i % 4, 12, i >= 44) for i in range(48)}
+
+
 def test_open_addressing_compares_contents(monkeypatch):
     monkeypatch.setattr(exact_dedup.xxhash, "xxh3_64_intdigest", lambda b: 5)  # every hash collides
     table = exact_dedup.ContentTable(slots=2)
