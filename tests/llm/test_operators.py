@@ -145,6 +145,24 @@ def test_substring_dedup(spark, documents, odd, none):
     assert all_rows.count() == odd.count() and set(odd.columns) < set(all_rows.columns)
 
 
+def test_substring_dedup_of_frequent_grams(spark, documents):
+    # one 5-word gram in every place, with surroundings that differ or are repeated, and more windows than a task may hold
+    near = lambda i: " ".join(f"u{i}x{j}" for j in range(12))
+    rows = [(20_000 + i, " ".join(f"{near(i % 30)} the same five words here {near(k)}" for k in (i, i + 1, i)), "", "", 0) for i in range(60)]
+    docs = documents.union(spark.createDataFrame(rows, documents.schema)).repartition(6)
+    for hold in (1, 40):
+        work = Work(spark, "t")
+        got = {r.doc_id: (r.n_words, r.n_removed, r.text) for r in substring_dedup.remove_repeats(docs, work=work, hold=hold).collect()}
+        assert got == repeats([(r.doc_id, r.text) for r in docs.collect()])
+        met = spark.read.parquet(f"{work.base}/factors")
+        assert not met.filter("_prints IS NOT NULL").isEmpty()
+    # documents of one rank: only what is further up in the same text counts
+    twice = " ".join([f"n{j}" for j in range(25)] * 2)
+    same = spark.createDataFrame([(None, twice)] * 3 + [(None, "x " + twice)], "doc_id long, text string")
+    for hold, parts in ((1, 4), (1, 1), (1_000, 1)):
+        assert [r.n_removed for r in substring_dedup.remove_repeats(same.repartition(parts), hold=hold).collect()] == [25] * 4
+
+
 def test_packing(spark, documents, odd, none, monkeypatch):
     from tokenizers import Tokenizer
 
