@@ -7,7 +7,7 @@ occurs, in any document and with any separators, and ``inverse=True`` with the k
 | kind | validated by | permuted |
 | --- | --- | --- |
 | card numbers, 13-19 digits, plain or in groups | Luhn | all digits but the last, which is the new check digit |
-| IBAN | ISO 7064 mod 97 | the digits of the account; the check digits are computed anew |
+| IBAN | length of its country, ISO 7064 mod 97 | the digits of the account; the check digits are computed anew |
 | SSN (ddd-dd-dddd) | area, group and serial in use | within the numbers in use |
 | telephone numbers with country code, or (ddd) ddd-dddd | 8-15 digits | all digits but the country code |
 | IPv4 addresses | four bytes | all four |
@@ -15,7 +15,8 @@ occurs, in any document and with any separators, and ``inverse=True`` with the k
 | e-mail addresses | shape | letters and digits of the local part, each within its class |
 
 The network alternates x += F(y) mod A and y += F(x) mod B over the two parts of a value; F is
-SHA-256 of key, kind, round and the other part. Numbers that fail validation stay as they are, and so
+SHA-256 of key, kind, round and the other part. IBANs are looked for first, at every place where one may
+begin; what fails as an IBAN is searched for the other kinds. Numbers that fail validation stay as they are, and so
 does everything around a match. Defined results: a null text stays null and has 0 matches, other rows
 pass through with all their columns (a column ``n_found`` is replaced). Every row is treated on its
 own, so repeated rows and ids make no difference. Separators and the widths of date fields are kept
@@ -31,9 +32,30 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 ROUNDS = 10
 DAYS = (189, 773)  # 400 years have 146,097 = 189 * 773 days
+#: Lengths of the IBAN registry, and of countries that use IBANs without being in it.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "AO CV GW LY MZ PT ST", 26: "DZ IR IS TR", 27: "BI CF CG CM DJ FR GA GQ GR IT KM MC MG MR SM TD",
+    28: "AL AZ BF BJ BY CI CY DO GT HN HU LB MA ML NE NI PL SN SV TG", 29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+
+
+def _iban_pattern() -> str:
+    known = "|".join(IBAN_LENGTHS.values()).replace(" ", "|")
+    lengths = [
+        f"(?:{codes.replace(' ', '|')})[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{{n // 4 - 1}}}" + (f" ?[A-Z0-9]{{{n % 4}}}" if n % 4 else "")
+        for n, codes in IBAN_LENGTHS.items()
+    ]
+    other = rf"(?!{known})[A-Z]{{2}}[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{2,7}}(?: ?[A-Z0-9]{{1,3}})?"
+    # not in the local part of an e-mail address
+    return rf"(?:{'|'.join([*lengths, other])})(?![A-Za-z0-9]|[A-Za-z0-9._%+-]{{0,64}}@)"
+
+
+IBAN = _iban_pattern()
+IBAN_STARTS = rf"(?<![A-Za-z0-9])(?={IBAN})"
 PATTERN = "|".join([
     r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){1,8}",
-    r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
     r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?!\.?[0-9])",
     r"(?<![0-9/.-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{1,2}([./])[0-9]{1,2}\1[0-9]{4})(?![0-9])",
     r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
@@ -131,7 +153,33 @@ def _iban(m: Column, key: str, inverse: bool) -> Column:
         check = lambda a: F.lpad((98 - _mod97(F.concat(a, country, F.lit("00")))).cast("string"), 2, "0")
         return _with(moved, lambda a: _put_digits(m, F.concat(check(a), _digits(a))))
 
-    return _with(plain, lambda p: F.when(_mod97(F.concat(F.substr(p, F.lit(5)), F.substr(p, F.lit(1), F.lit(4)))) == 1, new(p)).otherwise(m))
+    return _with(plain, new)
+
+
+def _is_iban(m: Column) -> Column:
+    return _with(F.replace(m, F.lit(" "), F.lit("")), lambda p: _mod97(F.concat(F.substr(p, F.lit(5)), F.substr(p, F.lit(1), F.lit(4)))) == 1)
+
+
+def _around_ibans(text: Column) -> Column:
+    """The text as structs (gap, iban): valid IBANs and what stands before each; the last has no IBAN.
+
+    Places where an IBAN may begin are all looked at, unless they lie in a valid one.
+    """
+    pieces, found = F.split(text, IBAN_STARTS, -1), F.regexp_extract_all(text, F.lit(IBAN_STARTS.replace("(?=", "(?=(", 1) + ")"), F.lit(1))
+    part = "struct<gap:string,iban:string>"
+    # a piece begins with its candidate, only the first may have none
+    pairs = F.zip_with(pieces, F.when(F.size(pieces) > F.size(found), F.concat(F.array(F.lit("")), found)).otherwise(found), lambda p, c: F.struct(p.alias("p"), c.alias("c")))
+    start = F.struct(F.array().cast(f"array<{part}>").alias("out"), F.lit("").alias("gap"), F.lit(0).alias("skip"))
+
+    def step(s: Column, x: Column) -> Column:
+        def over(out: Column, gap: Column, skip: Column) -> Column:
+            return F.struct(out.alias("out"), F.concat(gap, F.substr(x["p"], skip + 1)).alias("gap"), F.greatest(F.lit(0), skip - F.length(x["p"])).alias("skip"))
+
+        taken = (s["skip"] == 0) & (x["c"] != "") & _is_iban(x["c"])
+        one = F.struct(s["gap"].alias("gap"), x["c"].alias("iban")).cast(part)
+        return F.when(taken, over(F.concat(s["out"], F.array(one)), F.lit(""), F.length(x["c"]))).otherwise(over(s["out"], s["gap"], s["skip"]))
+
+    return F.aggregate(pairs, start, step, lambda s: F.concat(s["out"], F.array(F.struct(s["gap"].alias("gap"), F.lit(None).cast("string").alias("iban")).cast(part))))
 
 
 def _ssn(m: Column, key: str, inverse: bool) -> Column:
@@ -219,7 +267,6 @@ def pseudonym(m: Column, key: str, inverse: bool = False) -> Column:
     """The pseudonym of one match of PATTERN; the match itself where validation fails."""
     return (
         F.when(m.contains("@"), _email(m, key, inverse))
-        .when(m.rlike("^[A-Z]"), _iban(m, key, inverse))
         .when(m.rlike(r"^[0-9]{1,3}(\.[0-9]{1,3}){3}$"), _ip(m, key, inverse))
         .when(m.rlike(r"^([0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{1,2}([./])[0-9]{1,2}\2[0-9]{4})$"), _date(m, key, inverse))
         .when(m.rlike("^[0-9]{3}-[0-9]{2}-[0-9]{4}$"), _ssn(m, key, inverse))
@@ -232,14 +279,19 @@ def pseudonymise(docs: DataFrame, key: str, inverse: bool = False) -> DataFrame:
     """The rows with text pseudonymised and n_found, the values that were replaced."""
     text = F.col("text").cast("string")
     rest = [F.col(f"`{c}`") for c in docs.columns if c not in ("text", "n_found")]
-    # most texts have no digit and no @, so they never reach the long pattern
-    found = F.when(text.rlike("[0-9@]"), F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0))).otherwise(F.array().cast("array<string>"))
-    split = docs.select(*rest, text.alias("text"), found.alias("_found"))
-    new = F.transform("_found", lambda m: pseudonym(m, key, inverse))
-    changed = split.withColumn("_new", F.when(F.size("_found") > 0, new).otherwise(F.col("_found")))
-    joined = F.array_join(F.zip_with(F.split("text", PATTERN, -1), "_new", lambda gap, n: F.concat(gap, F.coalesce(n, F.lit("")))), "")
-    replaced = F.size(F.filter(F.zip_with("_found", "_new", lambda a, b: a != b), lambda x: x))
+    # most texts have no digit and no @, so they never reach the long patterns
+    part = "array<struct<gap:string,iban:string>>"
+    whole = F.array(F.struct(text.alias("gap"), F.lit(None).cast("string").alias("iban"))).cast(part)
+    parts = F.when(text.rlike(r"[A-Z]{2}[0-9]{2}"), _around_ibans(text)).when(text.rlike("[0-9@]"), whole).otherwise(F.array().cast(part))
+    split = docs.select(*rest, text.alias("text"), parts.alias("_parts"))
+    split = split.withColumn("_found", F.transform("_parts", lambda p: F.regexp_extract_all(p["gap"], F.lit(PATTERN), F.lit(0))))
+    changed = split.withColumn("_new", F.transform("_found", lambda found: F.transform(found, lambda m: pseudonym(m, key, inverse))))
+    changed = changed.withColumn("_ibans", F.transform("_parts", lambda p: F.when(p["iban"].isNotNull(), _iban(p["iban"], key, inverse))))
+    gaps = F.zip_with("_parts", "_new", lambda p, new: F.array_join(F.zip_with(F.split(p["gap"], PATTERN, -1), new, lambda gap, n: F.concat(gap, F.coalesce(n, F.lit("")))), ""))
+    joined = F.array_join(F.zip_with(gaps, "_ibans", lambda gap, iban: F.concat(gap, F.coalesce(iban, F.lit("")))), "")
+    count = lambda pairs: F.size(F.filter(pairs, lambda x: x))
+    replaced = count(F.zip_with(F.flatten("_found"), F.flatten("_new"), lambda a, b: a != b)) + count(F.zip_with("_parts", "_ibans", lambda p, new: p["iban"] != new))
     return changed.select(
-        *rest, F.when(F.size("_found") > 0, joined).otherwise(F.col("text")).alias("text"),
-        F.when(F.size("_found") > 0, replaced).otherwise(F.lit(0)).cast("bigint").alias("n_found"),
+        *rest, F.when(F.size("_parts") > 0, joined).otherwise(F.col("text")).alias("text"),
+        F.when(F.size("_parts") > 0, replaced).otherwise(F.lit(0)).cast("bigint").alias("n_found"),
     )

@@ -264,6 +264,28 @@ def test_pseudonyms(spark, documents, odd, none):
     assert pii.pseudonymise(none, "k").count() == 0 and pii.pseudonymise(odd, "k").count() == odd.count()
 
 
+def _one_text(spark, texts, **kw):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    out = pii.pseudonymise(docs, "k", **kw)
+    back = [r.text for r in pii.pseudonymise(out, "k", inverse=True).orderBy("doc_id").collect()]
+    assert back == texts
+    return [r.text for r in out.orderBy("doc_id").collect()]
+
+
+def test_ibans_before_other_words(spark):
+    ibans = ["BE68 5390 0754 7034", "BE68539007547034", "ES9121000418450200051332", "ES91 2100 0418 4502 0005 1332", "DE89 3704 0044 0532 0130 00"]
+    texts = [f"{iban}{tail}" for iban in ibans for tail in ("", " EUR", " 100 EUR", " USA", " DUE", " A1")]
+    texts += [f"PAY BE68 {ibans[4]} NOW", "BE12 4111 1111 1111 1111 X", "AB12 4111 1111 1111 1111"]
+    out = _one_text(spark, texts)
+    seen = defaultdict(set)
+    for old, new in zip(texts[:30], out):
+        iban = next(i for i in sorted(ibans, key=len, reverse=True) if old.startswith(i))
+        assert new[: len(iban)] != iban and new[len(iban) :] == old[len(iban) :]
+        seen[iban.replace(" ", "")].add(new[: len(iban)].replace(" ", ""))
+    assert all(len(s) == 1 for s in seen.values())
+    assert "3704 0044" not in out[30] and "4111 1111" not in out[31] and "4111 1111" not in out[32]
+
+
 def test_warc(spark, tmp_path):
     pages = spark.read.parquet(f"{SMALL}/pages.parquet").select("page_id", "url", "html")
     pages = pages.union(spark.createDataFrame([(None, None, None), (9_000, "u", "<p>a&amp;b<script>x</p>"), (9_000, "u", "<p>a&amp;b<script>x</p>")], pages.schema))
