@@ -9,14 +9,15 @@ occurs, in any document and with any separators, and ``inverse=True`` with the k
 | card numbers, 13-19 digits, plain or in groups | Luhn | all digits but the last, which is the new check digit |
 | IBAN | length of its country, ISO 7064 mod 97 | the digits of the account; the check digits are computed anew |
 | SSN (ddd-dd-dddd) | area, group and serial in use | within the numbers in use |
-| telephone numbers with country code, or (ddd) ddd-dddd | 8-15 digits | all digits but the country code |
+| telephone numbers with country code, (ddd) ddd-dddd or ddd-ddd-dddd | 8-15 digits | all digits but the country code and a (0) after it; a first digit 0 stays, others don't become 0 |
 | IPv4 addresses | four bytes | all four |
 | dates, ISO or day and month first with . or / | calendar, 1800-2199 | the day number |
 | e-mail addresses | shape | letters and digits of the local part, each within its class |
 
 The network alternates x += F(y) mod A and y += F(x) mod B over the two parts of a value; F is
 SHA-256 of key, kind, round and the other part. IBANs are looked for first, at every place where one may
-begin; what fails as an IBAN is searched for the other kinds. Numbers that fail validation stay as they are, and so
+begin; what fails as an IBAN is searched for the other kinds. Country codes are those of E.164, whatever
+the separators; numbers of plans with a fixed length end there. Numbers that fail validation stay as they are, and so
 does everything around a match. Defined results: a null text stays null and has 0 matches, other rows
 pass through with all their columns (a column ``n_found`` is replaced). Every row is treated on its
 own, so repeated rows and ids make no difference. Separators and the widths of date fields are kept
@@ -52,6 +53,12 @@ def _iban_pattern() -> str:
     return rf"(?:{'|'.join([*lengths, other])})(?![A-Za-z0-9]|[A-Za-z0-9._%+-]{{0,64}}@)"
 
 
+#: Calling codes of E.164; all that are not listed have three digits.
+CALLING = r"(?:1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[0-9]{3})"
+#: Digits after the calling code, in plans where all numbers have as many.
+PLANS = {"1|7|30|91": 10, "31|33|34|41|48|61|351|420": 9, "45|47": 8}
+_DIGIT = r"(?:[ .-]?\(?[0-9]\)?)"
+_TRUNK = r"(?:[ .-]?\(0\))?"
 IBAN = _iban_pattern()
 IBAN_STARTS = rf"(?<![A-Za-z0-9])(?={IBAN})"
 PATTERN = "|".join([
@@ -59,9 +66,11 @@ PATTERN = "|".join([
     r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?!\.?[0-9])",
     r"(?<![0-9/.-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{1,2}([./])[0-9]{1,2}\1[0-9]{4})(?![0-9])",
     r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
-    r"(?<![0-9+])(?:\+[0-9]{1,3}[ .-]?)?\([0-9]{2,4}\)[ .-]?[0-9]{3}[ .-]?[0-9]{4}(?![0-9])",
-    r"(?<![0-9+])\+[0-9]{1,3}(?:[ .-]?[0-9]{2,4}){2,4}(?![0-9])",
-    r"(?<![0-9.-])(?:[0-9]{13,19}|[0-9]{4}([ -])[0-9]{4}\2[0-9]{4}\2[0-9]{1,7}|[0-9]{4}([ -])[0-9]{6}\3[0-9]{5})(?![0-9])",
+    *(rf"(?<![0-9+])\+(?:{codes}){_TRUNK}{_DIGIT}{{{n}}}(?![0-9])" for codes, n in PLANS.items()),
+    rf"(?<![0-9+])\+{CALLING}{_TRUNK}{_DIGIT}{{5,14}}(?![0-9])",
+    r"(?<![0-9+])(?:1[ .-]?)?\([0-9]{2,4}\)[ .-]?[0-9]{3}[ .-]?[0-9]{4}(?![0-9])",
+    r"(?<![0-9+.-])(?:1[ .-])?[0-9]{3}([ .-])[0-9]{3}\2[0-9]{4}(?![0-9]|[.-][0-9])",
+    r"(?<![0-9.-])(?:[0-9]{13,19}|[0-9]{4}([ -])[0-9]{4}\3[0-9]{4}\3[0-9]{1,7}|[0-9]{4}([ -])[0-9]{6}\4[0-9]{5})(?![0-9])",
 ])
 
 
@@ -194,10 +203,21 @@ def _ssn(m: Column, key: str, inverse: bool) -> Column:
 
 
 def _phone(m: Column, key: str, inverse: bool) -> Column:
-    code = F.regexp_extract(m, r"^(\+[0-9]{1,3})(?=[ .(-])|^(\+1|\+7|\+[0-9]{2})", 0)
+    code = F.regexp_extract(m, rf"^(?:\+{CALLING}(?:[ .-]?\(0\))?|1[ .-]?(?=\()|1[ .-])", 0)
     rest = F.substr(m, F.length(code) + 1)
+
+    def new(d: Column) -> Column:
+        n = F.length(d)
+        left = F.ceil(n / 2).cast("int")
+        power = lambda k: F.pow(F.lit(10.0), k).cast("bigint")
+        # a first digit 0 stays, so that none but the (0) of a code is read as one
+        low = F.when(F.substr(d, F.lit(1), F.lit(1)) == "0", F.lit(0)).otherwise(power(left - 1)).cast("bigint")
+        size = F.when(low == 0, power(left - 1)).otherwise(9 * power(left - 1))
+        moved = _feistel(_long(F.substr(d, F.lit(1), left)) - low, _long(F.substr(d, left + 1)), size, power(n - left), "phone", key, inverse)
+        return _with(moved, lambda s: F.concat(F.lpad((s["x"] + low).cast("string"), left, F.lit("0")), F.lpad(s["y"].cast("string"), n - left, F.lit("0"))))
+
     count = F.length(_digits(m))
-    return F.when(count.between(8, 15), F.concat(code, _put_digits(rest, _permuted_digits(_digits(rest), "phone", key, inverse)))).otherwise(m)
+    return F.when(count.between(8, 15), F.concat(code, _put_digits(rest, _with(_digits(rest), new)))).otherwise(m)
 
 
 def _ip(m: Column, key: str, inverse: bool) -> Column:
@@ -270,7 +290,7 @@ def pseudonym(m: Column, key: str, inverse: bool = False) -> Column:
         .when(m.rlike(r"^[0-9]{1,3}(\.[0-9]{1,3}){3}$"), _ip(m, key, inverse))
         .when(m.rlike(r"^([0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{1,2}([./])[0-9]{1,2}\2[0-9]{4})$"), _date(m, key, inverse))
         .when(m.rlike("^[0-9]{3}-[0-9]{2}-[0-9]{4}$"), _ssn(m, key, inverse))
-        .when(m.rlike("^[+(]"), _phone(m, key, inverse))
+        .when(m.rlike(r"^[+(]|^1[ .-]?\(|^(?:1[ .-])?[0-9]{3}([ .-])[0-9]{3}\1[0-9]{4}$"), _phone(m, key, inverse))
         .otherwise(_card(m, key, inverse))
     )
 

@@ -286,6 +286,21 @@ def test_ibans_before_other_words(spark):
     assert "3704 0044" not in out[30] and "4111 1111" not in out[31] and "4111 1111" not in out[32]
 
 
+def test_telephone_groups(spark):
+    numbers = [
+        "+33 1 23 45 67 89", "+33 6 12 34 56 78", "+353 1 234 5678", "+49 (0)30 1234567", "415-555-2671", "+49 30 1234567", "+39 06 1234 5678",
+        "+351 912 345 678", "+351912345678", "+1 415 555 2671", "(415) 555-2671", "1-415-555-2671", "1 (415) 555-2671", "+61 (2) 1234 5678",
+    ]
+    texts = [*(f"call {n}, or" for n in numbers), "+33 6 12 34 56 78 100 EUR"]
+    out = _one_text(spark, texts)
+    digits = [re.sub(r"\D", "", t) for t in out]
+    for n, old, new in zip(numbers, texts, out):
+        assert n not in new and re.sub("[0-9]", "0", new) == re.sub("[0-9]", "0", old)
+    assert digits[7] == digits[8] and digits[3].replace("490", "49", 1) == digits[5]
+    assert digits[9] == digits[11] == digits[12] == "1" + digits[4] == "1" + digits[10]
+    assert out[14] == out[1][5:-4] + " 100 EUR"
+
+
 def test_warc(spark, tmp_path):
     pages = spark.read.parquet(f"{SMALL}/pages.parquet").select("page_id", "url", "html")
     pages = pages.union(spark.createDataFrame([(None, None, None), (9_000, "u", "<p>a&amp;b<script>x</p>"), (9_000, "u", "<p>a&amp;b<script>x</p>")], pages.schema))
