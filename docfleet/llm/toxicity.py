@@ -136,7 +136,7 @@ def features(text: str | None, lexicon: dict[str, float]) -> list[float]:
         at = np.searchsorted(second, hits)
         place = np.array([-10**9, *second, 10**9])
         near = int((np.minimum(hits - place[at], place[at + 1] - hits) <= NEAR).sum())
-    letters = sum(map(str.isalpha, text)) if len(text) < 4096 else len(text)
+    letters = sum(map(str.isalpha, text))
     capitals = sum(map(str.isupper, text))
     raw = text.split()
     return [

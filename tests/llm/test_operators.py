@@ -343,6 +343,12 @@ def test_reply_trees(spark):
     assert chat_trees.branches(messages.limit(0)).count() == 0
 
 
+def test_capitals_rate_is_the_same_at_every_length():
+    rate = lambda text: toxicity.features(text, {})[toxicity.FEATURES.index("capitals")]
+    line = "SHOUT at 12 people, 345 times! "
+    assert rate(line) == pytest.approx(rate(line * 500)) == pytest.approx(5 / sum(map(str.isalpha, line)))
+
+
 def test_toxicity(spark, odd, none):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").drop("lang", "source")
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
