@@ -1,4 +1,4 @@
-"""Repeated passages by relative Lempel-Ziv parsing.
+"""Repeated passages by window look-up, which stands in for greedy relative Lempel-Ziv parsing.
 
 Every document is factored against all that comes earlier (smaller doc_id, or the same document
 further up). A factor is a run of words that an earlier place has word for word; those of at least
@@ -12,9 +12,9 @@ further up). A factor is a run of words that an earlier place has word for word;
 * A block of more than ``hold`` windows (its 5-word gram is frequent, but what surrounds it differs) is not
   held by the task that meets it. Its windows are stored and dealt again one by one, by anchor and
   fingerprint, sorted, and compared with the first place of each in passing.
-* A block extends a factor while the next window continues the same earlier place. Where it does not,
-  the factor ends, and the window over the boundary is looked up on its own, in whichever block files
-  it. So a passage that greedy parsing would cut in two parts, each too short, is still found.
+* Hits whose next window continues the same earlier place are joined to one factor. No longest match is
+  searched: every window is looked up on its own, so there are no boundaries to check, and a passage
+  that greedy parsing would cut in two parts, each too short, is still found.
 
 Windows are judged on the input, not on what is left. Two windows agree when their 64-bit anchors and
 48-bit fingerprints do. Defined results: null and empty texts have no words; rows that share a doc_id
