@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from docfleet.llm import chat_trees, curriculum, exact_dedup, jaccard_join, packing, pii, substring_dedup, topk, toxicity, warc
+from docfleet.llm import (
+    chat_trees, curriculum, exact_dedup, importance, jaccard_join, line_dedup, packing, pii, substring_dedup, topk, toxicity, warc, whitening,
+)
 from docfleet.llm.work import Work
 
 #: A production run takes the key from its secret store.
@@ -74,6 +76,27 @@ def op10_boosted_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
 
 
+def op11_incremental_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    white = whitening.whiten(_read(spark, sf_dir, "embeddings"))
+    each = white.select("vec_id", "n", "deviation", "identity_error", F.posexplode(F.arrays_zip("whitened", "explained")).alias("_c", "_w"))
+    return each.select(
+        "vec_id", (F.col("_c") + 1).alias("component"), "n", F.expr("try_cast(deviation AS bigint)").alias("deviation"),
+        F.col("_w.whitened").alias("whitened"), F.col("_w.explained").alias("explained"), "identity_error",
+    )
+
+
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, target = _read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark")
+    work = Work(spark, "importance")
+    drawn = importance.draw(importance.score_documents(docs, target, work=work), work=work)
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup.drop_shared_lines(docs).select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
 _WORDS = r"list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -130,9 +153,46 @@ SQL = {
                coalesce(sum(length(t)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
                sha256(coalesce(string_agg(t, '' ORDER BY turn) FILTER (role = 'assistant'), '')) AS loss_sha256, sum(n)::BIGINT AS formatted_chars
         FROM f GROUP BY conv_id""",
+    "op12_importance_resampling": rf"""
+        WITH t AS (
+            SELECT list_transform(range(256), lambda n: list_reduce(range(8), lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, n)) AS steps),
+        d AS (
+            SELECT doc_id, list_filter(string_split_regex({_LOWER}, '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS ws
+            FROM (SELECT doc_id, text FROM documents UNION ALL SELECT NULL, text FROM benchmark)),
+        f AS (
+            SELECT doc_id, unnest(ws) AS f FROM d
+            UNION ALL SELECT doc_id, unnest(list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1])) FROM d
+            UNION ALL SELECT doc_id, unnest(list_transform(range(1, len(ws) - 1), lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2])) FROM d),
+        h AS (SELECT f, hex(encode(f)) AS x FROM (SELECT DISTINCT f FROM f)),
+        b AS (
+            SELECT f, xor(list_reduce(
+                list_transform(range(1, len(x), 2), lambda i: 16 * strpos('123456789ABCDEF', x[i]) + strpos('123456789ABCDEF', x[i + 1])),
+                lambda c, y: xor(steps[(xor(c, y) & 255) + 1], c >> 8), 4294967295::BIGINT), 4294967295) % 10000 AS b
+            FROM h, t),
+        e AS (SELECT doc_id, b FROM f JOIN b USING (f)),
+        n AS (SELECT b, count(doc_id) AS s, count(*) - count(doc_id) AS t FROM e GROUP BY b),
+        g AS (
+            SELECT b, floor(1000 * ln((t + 1)::DOUBLE * ((SELECT sum(s) FROM n)::DOUBLE + 10000) / ((s + 1)::DOUBLE * ((SELECT sum(t) FROM n)::DOUBLE + 10000))))::BIGINT AS gain FROM n),
+        w AS (SELECT doc_id, count(*) AS n_features, sum(gain)::BIGINT AS weight FROM e JOIN g USING (b) WHERE doc_id IS NOT NULL GROUP BY doc_id),
+        r AS (
+            SELECT d.doc_id, len(ws) AS n_words, coalesce(n_features, 0)::BIGINT AS n_features, coalesce(weight, 0)::BIGINT AS weight,
+                (coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('42:' || d.doc_id), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296))))::BIGINT AS score
+            FROM d LEFT JOIN w USING (doc_id) WHERE d.doc_id IS NOT NULL),
+        o AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS k, count(*) OVER () AS n FROM r WHERE n_words >= 20)
+        SELECT r.doc_id, n_features, weight, score, CASE WHEN k <= n * 5 // 100 THEN k END AS rank FROM r LEFT JOIN o USING (doc_id)""",
+    "op13_line_dedup": f"""
+        WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+        l AS (SELECT doc_id, unnest(range(len(ls))) AS p, unnest(ls) AS line FROM d),
+        k AS (SELECT *, {_LOWER.replace("coalesce(text, '')", "trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))")} AS key FROM l),
+        b AS (SELECT key, max(doc_id) AS keep FROM k WHERE length(key) >= 20 GROUP BY key HAVING count(DISTINCT doc_id) >= 3),
+        f AS (SELECT k.*, b.key IS NOT NULL AND doc_id <> keep AS gone FROM k LEFT JOIN b USING (key))
+        SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+               sha256(coalesce(string_agg(line, chr(10) ORDER BY p) FILTER (NOT gone), '')) AS kept_sha256
+        FROM f GROUP BY doc_id""",
 }
 
 QUERIES = {f.__name__: f for f in (
     op1_feistel_pseudonyms, op2_grace_dedup, op3_exact_topk, op4_residual_packing, op5_warc_derivatives, op6_lz_substring_dedup,
-    op7_curriculum_mix, op8_jaccard_join, op9_reply_trees, op10_boosted_toxicity,
+    op7_curriculum_mix, op8_jaccard_join, op9_reply_trees, op10_boosted_toxicity, op11_incremental_whitening, op12_importance_resampling,
+    op13_line_dedup,
 )}
