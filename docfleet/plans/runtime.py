@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-import functools
-import tempfile
+import atexit
+import shutil
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,23 +24,76 @@ def build_session(app_name: str = "docfleet", cpus: str = "*", **conf: str) -> S
     return builder.getOrCreate()
 
 
-@functools.cache
-def _local_base() -> str:
-    return tempfile.mkdtemp(prefix="docfleet-")
+_LEFT: dict[str, SparkSession] = {}
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh folder under the shared folder named by ``spark.checkpoint.dir``.
 
-    Without that setting a temporary folder is used, which only a local master can see;
-    any other master is refused, because executors could not share it.
+    Where that is unset (tests, local runs) it lies under the warehouse, which executors share as
+    well. What is left of it when the driver's Python ends is removed then.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.conf.get("spark.master", "local").startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-        base = _local_base()
-    return f"{base.rstrip('/')}/docfleet/{label}-{uuid.uuid4().hex}"
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/work"
+    path = f"{base.rstrip('/')}/docfleet/{label}-{uuid.uuid4().hex}"
+    _LEFT[path] = spark
+    return path
+
+
+class Folder:
+    """A folder in whatever file system Spark reads, for small files written by the driver."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.path = path.rstrip("/")
+        self._path = spark._jvm.org.apache.hadoop.fs.Path
+        self._io = spark._jvm.org.apache.commons.io.IOUtils
+        self._fs = self._path(self.path).getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def _at(self, name: str):
+        return self._path(f"{self.path}/{name}" if name else self.path)
+
+    def names(self, name: str = "") -> list[str]:
+        """Names in the folder, sorted; none if there is no such folder."""
+        if not self._fs.exists(self._at(name)):
+            return []
+        return sorted(s.getPath().getName() for s in self._fs.listStatus(self._at(name)))
+
+    def read(self, name: str) -> str:
+        stream = self._fs.open(self._at(name))
+        try:
+            return self._io.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+
+    def write_new(self, name: str, text: str) -> None:
+        """Write a whole file under a name that is not taken; readers see all of it or nothing."""
+        draft = f"{name}.{uuid.uuid4().hex}.draft"
+        stream = self._fs.create(self._at(draft))
+        try:
+            stream.write(bytearray(text.encode()))
+        finally:
+            stream.close()
+        if not self._fs.rename(self._at(draft), self._at(name)):
+            self.delete(draft)
+            raise FileExistsError(f"{self.path}/{name}")
+
+    def delete(self, name: str = "") -> None:
+        self._fs.delete(self._at(name), True)
+
+
+@atexit.register
+def _clean() -> None:
+    for path, spark in _LEFT.items():
+        try:
+            Folder(spark, path).delete()
+        except Exception:  # the session has ended; what it wrote to a local disk can still go
+            if path.startswith(("/", "file:")):
+                shutil.rmtree(path.removeprefix("file:"), ignore_errors=True)
+
+
+def spread_out(df: DataFrame) -> DataFrame:
+    """A table with fewer splits than there are cores, dealt over all of them; a larger one as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:

@@ -57,6 +57,10 @@ select l_orderkey as batch_id, cast(l_linenumber - 1 as bigint) as idx,
        l_partkey * 100000000 + l_suppkey as item,
        case when l_returnflag = 'R' then 'failure' else 'success' end as status,
        case when l_returnflag = 'R' then concat('Unsupported conversion type: ', l_linestatus) end as error
+from lineitem""",
+    # the items in the order they were shipped
+    "v_batch_arrivals": """
+select l_orderkey as batch_id, case when l_returnflag = 'R' then 'failure' else 'success' end as status, cast(l_shipdate as timestamp) as ts
 from lineitem""",
     "v_task_events": """
 select event_id as seq, user_id as task_id, cast(ts as timestamp) as ts,
@@ -78,6 +82,11 @@ select o_orderkey as decision_id, o_custkey as project_id, cast(o_orderdate as t
        case o_orderstatus when 'F' then 'accepted' when 'O' then 'proposed' else 'rejected' end as status,
        case when o_orderkey % 6 = 0 then o_orderkey - 3 end as supersedes
 from orders""",
+    # blocks of eight decisions, each superseding the one before it; every tenth block is a circle
+    "v_decision_chains": """
+select decision_id, project_id, phase, status,
+       case when decision_id % 8 <> 0 then decision_id - 1 when decision_id % 80 = 0 then decision_id + 7 end as supersedes
+from v_decisions""",
     "v_history": """
 select user_id as project_id, cast(ts as timestamp) as ts, event_id, event_type as type,
        concat('0', cast(event_id % 5 + 1 as string)) as phase,
@@ -133,7 +142,21 @@ select o_custkey as project_id, concat('0', cast(o_orderkey % 5 + 1 as string))
 from orders group by o_custkey, concat('0', cast(o_orderkey % 5 + 1 as string))""",
     # up to three stored variants per id
     "v_stored": """
-select cast(floor(file_id / 3) as bigint) as file_id, path, size from v_files""",
+select cast(floor(file_id / 3) as bigint) as file_id, path, size, mtime from v_files""",
+    # files and numbered reports, some in two spellings
+    "v_names": """
+select path from v_files
+union select concat(source, '/', lang, '/', case when doc_id % 2 = 0 then 'Report-' else 'report-' end, cast(doc_id % 50 as string), '.md') from documents""",
+    "v_project_files": """
+select file_id % 25 as project_id, path, size, mtime, content from v_placeholders join (select file_id as id, mtime from v_files) t on id = file_id""",
+    "v_project_refs": """
+select file_id % 25 as project_id, case when file_id % 9 = 0 then concat(path, '.old') else path end as path from v_files where file_id % 7 <> 0""",
+    "v_project_phases": "select distinct project_id % 25 as project_id, phase from v_phases where project_id % 3 = 0",
+    "v_project_decisions": "select project_id % 25 as project_id, phase from v_decisions where status <> 'rejected' and decision_id % 200 < 20",
+    "v_handoff_docs": """
+select event_id, concat('{"version": "1.0", "from-phase": "', from_phase, '", "executive-summary": "', coalesce(summary, ''), '", "key-deliverables": ["a", "b"], ',
+       '"open-issues": [{"issue": "slow", "suggested-action": "', suggested, '"}]', case when event_id % 50 = 0 then '' else '}' end) as doc
+from v_handoffs""",
     "v_lookups": "select event_id as request_id, event_id % 500 as file_id from events",
     "v_merge_requests": (
         """
@@ -178,6 +201,7 @@ from events""",
     ),
     "v_state_json": """
 select event_id, case when event_id % 50 = 0 then replace(props, ':', '') else props end as doc from events""",
+    "v_project_state": "select event_id % 25 as project_id, doc from v_state_json",
     "v_html_blocks": (
         """
 select page_id as doc_id, cast(pos as bigint) as pos, m
