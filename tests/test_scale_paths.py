@@ -12,7 +12,6 @@ from docfleet.operators import hygiene
 from docfleet.operators import similarity as N
 from docfleet.operators import status as S
 from docfleet.plans import ordered as O
-from docfleet.plans.skew import heavy_keys, spread_join
 
 
 def rows(df):
@@ -26,35 +25,6 @@ def skewed(spark):
     return spark.createDataFrame(data, "k int, id int, v int")
 
 
-@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-def test_spread_join_equals_plain_join(spark, tight, skewed, how):
-    right = spark.createDataFrame([(1, "a"), (3, "b"), (6, "c"), (500, "d"), (None, "e")], "k int, name string")
-    assert heavy_keys(skewed, ["k"], F.xxhash64("id")).count() >= 1
-    assert rows(spread_join(skewed, right, ["k"], how)) == rows(skewed.join(right, "k", how))
-
-
-def test_heavy_keys_are_found_from_few_rows(spark, monkeypatch):
-    from docfleet.plans import skew
-
-    monkeypatch.setattr(skew, "ROWS_PER_SPLIT", 10_000)
-    df = spark.range(100_000).select(F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).alias("k"), "id")
-    found = heavy_keys(df, ["k"], F.xxhash64("id")).collect()
-    assert [(r.k, r._splits in (3, 4)) for r in found] == [(-1, True)]
-    right = df.select("k").distinct().withColumn("x", F.col("k") + 1)
-    joined = spread_join(df, right, ["k"], "inner")
-    assert joined.count() == 100_000 and joined.filter("x <> k + 1").count() == 0
-
-
-def test_spread_join_repeated_right_rows(spark, tight, skewed):
-    right = spark.createDataFrame([(1, "a"), (1, "b"), (3, "c")], "k int, name string")
-    assert rows(spread_join(skewed, right, ["k"], "left")) == rows(skewed.join(right, "k", "left"))
-
-
-def test_spread_join_refuses_joins_it_would_repeat(spark, skewed):
-    with pytest.raises(ValueError):
-        spread_join(skewed, skewed, ["k"], "full")
-
-
 def test_running_sum_by_position(spark, tight, skewed):
     w = Window.partitionBy("k").orderBy("id").rowsBetween(Window.unboundedPreceding, 0)
     want = skewed.withColumn("s", F.sum("v").over(w)).filter("k is not null")
@@ -210,6 +180,24 @@ def test_residual_pairs_are_needed_and_found(spark):
     assert {r.doc_id: r.cluster_id for r in got.collect()} == brute_clusters(docs) == {k: 0 for k in range(10)}
 
 
+def test_texts_that_share_most_shingles_are_hardly_paired(spark, monkeypatch):
+    """Form letters: three quarters of the shingles are common to all, the rest is each text's own."""
+    seen = []
+    pair = N._pair
+
+    def counted(tried):
+        seen.append(tried.count())
+        return pair(tried)
+
+    monkeypatch.setattr(N, "_pair", counted)
+    letter = lambda i: " ".join(f"own{i}-{j}" if j % 17 == 5 else f"w{j}" for j in range(120))
+    for n in (200, 1600):
+        docs = [(i, letter(i)) for i in range(n)] + [(n, letter(0) + " end")]
+        got = N.near_duplicates(spark.createDataFrame(docs, "doc_id bigint, text string"))
+        assert {r.doc_id for r in got.collect()} == {0, n}
+    assert sum(seen) <= 40  # pairs looked at, for 200 and 1,600 texts together
+
+
 def test_similar_names_equal_brute_force(spark):
     rng = random.Random(5)
     names = sorted({"".join(rng.choice("abc") for _ in range(rng.randrange(1, 5))) for _ in range(60)})
@@ -223,10 +211,32 @@ def test_similar_names_equal_brute_force(spark):
                 row.append(min(old[j] + 1, row[j - 1] + 1, old[j - 1] + (x != y)))
         return row[-1]
 
-    want = sorted((a, b) for a, b in itertools.combinations(names, 2) if distance(a, b) == 1)
-    got = [(r.folder, r.name_a, r.name_b) for r in N.similar_names(files).collect()]
-    assert sorted((a, b) for f, a, b in got if f == "d") == want
-    assert [g for g in got if g[0] == ""] == [("", "readm", "readme")]
+    for k in (1, 2, 3):
+        want = sorted((f"d/{a}.md", f"d/{b}.md", n) for a, b in itertools.combinations(names, 2) if (n := distance(a, b)) <= k)
+        got = [tuple(r) for r in N.similar_names(files, k).collect()]
+        assert sorted((a, b, n) for f, _, a, b, n in got if f == "d") == want
+        assert [g for g in got if g[0] == ""] == [("", "", "READM", "README", 1)]
+
+
+def test_similar_names_of_any_length_and_case(spark):
+    rng = random.Random(9)
+    stems = ["".join(rng.choice("ab") for _ in range(rng.randrange(0, 14))) for _ in range(120)]
+    paths = sorted({f"x/{''.join(c.upper() if rng.random() < 0.2 else c for c in s)}.{rng.choice(['md', 'MD'])}" for s in stems})
+    low = {p: p[2:-3].lower() for p in paths}
+
+    def distance(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            row, old = [i], row
+            for j, y in enumerate(b, 1):
+                row.append(min(old[j] + 1, row[j - 1] + 1, old[j - 1] + (x != y)))
+        return row[-1]
+
+    files = spark.createDataFrame([(p,) for p in paths + paths[:5]], "path string")
+    for k in (1, 2, 3):
+        want = sorted((a, b, n) for a, b in itertools.combinations(paths, 2) if (n := distance(low[a], low[b])) <= k)
+        assert sorted((r.path_a, r.path_b, r.distance) for r in N.similar_names(files, k).collect()) == want
+        assert any(n == 0 for _, _, n in want)
 
 
 def test_labels_of_a_long_chain(spark):
