@@ -16,6 +16,16 @@ TYPE_LABELS = {
     "md": "Markdown",
 }
 
+# conversion target -> label shown for it
+TARGET_LABELS = {
+    "pdf": "PDF",
+    "docx": "Word",
+    "xlsx": "Excel",
+    "images": "图片",
+    "png": "PNG",
+    "jpg": "JPG",
+}
+
 # names used on either side of "_to_" in a conversion key
 KEY_FROM = {
     "docx": "word",
@@ -57,6 +67,7 @@ CONTENT_TYPES = {
     "ico": "image/x-icon",
 }
 DEFAULT_CONTENT_TYPE = "application/octet-stream"
+JSON_TYPE = "application/json"
 
 # conversion tokens that are not themselves output formats -> the format they produce
 FORMAT_OF_TOKEN = {

@@ -19,7 +19,7 @@ def lookup(mapping: Mapping[str, str], key: Column, default: Column | None = Non
 
 def div(number: Column, by: int) -> Column:
     """Whole-number division."""
-    return F.call_function("div", number, F.lit(by).cast("bigint"))
+    return F.call_function("div", number.cast("bigint"), F.lit(by).cast("bigint"))
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -68,6 +68,11 @@ def type_label(ext: Column) -> Column:
     return lookup(K.TYPE_LABELS, ext, F.upper(ext))
 
 
+def target_label(target: Column) -> Column:
+    """Label of a conversion target; one without a label is shown as it is."""
+    return lookup(K.TARGET_LABELS, target, target)
+
+
 def conversion_key(source: Column, target: Column) -> Column:
     """Name of the conversion between two extensions, e.g. docx, pdf -> word_to_pdf."""
     return F.concat(lookup(K.KEY_FROM, source, source), F.lit("_to_"), lookup(K.KEY_TO, target, target))

@@ -5,37 +5,61 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from docfleet.functions import constants as K
 from docfleet.functions import markdown as M
-from docfleet.functions.scalars import content_type, is_blank, let, output_format, strip
+from docfleet.functions.scalars import content_type, is_blank, let, lookup, output_format, strip
 
 ColumnConverter = Callable[[Column], Column]
-PandasConverter = Callable[[str], str]
+BatchConverter = Callable[[pa.Array], pa.Array]
 
 
 @dataclass
 class Registry:
-    """Converters by conversion type: column functions, or Python functions on one content.
+    """Converters by conversion type: column functions, or functions on Arrow arrays of contents.
 
-    A column function returns text, or a struct (data, error) where a row can fail. Python
-    functions run in Arrow batches and only see the rows of their type.
+    A column function returns text, or a struct (data, error) where a row can fail. A batch function
+    gets an array of texts and returns one of as many; it raises where it can't. ``content_type`` is the
+    media type of what a converter gives; without it the target of the conversion names one.
     """
 
     columns: dict[str, ColumnConverter] = field(default_factory=dict)
-    python: dict[str, PandasConverter] = field(default_factory=dict)
-
-    def register(self, conversion_type: str, column: ColumnConverter | None = None, python: PandasConverter | None = None) -> None:
-        if (column is None) == (python is None):
-            raise ValueError("give either a column function or a Python function")
-        self.columns.pop(conversion_type, None)
-        self.python.pop(conversion_type, None)
+    batches: dict[str, BatchConverter] = field(default_factory=dict)
+    content_types: dict[str, str] = field(default_factory=dict)
+
+    def register(
+        self, conversion_type: str, column: ColumnConverter | None = None, batch: BatchConverter | None = None, content_type: str | None = None
+    ) -> None:
+        if (column is None) == (batch is None):
+            raise ValueError("give either a column function or a batch function")
+        for known in (self.columns, self.batches, self.content_types):
+            known.pop(conversion_type, None)
         if column is not None:
             self.columns[conversion_type] = column
         else:
-            self.python[conversion_type] = python
+            self.batches[conversion_type] = batch
+        if content_type is not None:
+            self.content_types[conversion_type] = content_type
+
+
+def convert_values(convert: BatchConverter, values: pa.Array) -> tuple[list[str | None], list[str | None]]:
+    """Results and errors. Where a batch fails its halves are tried, so a bad row among n costs log2(n) retries."""
+    if not len(values):
+        return [], []
+    try:
+        made = convert(values)
+        if len(made) != len(values):
+            raise ValueError(f"{len(made)} results for {len(values)} contents")
+        return pa.array(made).cast(pa.string()).to_pylist(), [None] * len(values)
+    except Exception as e:  # one bad file never fails the batch
+        if len(values) == 1:
+            return [None], [str(e) or type(e).__name__]
+    half = len(values) // 2
+    left, right = (convert_values(convert, part) for part in (values.slice(0, half), values.slice(half)))
+    return left[0] + right[0], left[1] + right[1]
 
 
 def with_fallback(primary: Column, secondary: Column) -> Column:
@@ -136,11 +160,12 @@ def native_registry() -> Registry:
     """The conversions whose work is text and tables."""
     r = Registry()
     r.register("markdown_to_html", M.text_to_html)
-    r.register("markdown_to_word", lambda c: F.to_json(M.text_to_blocks(c)))
+    # blocks, pages and rows are what a renderer of the byte format takes; here they are JSON
+    r.register("markdown_to_word", lambda c: F.to_json(M.text_to_blocks(c)), content_type=K.JSON_TYPE)
     r.register("word_to_markdown", blocks_to_markdown)
-    r.register("word_to_pdf", blocks_to_pages)
+    r.register("word_to_pdf", blocks_to_pages, content_type=K.JSON_TYPE)
     r.register("excel_to_csv", sheet_to_csv)
-    r.register("excel_to_pdf", sheet_to_rows)
+    r.register("excel_to_pdf", sheet_to_rows, content_type=K.JSON_TYPE)
     r.register("pdf_to_html", pages_to_html)
     return r
 
@@ -149,7 +174,7 @@ def convert_batch(files: DataFrame, registry: Registry | None = None) -> DataFra
     """files(file_id, conversion_type, content) -> status, data, content_type, error per file.
 
     Every row is converted on its own and fails on its own. An empty result is a success without
-    data. Rows of Python converters are the only ones that leave the JVM.
+    data. Rows of batch converters are the only ones that leave the JVM, in Arrow batches.
     """
     registry = registry or native_registry()
     kind = F.col("conversion_type")
@@ -162,33 +187,32 @@ def convert_batch(files: DataFrame, registry: Registry | None = None) -> DataFra
             made = _result(made, F.lit(None).cast("string"))
         chosen = F.when(kind == name, made).otherwise(chosen)
     chosen = F.when(F.col("content").isNull(), _result(F.lit(None).cast("string"), F.lit("no content"))).otherwise(chosen)
-    native = files.filter(~kind.isin(list(registry.python))) if registry.python else files
+    theirs = kind.isin(list(registry.batches)) & F.col("content").isNotNull()
+    native = files.filter(~F.coalesce(theirs, F.lit(False))) if registry.batches else files
     out = native.select("file_id", "conversion_type", chosen.alias("r")).select("file_id", "conversion_type", "r.*")
-    if registry.python:
-        functions = dict(registry.python)
+    if registry.batches:
+        functions = dict(registry.batches)
 
-        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                data, error = [], []
-                for name, content in zip(batch["conversion_type"], batch["content"]):
-                    try:
-                        data.append(functions[name](content))
-                        error.append(None)
-                    except Exception as e:  # one bad file never fails the batch
-                        data.append(None)
-                        error.append(str(e))
-                yield batch[["file_id", "conversion_type"]].assign(data=data, error=error)
+                kinds = batch.column("conversion_type")
+                for name in pc.unique(kinds).to_pylist():
+                    own = batch.filter(pc.equal(kinds, name))
+                    data, error = convert_values(functions[name], own.column("content").cast(pa.string()))
+                    yield pa.RecordBatch.from_arrays(
+                        [own.column("file_id"), own.column("conversion_type"), pa.array(data, pa.string()), pa.array(error, pa.string())],
+                        ["file_id", "conversion_type", "data", "error"],
+                    )
 
         schema = f"file_id {dict(files.dtypes)['file_id']}, conversion_type string, data string, error string"
-        theirs = files.filter(kind.isin(list(registry.python))).select("file_id", "conversion_type", "content")
-        out = out.unionByName(theirs.mapInPandas(run, schema))
+        out = out.unionByName(files.filter(theirs).select("file_id", "conversion_type", "content").mapInArrow(run, schema))
     filled = F.nullif(F.col("data"), F.lit(""))
-    failed = F.col("error").isNotNull()
+    failed, named = F.col("error").isNotNull(), content_type(output_format(kind))
     return out.select(
         "file_id",
         "conversion_type",
         F.when(failed, "failure").otherwise("success").alias("status"),
         F.when(~failed, filled).alias("data"),
-        F.when(~failed & filled.isNotNull(), content_type(output_format(kind))).alias("content_type"),
+        F.when(~failed & filled.isNotNull(), lookup(registry.content_types, kind, named) if registry.content_types else named).alias("content_type"),
         "error",
     )

@@ -1,5 +1,7 @@
 """Queries on lookups, the conversion catalogue and conversions."""
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import functions as F
 
 from docfleet.functions import constants as K
@@ -14,14 +16,21 @@ ORDER = "list_position([" + ", ".join(f"'{e}'" for e in K.LOOKUP_EXTENSIONS) + "
 VARIANTS = rf"""
 with s as (select *, regexp_extract(path, '\.[^./]*$') as e from v_stored),
 r as (select *, row_number() over (partition by file_id order by {ORDER}, path) as rn from s where {ORDER} > 0),
-hit as (select file_id, path, size from r where rn = 1),
-pdf as (select file_id, path, size from (select *, row_number() over (partition by file_id order by case e when '' then 0 else 1 end, path) as k
+hit as (select file_id, path, size, mtime from r where rn = 1),
+pdf as (select file_id, path, size, mtime from (select *, row_number() over (partition by file_id order by case e when '' then 0 else 1 end, path) as k
         from s where e in ('', '.pdf')) where k = 1)"""
 
 
-@query("J1", VARIANTS + f" select request_id, l.file_id, path, size, case when path is null then '{K.MSG_NO_FILE}' end as error from v_lookups l left join hit h on h.file_id = l.file_id")
+CREATED = "strftime(mtime, '%Y-%m-%d %H:%M:%S') as created_at"
+
+
+def _created(found):
+    return found.withColumn("created_at", F.date_format("created_at", "yyyy-MM-dd HH:mm:ss"))
+
+
+@query("J1", VARIANTS + f" select request_id, l.file_id, path, size, {CREATED}, case when path is null then '{K.MSG_NO_FILE}' end as error from v_lookups l left join hit h on h.file_id = l.file_id")
 def resolve_files(v):
-    return L.resolve_files(v("v_lookups"), v("v_stored"))
+    return _created(L.resolve_files(v("v_lookups"), v("v_stored")))
 
 
 @query(
@@ -35,9 +44,9 @@ def merge_inputs(v):
     return L.merge_inputs(v("v_merge_requests"), v("v_stored"))
 
 
-@query("J3", VARIANTS + f" select request_id, l.file_id, path, size, case when path is null then '{K.MSG_NO_PDF}' end as error from v_lookups l left join pdf h on h.file_id = l.file_id")
+@query("J3", VARIANTS + f" select request_id, l.file_id, path, size, {CREATED}, case when path is null then '{K.MSG_NO_PDF}' end as error from v_lookups l left join pdf h on h.file_id = l.file_id")
 def require_files(v):
-    return L.require_files(v("v_lookups"), v("v_stored"))
+    return _created(L.require_files(v("v_lookups"), v("v_stored")))
 
 
 @query(
@@ -178,7 +187,10 @@ def _conversion_input(v):
         F.when(F.col("page_id") % 2 == 0, "pdf_to_excel").otherwise("word_to_markdown"),
         F.col("html"),
     )
-    return md.union(pages).union(sheets).union(other)
+    text = lambda m: F.when(F.startswith(m, F.lit("<p>")), F.substring(m, 4, 1_000_000)).otherwise(F.substring(m, 5, 1_000_000))
+    blocks = F.transform(found, lambda m: F.struct(F.lit("Normal").alias("style"), text(m).alias("text")))
+    word = v("pages").select(F.concat(F.lit("doc-"), F.col("page_id").cast("string")), F.lit("word_to_pdf"), F.to_json(blocks))
+    return md.union(pages).union(sheets).union(other).union(word)
 
 
 CONVERTED = (
@@ -190,10 +202,12 @@ out as (
   select concat('md-', doc_id) as file_id, 'markdown_to_html' as conversion_type, html as data, null as error from html
   union all select concat('pdf-', doc_id), 'pdf_to_html', replace(text, chr(10), '<hr/>'), null from documents
   union all select concat('xls-', sheet), 'excel_to_csv', string_agg(line, chr(10) order by c_custkey), null from rows group by sheet
+  union all select concat('doc-', doc_id), 'word_to_pdf', cast(to_json(list(t order by pos) filter (regexp_matches(t, '[^\\s]'))) as varchar), null
+      from (select doc_id, pos, case when m like '<p>%' then substr(m, 4) else substr(m, 5) end as t from v_html_blocks) group by doc_id
   union all select concat('page-', page_id), case when page_id % 2 = 0 then 'pdf_to_excel' else 'word_to_markdown' end, null,
       case when page_id % 2 = 0 then '{K.MSG_UNSUPPORTED}pdf_to_excel' else 'content is not a list of blocks' end from pages)
 select file_id, conversion_type, case when error is null then 'success' else 'failure' end as status, nullif(data, '') as data,
-    case when data <> '' then case conversion_type when 'excel_to_csv' then 'text/csv' when 'markdown_to_html' then 'text/html' when 'pdf_to_html' then 'text/html' end end as content_type, error
+    case when data <> '' then case conversion_type when 'excel_to_csv' then 'text/csv' when 'markdown_to_html' then 'text/html' when 'pdf_to_html' then 'text/html' when 'word_to_pdf' then 'application/json' end end as content_type, error
 from out"""
 )
 
@@ -203,17 +217,25 @@ def convert_batch(v):
     return convert.convert_batch(_conversion_input(v))
 
 
-@query("F1", "select doc_id as file_id, 'text_to_upper' as conversion_type, case when length(text) < 300 then 'failure' else 'success' end as status, case when length(text) >= 300 then upper(text) end as data, case when length(text) < 300 then 'too short' end as error from documents")
+@query(
+    "F1",
+    """
+select doc_id as file_id, 'text_to_plain' as conversion_type, case when length(text) < 300 then 'failure' else 'success' end as status,
+    case when length(text) >= 300 then strip_accents(text) end as data, case when length(text) >= 300 then 'text/plain' end as content_type,
+    case when length(text) < 300 then 'too short' end as error from documents""",
+)
 def convert_batch_with_python(v):
-    def shout(text: str) -> str:
-        if len(text) < 300:
+    """Texts without their accents: Unicode normal forms are no column function."""
+
+    def without_accents(texts: pa.Array) -> pa.Array:
+        if pc.min(pc.utf8_length(texts)).as_py() < 300:
             raise ValueError("too short")
-        return text.replace("ß", "ẞ").upper()
+        return pc.replace_substring_regex(pc.utf8_normalize(texts, form="NFD"), r"\p{Mn}+", "")
 
     registry = convert.native_registry()
-    registry.register("text_to_upper", python=shout)
-    files = v("documents").select(F.col("doc_id").alias("file_id"), F.lit("text_to_upper").alias("conversion_type"), F.col("text").alias("content"))
-    return convert.convert_batch(files, registry).drop("content_type")
+    registry.register("text_to_plain", batch=without_accents, content_type="text/plain")
+    files = v("documents").select(F.col("doc_id").alias("file_id"), F.lit("text_to_plain").alias("conversion_type"), F.col("text").alias("content"))
+    return convert.convert_batch(files, registry)
 
 
 @query("F2", "select event_id, coalesce(case when json_valid(doc) then doc ->> '$.k' end, doc) as value, not json_valid(doc) as used_fallback from v_state_json")
