@@ -10,7 +10,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from docfleet.functions import constants as K
 from docfleet.functions.scalars import age_hours, archive_path, base_name, strip, valid_artifact_name
 from docfleet.plans.runtime import stored
-from docfleet.plans.skew import heavy_of, spread_join
 
 PLACEHOLDERS = ("todo", "tbd", "tba", "n/a", "placeholder", "coming soon", "to be written", "待补充")
 
@@ -35,9 +34,7 @@ def _copies(digests: DataFrame) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("copies"), F.min_by("path", newest_first).alias("keeper"))
         .filter(F.col("copies") > 1)
     )
-    return spread_join(
-        digests, groups, ["hash"], "inner", spread_by=["path"], heavy=heavy_of(groups, ["hash"], "copies")
-    )
+    return digests.join(groups, "hash")
 
 
 def duplicate_groups(digests: DataFrame) -> DataFrame:
@@ -69,20 +66,21 @@ def temp_listing(files: DataFrame, now: Column) -> DataFrame:
 
 
 def expired_temp(
-    files: DataFrame, now: Column, keep: int = K.KEEP_RECENT_TEMP, max_age_hours: float = K.TEMP_MAX_AGE_HOURS
+    files: DataFrame, now: Column, keep: int = K.KEEP_RECENT_TEMP, max_age_hours: float = K.TEMP_MAX_AGE_HOURS, by: Sequence[str] = ()
 ) -> DataFrame:
-    """Temporary files to delete: older than the limit and not among the newest of their pattern.
+    """Temporary files to delete: older than the limit and not among the newest of their pattern (of
+    each group ``by``).
 
     The newest few per pattern are found with a row-number limit, which every task applies
-    before the shuffle; there are at most patterns x keep of them, so they are broadcast.
+    before the shuffle. Without ``by`` there are at most patterns x keep of them, so they are broadcast.
     """
-    temp = files.select("path", "mtime", temp_pattern(F.col("path")).alias("pattern")).filter(
+    temp = files.select(*by, "path", "mtime", temp_pattern(F.col("path")).alias("pattern")).filter(
         F.col("pattern").isNotNull()
     )
-    newest = Window.partitionBy("pattern").orderBy(F.col("mtime").desc(), "path")
-    kept = temp.withColumn("_rn", F.row_number().over(newest)).filter(F.col("_rn") <= keep).select("path")
+    newest = Window.partitionBy(*by, "pattern").orderBy(F.col("mtime").desc(), "path")
+    kept = temp.withColumn("_rn", F.row_number().over(newest)).filter(F.col("_rn") <= keep).select(*by, "path")
     old = temp.filter(age_hours(F.col("mtime"), now) > max_age_hours)
-    return old.join(F.broadcast(kept), "path", "left_anti").select("pattern", "path", "mtime")
+    return old.join(kept if by else F.broadcast(kept), [*by, "path"], "left_anti").select(*by, "pattern", "path", "mtime")
 
 
 def zero_size(files: DataFrame) -> DataFrame:
@@ -90,13 +88,15 @@ def zero_size(files: DataFrame) -> DataFrame:
 
 
 def placeholders(files: DataFrame, texts: Sequence[str] = PLACEHOLDERS) -> DataFrame:
-    """Files whose whole content is a placeholder, ignoring case, spacing and marks around it.
+    """Files whose whole content is a placeholder, ignoring case, spacing and marks around it."""
+    return files.filter(is_placeholder(F.col("content"), texts)).select("path")
 
-    The pattern is anchored, so a real text is given up at its first letters.
-    """
+
+def is_placeholder(content: Column, texts: Sequence[str] = PLACEHOLDERS) -> Column:
+    """The pattern is anchored, so a real text is given up at its first letters."""
     marks = F.lit(K.BLANK_CHARS + "-#*<>[]().:!…")
     words = "|".join(re.escape(t).replace("\\ ", f"[{K.BLANKS}]+") for t in texts)
-    return files.filter(F.btrim(F.lower("content"), marks).rlike(rf"^(?:{words})\z")).select("path")
+    return F.btrim(F.lower(content), marks).rlike(rf"^(?:{words})\z")
 
 
 def large_logs(files: DataFrame, min_bytes: int = K.LARGE_LOG_BYTES, suffixes: Sequence[str] = (".log",)) -> DataFrame:
@@ -185,36 +185,56 @@ def scan_report(files: DataFrame, now: Column, apply: bool = False, root: str =
 # ---------------------------------------------------------------- health
 
 
+HEALTH_CHECKS = (
+    "state_parses", "references_exist", "no_orphans", "no_empty_files", "no_placeholders", "temp_cleaned", "names_valid", "decisions_recorded",
+)
+
+
 def health_checks(
-    state_docs: DataFrame, refs: DataFrame, files: DataFrame, decisions: DataFrame, phases: DataFrame, now: Column
+    state_docs: DataFrame, refs: DataFrame, files: DataFrame, decisions: DataFrame, phases: DataFrame, now: Column, by: str = "project_id"
 ) -> DataFrame:
-    """One row per check: violations and whether it passed.
+    """One row per project and check, and one per check over all projects (``scope`` total): violations and
+    whether the check passed.
 
-    state_docs(broken), refs(path), files(path, size, mtime), decisions(project_id, phase),
-    phases(project_id, phase) are looked at each on its own and only the counts are put together.
+    state_docs(by, broken), refs(by, path), files(by, path, size, mtime, content), decisions(by, phase) and
+    phases(by, phase) are looked at each on its own; a project is whatever any of them names. Each
+    violation becomes a narrow row, these are counted per project and check, and one pass of grouping
+    sets gives the projects and the total, which is the sum of the projects.
     """
-    from docfleet.operators.history import dangling_references, orphan_files
-
-    n = F.count(F.lit(1)).alias("violations")
-    undecided = phases.select("project_id", "phase").distinct().join(
-        decisions.select("project_id", "phase").distinct(), ["project_id", "phase"], "left_anti"
-    )
-    counts = {
-        "state_parses": state_docs.filter("broken").agg(n),
-        "references_exist": dangling_references(refs, files).agg(n),
-        "no_orphans": orphan_files(files, refs).agg(n),
-        "no_empty_files": zero_size(files).agg(n),
-        "temp_cleaned": expired_temp(files, now).agg(n),
-        "names_valid": files.filter(~valid_artifact_name(base_name(F.col("path")))).agg(n),
-        "decisions_recorded": undecided.agg(n),
+    pair = [by, "path"]
+    paths, wanted = files.select(*pair).distinct(), refs.select(*pair).distinct()
+    needed = phases.select(by, "phase").distinct()
+    found = {
+        "state_parses": state_docs.filter("broken"),
+        "references_exist": wanted.join(paths, pair, "left_anti"),
+        "no_orphans": paths.join(wanted, pair, "left_anti"),
+        "no_empty_files": files.filter((F.col("size") == 0) & (base_name(F.col("path")) != K.EMPTY_FILE_EXEMPT)),
+        "no_placeholders": files.filter(is_placeholder(F.col("content"))),
+        "temp_cleaned": expired_temp(files, now, by=[by]),
+        "names_valid": files.filter(~valid_artifact_name(base_name(F.col("path")))),
+        "decisions_recorded": needed.join(decisions.select(by, "phase").distinct(), [by, "phase"], "left_anti"),
     }
-    out = None
-    for check, counted in counts.items():
-        one = counted.select(
-            F.lit(check).alias("check"), "violations", (F.col("violations") == 0).alias("passed")
-        )
-        out = one if out is None else out.union(one)
-    return out
+    violations, projects = None, None
+    for check, rows in found.items():
+        one = rows.select(by, F.lit(check).alias("check"))
+        violations = one if violations is None else violations.union(one)
+    for table in (state_docs, refs, files, decisions, phases):
+        own = table.select(by).distinct()
+        projects = own if projects is None else projects.union(own)
+    zero = projects.distinct().select(by, F.explode(F.array(*map(F.lit, HEALTH_CHECKS))).alias("check"), F.lit(0).cast("bigint").alias("n"))
+    counted = violations.groupBy(by, "check").agg(F.count(F.lit(1)).alias("n")).union(zero)
+    return (
+        counted.groupingSets([[F.col(by), F.col("check")], [F.col("check")]], F.col(by), F.col("check"))
+        .agg(F.sum("n").alias("violations"), F.when(F.grouping(by) == 1, "total").otherwise("project").alias("scope"))
+        .select("scope", by, "check", "violations", (F.col("violations") == 0).alias("passed"))
+    )
+
+
+def health_report(checks: DataFrame, by: str = "project_id") -> DataFrame:
+    """From :func:`health_checks`, per project and for the total: violations, failed checks, score and band."""
+    summed = checks.groupBy("scope", by).agg(F.sum("violations").alias("violations"), F.count_if(~F.col("passed")).alias("failed_checks"))
+    scored = summed.withColumn("score", health_score(F.col("violations")))
+    return scored.withColumn("band", health_band(F.col("score")))
 
 
 def health_score(violations: Column) -> Column:

@@ -150,14 +150,15 @@ def near_duplicate_keepers(v):
 @query(
     "H5",
     """
-with n as (select distinct regexp_replace(path, '/?[^/]*$', '') as folder, lower(split_part(path, '/', -1)) as name from v_files),
-e as (select folder, case when contains(name, '.') then split_part(name, '.', -1) else '' end as ext, name from n),
-s as (select folder, ext, case when ext = '' then name else substr(name, 1, length(name) - length(ext) - 1) end as name from e)
-select a.folder, a.ext, a.name as name_a, b.name as name_b
-from s a join s b on a.folder = b.folder and a.ext = b.ext and a.name < b.name and levenshtein(a.name, b.name) = 1""",
+with n as (select distinct path, regexp_replace(path, '/?[^/]*$', '') as folder, lower(split_part(path, '/', -1)) as name from v_names),
+e as (select *, case when contains(name, '.') then split_part(name, '.', -1) else '' end as ext from n),
+s as (select folder, ext, path, case when ext = '' then name else substr(name, 1, length(name) - length(ext) - 1) end as name from e)
+select a.folder, a.ext, a.path as path_a, b.path as path_b, cast(levenshtein(a.name, b.name) as int) as distance
+from s a join s b on a.folder = b.folder and a.ext = b.ext and a.path < b.path and levenshtein(a.name, b.name) <= 2""",
 )
 def similar_names(v):
-    return N.similar_names(v("v_files"))
+    """Names up to two edits apart, and those that differ in case only."""
+    return N.similar_names(v("v_names"), distance=2)
 
 
 @query(
@@ -176,38 +177,47 @@ def large_logs(v):
 
 
 CHECKS = f"""
-with {TEMP}, c(check_name, violations) as (
-  select 'state_parses', count(*) from v_state_json where not json_valid(doc)
-  union all select 'references_exist', count(distinct path) from v_refs where path not in (select path from v_files)
-  union all select 'no_orphans', count(*) from v_files where path not in (select path from v_refs)
-  union all select 'no_empty_files', count(*) from v_files where size = 0
-  union all select 'temp_cleaned', count(*) from expired
-  union all select 'names_valid', count(*) from v_files where not regexp_matches(split_part(path, '/', -1), '^[0-9]{{2}}[a-z]?-[a-z0-9]+(-[a-z0-9]+)*\\.[a-z0-9]+$')
-  union all select 'decisions_recorded', count(*) from (
-    select project_id, phase from v_phases except select project_id, phase from v_decisions where status <> 'rejected'))"""
+with t as (
+  select project_id, {AGE} as age, row_number() over (partition by project_id, split_part(path, '.', -1) order by mtime desc, path) as rn
+  from v_project_files where regexp_matches(path, '\\.(tmp|draft|bak)$')),
+bad(check_name, project_id) as (
+  select 'state_parses', project_id from v_project_state where not json_valid(doc)
+  union all select 'references_exist', project_id from (select project_id, path from v_project_refs except select project_id, path from v_project_files)
+  union all select 'no_orphans', project_id from (select project_id, path from v_project_files except select project_id, path from v_project_refs)
+  union all select 'no_empty_files', project_id from v_project_files where size = 0
+  union all select 'no_placeholders', project_id from v_project_files where trim(lower(content), ' :.') in ('todo', 'coming  soon')
+  union all select 'temp_cleaned', project_id from t where rn > 3 and age > 24
+  union all select 'names_valid', project_id from v_project_files where not regexp_matches(split_part(path, '/', -1), '^[0-9]{{2}}[a-z]?-[a-z0-9]+(-[a-z0-9]+)*\\.[a-z0-9]+$')
+  union all select 'decisions_recorded', project_id from (select project_id, phase from v_project_phases except select project_id, phase from v_project_decisions)),
+p as (select project_id from v_project_files union select project_id from v_project_refs union select project_id from v_project_state
+      union select project_id from v_project_phases union select project_id from v_project_decisions),
+k as (select unnest([{', '.join(f"'{c}'" for c in H.HEALTH_CHECKS)}]) as check_name),
+c as (select p.project_id, k.check_name, count(bad.check_name) as violations from p cross join k left join bad using (project_id, check_name) group by all),
+a as (select 'project' as scope, project_id, check_name, violations from c
+      union all select 'total', null, check_name, cast(sum(violations) as bigint) from c group by check_name)"""
 
 
 def _checks(v):
-    docs = state.read_state_json(v("v_state_json"), T.StructType([T.StructField("k", T.LongType())]))
-    decided = v("v_decisions").filter(F.col("status") != "rejected")
-    return H.health_checks(docs, v("v_refs"), v("v_files"), decided, v("v_phases"), _now())
+    docs = state.read_state_json(v("v_project_state"), T.StructType([T.StructField("k", T.LongType())]))
+    return H.health_checks(docs, v("v_project_refs"), v("v_project_files"), v("v_project_decisions"), v("v_project_phases"), _now())
 
 
-@query("H9", CHECKS + ' select check_name as "check", violations, violations = 0 as passed from c')
+@query("H9", CHECKS + ' select scope, project_id, check_name as "check", violations, violations = 0 as passed from a')
 def health_checks(v):
     return _checks(v)
 
 
 @query(
     "H10",
-    """
-with s as (select project_id, greatest(0, 100 - 5 * count(*) filter (status <> 'resolved')) as score from v_issues group by project_id)
-select project_id, score, case when score >= 90 then 'excellent' when score >= 70 then 'good' when score >= 50 then 'fair' else 'poor' end as band from s""",
+    CHECKS
+    + """,
+s as (select scope, project_id, cast(sum(violations) as bigint) as violations, count(*) filter (violations > 0) as failed_checks from a group by scope, project_id),
+r as (select *, greatest(0, 100 - 5 * violations) as score from s)
+select *, case when score >= 90 then 'excellent' when score >= 70 then 'good' when score >= 50 then 'fair' else 'poor' end as band from r""",
 )
 def health_band(v):
-    open_count = v("v_issues").groupBy("project_id").agg(F.count_if(F.col("status") != "resolved").alias("n"))
-    scored = open_count.select("project_id", H.health_score(F.col("n")).alias("score"))
-    return scored.withColumn("band", H.health_band(F.col("score")))
+    """Score and band of every project from its own checks."""
+    return H.health_report(_checks(v))
 
 
 @query(
