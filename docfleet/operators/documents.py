@@ -15,7 +15,6 @@ from docfleet.plans.ordered import (
     running_sum_by_position,
     with_neighbours,
 )
-from docfleet.plans.skew import spread_join
 
 # ---------------------------------------------------------------- pages
 
@@ -94,7 +93,7 @@ def _take_ranges(ranges: DataFrame, pages: DataFrame, key: str, pos: str) -> Dat
         "hi",
         "page",
     )
-    found = spread_join(wanted, pages.select("doc_id", "page", "text"), ["doc_id", "page"], "inner")
+    found = wanted.join(pages.select("doc_id", "page", "text"), ["doc_id", "page"])
     return found.select(
         key, (F.col("before") + F.col("page") - F.col("lo") + 1).alias("out_page"), "doc_id", "page", "text"
     )
@@ -107,13 +106,13 @@ def select_pages(pages: DataFrame, requests: DataFrame) -> DataFrame:
     empty, and a request with an unreadable range gives nothing (see :func:`check_page_ranges`).
     """
     ranges = parse_page_ranges(requests.filter(F.size(_unreadable_ranges()) == 0))
-    known = spread_join(ranges, page_counts(pages), ["doc_id"], "inner")
+    known = ranges.join(page_counts(pages), "doc_id")
     return _take_ranges(known, pages, "request_id", "range_pos")
 
 
 def merge_documents(pages: DataFrame, doc_order: DataFrame) -> DataFrame:
     """doc_order(merge_id, pos, doc_id) -> all pages in that order, renumbered per merge."""
-    known = spread_join(doc_order, page_counts(pages), ["doc_id"], "inner")
+    known = doc_order.join(page_counts(pages), "doc_id")
     whole = known.withColumn("lo", F.lit(1).cast("bigint")).withColumn("hi", F.col("n_pages"))
     return _take_ranges(whole, pages, "merge_id", "pos")
 
@@ -351,9 +350,11 @@ def complex_files(
 
 
 def explode_features(requirements: DataFrame) -> DataFrame:
-    """requirements(project_id, type, description) -> the feature list of every project.
+    """requirements(project_id, type, description[, features]) -> the feature list of every project.
 
-    The fixed features come from array literals in the row, so the catalogue needs no join.
+    The fixed features come from array literals in the row, so the catalogue needs no join. They are
+    followed by the lines of the description, and by the project's own ``features``, an array of
+    struct(category, description, steps, priority) whose missing fields are functional, '', none and 3.
     """
 
     def fixed(items) -> Column:
@@ -379,7 +380,19 @@ def explode_features(requirements: DataFrame) -> DataFrame:
             F.lit(1).alias("priority"),
         ),
     )
+    given = []
+    if "features" in requirements.columns:
+        custom = F.transform(
+            F.filter(F.coalesce("features", F.array().cast(dict(requirements.dtypes)["features"])), lambda f: f.isNotNull()),
+            lambda f: F.struct(
+                F.coalesce(f["category"], F.lit("functional")).alias("category"),
+                F.coalesce(f["description"], F.lit("")).alias("description"),
+                F.coalesce(f["steps"], F.array().cast("array<string>")).alias("steps"),
+                F.coalesce(f["priority"].cast("int"), F.lit(3)).alias("priority"),
+            ),
+        )
+        given.append(custom)
     api = F.when(F.col("type") == "api", fixed(K.API_FEATURES)).otherwise(F.slice(fixed(K.API_FEATURES), 1, 0))
     return requirements.select(
-        "project_id", F.posexplode(F.concat(api, fixed(K.BASE_FEATURES), own)).alias("pos", "f")
+        "project_id", F.posexplode(F.concat(api, fixed(K.BASE_FEATURES), own, *given)).alias("pos", "f")
     ).select("project_id", F.col("pos").cast("bigint").alias("pos"), "f.*", F.lit(False).alias("passes"))

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from docfleet.functions import constants as K
 from docfleet.plans.ordered import number_rows, range_split, split_last, split_running_sum
-from docfleet.plans.skew import spread_join
+from docfleet.plans.runtime import stored
 
 # ---------------------------------------------------------------- references and snapshots
 
@@ -26,12 +26,14 @@ def orphan_files(files: DataFrame, refs: DataFrame) -> DataFrame:
 
 
 def snapshot_diff(before: DataFrame, after: DataFrame) -> DataFrame:
-    """Two snapshots (path, hash), one row per path each -> (path, change) of what differs."""
-    old, new = before.select("path", F.col("hash").alias("old")), after.select("path", F.col("hash").alias("new"))
+    """Two snapshots (path, hash), one row per path each -> (path, change) of what differs. A file
+    without a hash is there all the same; it is modified where only one of the snapshots has one."""
+    old = before.select("path", F.col("hash").alias("old"), F.lit(True).alias("_was"))
+    new = after.select("path", F.col("hash").alias("new"), F.lit(True).alias("_is"))
     change = (
-        F.when(F.col("old").isNull(), "added")
-        .when(F.col("new").isNull(), "removed")
-        .when(F.col("old") != F.col("new"), "modified")
+        F.when(F.col("_was").isNull(), "added")
+        .when(F.col("_is").isNull(), "removed")
+        .when(~F.col("old").eqNullSafe(F.col("new")), "modified")
     )
     return old.join(new, "path", "full").select("path", change.alias("change")).filter(F.col("change").isNotNull())
 
@@ -68,9 +70,35 @@ def content_versions(snapshots: DataFrame) -> DataFrame:
 
 
 def effective_decisions(decisions: DataFrame) -> DataFrame:
-    """Accepted decisions that no other decision supersedes."""
-    replaced = decisions.select(F.col("supersedes").alias("decision_id")).filter(F.col("decision_id").isNotNull()).distinct()
-    return decisions.filter(F.col("status") == "accepted").join(replaced, "decision_id", "left_anti")
+    """Accepted decisions that no accepted decision supersedes, directly or through a chain.
+
+    What a rejected or proposed decision would supersede stays in force, unless an accepted one stands
+    further up the chain. Decisions that supersede each other in a circle replace each other.
+    """
+    return decisions.filter(F.col("status") == "accepted").join(replaced_decisions(decisions), "decision_id", "left_anti")
+
+
+def replaced_decisions(decisions: DataFrame) -> DataFrame:
+    """(decision_id) of all that stand below an accepted decision in a chain of supersessions.
+
+    Links are doubled in every round, so a chain of any length takes log2 rounds of joins, where a
+    recursion would take as many as the chain has links. A round that finds nothing new ends it, on a
+    circle too.
+    """
+    links = decisions.filter(F.col("supersedes").isNotNull()).select(F.col("decision_id").alias("a"), F.col("supersedes").alias("b")).distinct()
+    links = stored(links, "links")
+    accepted = decisions.filter(F.col("status") == "accepted").select(F.col("decision_id").alias("a"))
+    found = stored(links.join(accepted.distinct(), "a").select(F.col("b").alias("decision_id")).distinct(), "replaced")
+    size = found.count()
+    while size:
+        further = found.join(links.withColumnRenamed("a", "decision_id"), "decision_id").select(F.col("b").alias("decision_id"))
+        found = stored(found.union(further).distinct(), "replaced")
+        before, size = size, found.count()
+        if size == before:
+            break
+        onward = links.select(F.col("a").alias("b"), F.col("b").alias("c"))
+        links = stored(links.join(onward, "b").select("a", F.col("c").alias("b")).distinct(), "links")
+    return found
 
 
 def decision_log(decisions: DataFrame, phase: str | None = None, category: str | None = None, pending: bool = False) -> DataFrame:
@@ -112,9 +140,16 @@ def open_issues(issues: DataFrame) -> DataFrame:
     )
 
 
-def assign_ids(rows: DataFrame, prefix: str, order: Sequence[Column], keys: Sequence[str] = ("phase",)) -> DataFrame:
-    """Add ``label`` = prefix-phase-number, numbered from 001 within each phase."""
+def assign_ids(
+    rows: DataFrame, prefix: str, order: Sequence[Column], keys: Sequence[str] = ("phase",), stored_rows: DataFrame | None = None
+) -> DataFrame:
+    """Add ``label`` = prefix-phase-number, numbered within each phase from 001, or after the largest
+    number among the labels of ``stored_rows`` (keys..., label)."""
     numbered = number_rows(rows, list(keys), order, "_n")
+    if stored_rows is not None:
+        number = F.substring_index("label", "-", -1).try_cast("bigint")
+        last = stored_rows.groupBy(*keys).agg(F.max(number).alias("_last"))
+        numbered = numbered.join(last, list(keys), "left").withColumn("_n", F.col("_n") + F.coalesce("_last", F.lit(0))).drop("_last")
     digits = F.when(F.length(F.col("_n").cast("string")) < 3, F.lpad(F.col("_n").cast("string"), 3, "0")).otherwise(
         F.col("_n").cast("string")
     )
@@ -170,6 +205,27 @@ def phase_progress(manifests: DataFrame) -> DataFrame:
     )
 
 
+def set_phase_status(phases: DataFrame, updates: DataFrame) -> DataFrame:
+    """phases(project_id, phase, status, completed_at) with updates(project_id, phase, status, at) put onto
+    them, and their project's progress: completed_phases, total_phases, progress.
+
+    The newest update of a phase counts. A phase that becomes completed gets the time of that update; any
+    other keeps the time it had. Updates of unknown phases have no effect.
+    """
+    key = ["project_id", "phase"]
+    newest = updates.groupBy(*key).agg(F.max_by(F.struct(F.col("status").alias("new"), "at"), F.struct("at", "status")).alias("_u"))
+    new = F.col("_u.new")
+    out = phases.join(newest, key, "left").select(
+        *[F.col(c) for c in phases.columns if c not in ("status", "completed_at")],
+        F.coalesce(new, F.col("status")).alias("status"),
+        F.when(new == "completed", F.col("_u.at")).otherwise(F.col("completed_at")).alias("completed_at"),
+    )
+    totals = out.groupBy("project_id").agg(
+        F.count_if(F.col("status") == "completed").alias("completed_phases"), F.count(F.lit(1)).alias("total_phases")
+    )
+    return out.join(totals, "project_id").withColumn("progress", F.col("completed_phases") / F.col("total_phases") * 100)
+
+
 def current_status(history: DataFrame, issues: DataFrame, decisions: DataFrame, phases: DataFrame) -> DataFrame:
     """One row per project of any input: phase, progress, last activity, open issues, pending
     decisions and the next phase. Every input is aggregated to a row per project before the joins."""
@@ -233,10 +289,11 @@ def metric_totals(reports: DataFrame, key: str = "project_id") -> DataFrame:
 def context_hash(entries: DataFrame, digests: DataFrame) -> DataFrame:
     """entries(entry_id, files_affected array) -> (entry_id, context_hash, without_hash), one row per
     entry: SHA-256 over the sorted hashes of the entry's files (of the empty text if none has one), and
-    its files that have no hash. A file referenced by very many entries is split. The lists are as long
+    its files that have no hash.
+    A file referenced by very many entries is a skewed key of a plain join, which adaptive execution splits. The lists are as long
     as the entry's own array."""
     wanted = entries.select("entry_id", F.explode_outer(F.array_distinct("files_affected")).alias("path"))
-    found = spread_join(wanted, digests.select("path", "hash"), ["path"], "left")
+    found = wanted.join(digests.select("path", "hash"), "path", "left")
     return found.groupBy("entry_id").agg(
         F.sha2(F.array_join(F.sort_array(F.collect_list("hash")), ""), 256).alias("context_hash"),
         F.sort_array(F.collect_set(F.when(F.col("hash").isNull(), F.col("path")))).alias("without_hash"),

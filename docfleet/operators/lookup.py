@@ -7,7 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from docfleet.functions import constants as K
-from docfleet.plans.skew import spread_join
 
 
 def stored_extension(path: Column) -> Column:
@@ -18,10 +17,11 @@ def stored_extension(path: Column) -> Column:
 def first_variants(files: DataFrame, extensions: Sequence[str] = K.LOOKUP_EXTENSIONS) -> DataFrame:
     """files(file_id, path, size, ...) -> per id the file whose extension comes first in the list.
 
-    A stored id may exist under several extensions; others than those listed are never found.
+    A stored id may exist under several extensions; others than those listed are never found. Where the
+    files have a time (``mtime``), the hit has it as ``created_at``.
     """
     order = F.array_position(F.array(*[F.lit(e) for e in extensions]), stored_extension(F.col("path")))
-    hit = F.struct("path", "size")
+    hit = F.struct("path", "size", *([F.col("mtime").alias("created_at")] if "mtime" in files.columns else []))
     return (
         files.withColumn("_order", order)
         .filter(F.col("_order") > 0)
@@ -33,7 +33,7 @@ def first_variants(files: DataFrame, extensions: Sequence[str] = K.LOOKUP_EXTENS
 
 def resolve_files(requests: DataFrame, files: DataFrame, extensions: Sequence[str] = K.LOOKUP_EXTENSIONS) -> DataFrame:
     """requests(request_id, file_id) with path and size, or an error where nothing is found."""
-    return spread_join(requests, first_variants(files, extensions), ["file_id"], "left").withColumn(
+    return requests.join(first_variants(files, extensions), "file_id", "left").withColumn(
         "error", F.when(F.col("path").isNull(), K.MSG_NO_FILE)
     )
 
@@ -41,14 +41,14 @@ def resolve_files(requests: DataFrame, files: DataFrame, extensions: Sequence[st
 def merge_inputs(requests: DataFrame, files: DataFrame) -> DataFrame:
     """requests(merge_id, file_ids array) -> found files in request order; missing ids are skipped."""
     wanted = requests.select("merge_id", F.posexplode("file_ids").alias("pos", "file_id"))
-    return spread_join(wanted, first_variants(files), ["file_id"], "inner").select(
+    return wanted.join(first_variants(files), "file_id").select(
         "merge_id", F.col("pos").cast("bigint").alias("pos"), "file_id", "path"
     )
 
 
 def require_files(requests: DataFrame, files: DataFrame) -> DataFrame:
     """As resolve_files, for operations that accept a PDF (or a file without extension) only."""
-    return spread_join(requests, first_variants(files, ("", ".pdf")), ["file_id"], "left").withColumn(
+    return requests.join(first_variants(files, ("", ".pdf")), "file_id", "left").withColumn(
         "error", F.when(F.col("path").isNull(), K.MSG_NO_PDF)
     )
 
@@ -59,7 +59,7 @@ def delete_files(files: DataFrame, ids: DataFrame, extensions: Sequence[str] = K
     known = stored_extension(F.col("path")).isin(list(extensions))
     doomed = files.filter(known).select("file_id").distinct()
     hit = wanted.withColumn("_hit", F.lit(True))
-    marked = spread_join(files, hit, ["file_id"], "left").withColumn("_gone", F.coalesce("_hit", F.lit(False)) & known)
+    marked = files.join(hit, "file_id", "left").withColumn("_gone", F.coalesce("_hit", F.lit(False)) & known)
     return {
         "kept": marked.filter(~F.col("_gone")).select(files.columns),
         "deleted": marked.filter("_gone").select(files.columns),

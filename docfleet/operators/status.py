@@ -7,7 +7,6 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from docfleet.plans.ordered import ordered_parts, range_split, split_running_sum
-from docfleet.plans.skew import heavy_of, spread_join
 
 TERMINAL = ("SUCCESS", "FAILURE")
 
@@ -39,7 +38,7 @@ def batch_progress(items: DataFrame, order: Sequence[str] = ("idx",)) -> DataFra
     totals = split.groupBy("batch_id").agg(F.count(F.lit(1)).alias("total"))
     share = F.col("position").cast("double") / F.col("total") * 100
     return (
-        spread_join(placed, totals, ["batch_id"], "inner", spread_by=["position"], heavy=heavy_of(totals, ["batch_id"], "total"))
+        placed.join(totals, "batch_id")
         .withColumn("progress", F.floor(share).cast("bigint"))
         .drop("_piece")
     )
@@ -54,7 +53,7 @@ def latest_state(events: DataFrame) -> DataFrame:
 def task_status(ids: DataFrame, events: DataFrame) -> DataFrame:
     """Status of each asked id: unknown ones and those in state PENDING are ``pending``; a result
     only on SUCCESS, an error only on FAILURE, otherwise progress (0 if not reported)."""
-    found = spread_join(ids, latest_state(events), ["task_id"], "left")
+    found = ids.join(latest_state(events), "task_id", "left")
     state = F.col("state")
     waiting = state.isNull() | (state == "PENDING")
     return found.select(

@@ -64,6 +64,11 @@ def type_label(v):
     return _typed(v).select("file_id", P.type_label(F.col("ext")).alias("label"))
 
 
+@query("P3", f"{TYPED} select file_id, {_case('target', K.TARGET_LABELS, 'target')} as label from k")
+def target_label(v):
+    return _typed(v).select("file_id", P.target_label(F.col("target")).alias("label"))
+
+
 @query("P4", f"{TYPED} select file_id, key from k")
 def conversion_key(v):
     return _typed(v).select("file_id", "key")
@@ -262,6 +267,23 @@ def read_state_json(v):
     return state.read_state_json(v("v_state_json"), schema).select("event_id", "broken", F.col("state.k").alias("k"))
 
 
+@query(
+    "S4",
+    """
+with j as (select event_id, json_valid(doc) as ok, case when json_valid(doc) then doc end as doc from v_handoff_docs)
+select event_id, not ok as broken, doc ->> '$."from-phase"' as from_phase, doc ->> '$."executive-summary"' as summary,
+    cast(json_array_length(doc, '$."key-deliverables"') as int) as deliverables, doc ->> '$."open-issues"[0]."suggested-action"' as action
+from j""",
+)
+def read_handoffs(v):
+    """Handoff files by their own schema, the broken ones marked."""
+    read = state.read_state_json(v("v_handoff_docs"), "handoff")
+    return read.select(
+        "event_id", "broken", F.col("state.`from-phase`").alias("from_phase"), F.col("state.`executive-summary`").alias("summary"),
+        F.size("state.`key-deliverables`").alias("deliverables"), F.get("state.`open-issues`", F.lit(0))["suggested-action"].alias("action"),
+    )
+
+
 @query(
     "S5",
     """

@@ -180,11 +180,13 @@ def snapshot_diff(v):
 @query(
     "J13",
     """
-select decision_id, project_id, phase from v_decisions d where status = 'accepted'
-and not exists (select 1 from v_decisions o where o.supersedes = d.decision_id)""",
+with recursive r as (
+  select supersedes as id from v_decision_chains where status = 'accepted' and supersedes is not null
+  union select d.supersedes from r join v_decision_chains d on d.decision_id = r.id where d.supersedes is not null)
+select decision_id, project_id, phase from v_decision_chains where status = 'accepted' and decision_id not in (select id from r)""",
 )
 def effective_decisions(v):
-    return H.effective_decisions(v("v_decisions")).select("decision_id", "project_id", "phase")
+    return H.effective_decisions(v("v_decision_chains")).select("decision_id", "project_id", "phase")
 
 
 @query("U2", "select decision_id, phase, category, status from v_decisions where phase = '02' and category = 'technical'")
@@ -269,6 +271,42 @@ def issue_ids(v):
     return H.assign_ids(v("v_issues"), "I", order).select("issue_id", "label")
 
 
+@query(
+    "W8",
+    """
+with e as (select phase, count(*) as have from v_issues where created_at < timestamp '1998-04-25' group by phase),
+n as (select issue_id, phase, row_number() over (partition by phase order by created_at, issue_id) as k from v_issues where created_at >= timestamp '1998-04-25')
+select issue_id, concat('I-', phase, '-', case when k + coalesce(have, 0) < 1000 then lpad(cast(k + coalesce(have, 0) as varchar), 3, '0') else cast(k + coalesce(have, 0) as varchar) end) as label
+from n left join e using (phase)""",
+)
+def more_issue_ids(v):
+    """New issues go on from the numbers of the stored ones."""
+    issues, cut = v("v_issues"), F.lit("1998-04-25").cast("timestamp")
+    order = [F.col("created_at"), F.col("issue_id")]
+    known = H.assign_ids(issues.filter(F.col("created_at") < cut), "I", order)
+    return H.assign_ids(issues.filter(F.col("created_at") >= cut), "I", order, stored_rows=known).select("issue_id", "label")
+
+
+@query(
+    "A10",
+    f"""
+with u as (select o_custkey as project_id, concat('0', o_orderkey % 5 + 1) as phase, max({{'at': o_orderdate, 's': case o_orderstatus when 'F' then 'completed' when 'O' then 'in-progress' else 'blocked' end}}) as u
+  from orders where o_orderkey % 3 = 0 group by all),
+p as (select v.project_id, v.phase, coalesce(u.s, status) as status, case when u.s = 'completed' then u.at end as completed_at from v_phases v left join u using (project_id, phase))
+select project_id, phase, status, strftime(completed_at, {DUCK_FMT}) as completed_at, count(*) filter (status = 'completed') over w as completed_phases, count(*) over w as total_phases,
+    cast(count(*) filter (status = 'completed') over w as double) / count(*) over w * 100 as progress
+from p window w as (partition by project_id)""",
+)
+def set_phase_status(v):
+    updates = v("orders").filter("o_orderkey % 3 = 0").select(
+        F.col("o_custkey").alias("project_id"), F.expr("concat('0', cast(o_orderkey % 5 + 1 as string))").alias("phase"),
+        F.expr("case o_orderstatus when 'F' then 'completed' when 'O' then 'in-progress' else 'blocked' end").alias("status"),
+        F.col("o_orderdate").cast("timestamp").alias("at"),
+    )
+    phases = v("v_phases").withColumn("completed_at", F.lit(None).cast("timestamp"))
+    return _times(H.set_phase_status(phases, updates), "completed_at")
+
+
 @query("W8", _labels("v_decisions", "D", "decision_id"))
 def decision_ids(v):
     order = [F.col("created_at"), F.col("decision_id")]

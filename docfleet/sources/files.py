@@ -12,7 +12,6 @@ from docfleet.functions import constants as K
 from docfleet.functions.scalars import base_name, file_extension
 from docfleet.operators.documents import is_falsy
 from docfleet.plans.runtime import stored
-from docfleet.plans.skew import spread_join
 
 
 LISTING = "path string, is_dir boolean, size bigint, mtime_us bigint"
@@ -81,7 +80,7 @@ def hash_files(files: DataFrame, root: str, copies_only: bool = True) -> DataFra
     wanted = files.filter(F.col("size") > 0)
     if copies_only:
         sizes = wanted.groupBy("size").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1)
-        wanted = spread_join(wanted, sizes.select("size"), ["size"], "left_semi", spread_by=["path"])
+        wanted = wanted.join(sizes.select("size"), "size", "left_semi")
     kept = wanted.columns
 
     def hash_batch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

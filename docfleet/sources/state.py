@@ -9,23 +9,46 @@ from docfleet.functions.scalars import base_name
 
 DEFAULT_NAME = "Unnamed Project"
 
-PHASE = T.StructType(
-    [
-        T.StructField("id", T.StringType()),
-        T.StructField("name", T.StringType()),
-        T.StructField("status", T.StringType()),
-    ]
+def _record(*fields, **typed) -> T.StructType:
+    """A struct of string fields, and of typed ones whose names have hyphens for underscores."""
+    out = [T.StructField(name, T.StringType()) for name in fields]
+    return T.StructType(out + [T.StructField(name.replace("_", "-"), kind) for name, kind in typed.items()])
+
+
+_TEXTS, _COUNT, _FLAG = T.ArrayType(T.StringType()), T.LongType(), T.BooleanType()
+
+PHASE = _record("id", "name", "display-name", "status", "description", "completed-at")
+MANIFEST = _record(
+    "project-id", "name", "description", "status", "current-phase", "created-at", "last-updated", "priority",
+    phases=T.ArrayType(PHASE), tags=_TEXTS, assigned_agents=_TEXTS,
+    total_phases=_COUNT, completed_phases=_COUNT, progress_percentage=T.DoubleType(),
+    key_metrics=_record(files_created=_COUNT, files_modified=_COUNT, decisions_recorded=_COUNT, issues_resolved=_COUNT, issues_open=_COUNT),
+    configuration=_record("backup-interval", "health-check-interval", auto_cleanup=_FLAG),
 )
-MANIFEST = T.StructType(
-    [
-        T.StructField("project-id", T.StringType()),
-        T.StructField("name", T.StringType()),
-        T.StructField("status", T.StringType()),
-        T.StructField("current-phase", T.StringType()),
-        T.StructField("last-updated", T.StringType()),
-        T.StructField("phases", T.ArrayType(PHASE)),
-        T.StructField("tags", T.ArrayType(T.StringType())),
-    ]
+DECISION = _record(
+    "id", "timestamp", "phase", "category", "title", "description", "context", "status", "supersedes",
+    related=_TEXTS, options=_TEXTS, consequences=_record(positive=_TEXTS, negative=_TEXTS),
+)
+DECISION_LOG = _record("project-id", decisions=T.ArrayType(DECISION))
+ISSUE = _record("id", "created-at", "resolved-at", "phase", "severity", "category", "title", "description", "status", "resolution", related=_TEXTS)
+ISSUE_TRACKER = _record("project-id", issues=T.ArrayType(ISSUE))
+HANDOFF = _record(
+    "from-phase", "to-phase", "timestamp", "executive-summary", "estimated-effort-next-phase", "confidence-level", "agent-notes",
+    key_deliverables=_TEXTS, critical_decisions=_TEXTS, constraints_next_phase=_TEXTS, reference_materials=_TEXTS,
+    open_issues=T.ArrayType(_record("issue", "suggested-action")),
+)
+PHASE_REPORT = _record(
+    "phase-id", "phase-name", "display-name", "status", "started-at", "completed-at", "agent", "summary",
+    duration_hours=T.DoubleType(),
+    artifacts=T.ArrayType(_record("path", "type", "description")),
+    decisions=T.ArrayType(_record("id", "description", "rationale", alternatives_considered=_TEXTS)),
+    issues_encountered=T.ArrayType(_record("id", "severity", "description", "resolution")),
+    metrics=_record(
+        files_created=_COUNT, files_modified=_COUNT, lines_of_documentation=_COUNT, lines_of_code=_COUNT, tests_written=_COUNT,
+        tests_passing=_COUNT, decisions_made=_COUNT, issues_resolved=_COUNT, issues_discovered=_COUNT,
+    ),
+    quality_checks=_record(documentation_complete=_FLAG, code_reviewed=_FLAG, tests_passing=_FLAG, standards_followed=_FLAG),
+    next_phase_recommendations=_TEXTS,
 )
 HISTORY_ENTRY = T.StructType(
     [
@@ -49,6 +72,12 @@ HISTORY = T.StructType(
 )
 
 
+#: Kind of state file -> its schema.
+STATE_SCHEMAS = {
+    "manifest": MANIFEST, "history": HISTORY, "decisions": DECISION_LOG, "issues": ISSUE_TRACKER, "handoff": HANDOFF, "phase-report": PHASE_REPORT,
+}
+
+
 def read_texts(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
     """Whole text files under a folder: path, content."""
     return (
@@ -113,8 +142,13 @@ def read_requirements(texts: DataFrame) -> DataFrame:
     return from_json.unionByName(plain)
 
 
-def read_state_json(texts: DataFrame, schema: T.StructType) -> DataFrame:
-    """texts(..., doc) -> the same rows with ``state`` (null if broken) and ``broken``."""
+def read_state_json(texts: DataFrame, schema: T.StructType | str) -> DataFrame:
+    """texts(..., doc) -> the same rows with ``state`` (null if broken) and ``broken``.
+
+    ``schema`` is one of ``STATE_SCHEMAS`` by name, or any other.
+    """
+    if isinstance(schema, str):
+        schema = STATE_SCHEMAS[schema]
     bad = "_corrupt"
     wide = T.StructType(schema.fields + [T.StructField(bad, T.StringType())])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": bad}
@@ -126,5 +160,5 @@ def read_state_json(texts: DataFrame, schema: T.StructType) -> DataFrame:
     )
 
 
-def broken_state(texts: DataFrame, schema: T.StructType) -> DataFrame:
+def broken_state(texts: DataFrame, schema: T.StructType | str) -> DataFrame:
     return read_state_json(texts, schema).filter("broken").drop("state", "broken")

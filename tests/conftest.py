@@ -25,9 +25,7 @@ def spark():
 @pytest.fixture
 def tight(monkeypatch):
     """Limits so low that tiny tables take the paths meant for heavy keys and long groups."""
-    from docfleet.plans import ordered, skew
+    from docfleet.plans import ordered
 
-    monkeypatch.setattr(skew, "ROWS_PER_SPLIT", 3)
-    monkeypatch.setattr(skew, "COUNT_EVERY", 1)
     monkeypatch.setattr(ordered, "POSITIONS_PER_PIECE", 3)
     monkeypatch.setattr(ordered, "ROWS_PER_PART", 4)

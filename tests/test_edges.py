@@ -3,6 +3,7 @@
 import hashlib
 import json
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -386,6 +387,80 @@ def test_superseded_decisions(spark):
     assert sorted(r.decision_id for r in got.collect()) == [2, 4]
 
 
+def test_chains_of_decisions(spark):
+    # a rejected one replaces nothing, unless an accepted one stands above it; a circle replaces itself
+    data = [(1, "accepted", None), (2, "rejected", 1), (3, "accepted", None), (4, "rejected", 3), (5, "accepted", 4), (6, "accepted", 7), (7, "accepted", 6), (8, "accepted", 8), (9, "accepted", 99)]
+    chain = [(100 + i, "accepted" if i in (0, 70) else "rejected", 99 + i if i else None) for i in range(71)]
+    got = H.effective_decisions(spark.createDataFrame(data + chain, "decision_id int, status string, supersedes int"))
+    assert sorted(r.decision_id for r in got.collect()) == [1, 5, 9, 170]
+    assert H.effective_decisions(got.limit(0)).count() == 0
+
+
+def test_files_without_hash_in_a_snapshot(spark):
+    snap = lambda rows: spark.createDataFrame(rows, "path string, hash string")
+    got = H.snapshot_diff(snap([("a", None), ("b", "x"), ("c", None), ("d", "y")]), snap([("a", "x"), ("b", None), ("c", None), ("e", None)]))
+    assert sorted(map(tuple, got.collect())) == [("a", "modified"), ("b", "modified"), ("d", "removed"), ("e", "added")]
+
+
+def test_setting_phase_status(spark):
+    phases = spark.createDataFrame([(1, "01", "completed", 5), (1, "02", "pending", None), (2, "01", "pending", None)], "project_id int, phase string, status string, completed_at int")
+    updates = spark.createDataFrame([(1, "02", "in-progress", 6), (1, "02", "completed", 9), (1, "01", "pending", 7), (3, "01", "completed", 1)], "project_id int, phase string, status string, at int")
+    got = {(r.project_id, r.phase): (r.status, r.completed_at, r.completed_phases, r.total_phases, r.progress) for r in H.set_phase_status(phases, updates).collect()}
+    assert got == {(1, "01"): ("pending", 5, 1, 2, 50.0), (1, "02"): ("completed", 9, 1, 2, 50.0), (2, "01"): ("pending", None, 0, 1, 0.0)}
+
+
+def test_features_of_a_project_s_own(spark):
+    kind = "array<struct<category:string,description:string,steps:array<string>,priority:int>>"
+    req = spark.createDataFrame([(1, "webapp", "", [("ui", "Looks", ["see"], 1), (None, None, None, None)]), (2, "webapp", "", None)], f"project_id int, type string, description string, features {kind}")
+    got = D.explode_features(req).filter("project_id = 1").orderBy("pos").collect()[-2:]
+    assert [(r.category, r.description, r.steps, r.priority, r.passes) for r in got] == [("ui", "Looks", ["see"], 1, False), ("functional", "", [], 3, False)]
+    assert D.explode_features(req).filter("project_id = 2").count() == len(K.BASE_FEATURES)
+
+
+def test_state_files_by_kind(spark):
+    from docfleet.sources import state
+
+    docs = {
+        "manifest": {"project-id": "p", "phases": [{"id": "01", "display-name": "x", "completed-at": "t"}], "key-metrics": {"issues-open": 3}, "configuration": {"auto-cleanup": True}, "progress-percentage": 12.5},
+        "decisions": {"decisions": [{"id": "D-1", "consequences": {"positive": ["a"]}, "supersedes": "D-0"}]},
+        "issues": {"issues": [{"id": "I-1", "severity": "high", "resolved-at": None}]},
+        "handoff": {"from-phase": "01", "open-issues": [{"issue": "i", "suggested-action": "s"}]},
+        "phase-report": {"phase-id": "01", "metrics": {"tests-passing": 4}, "quality-checks": {"tests-passing": False}, "duration-hours": 1.5},
+        "history": {"entries": [{"sequence": 1, "files-affected": ["a"]}]},
+    }
+    for kind, doc in docs.items():
+        texts = spark.createDataFrame([(json.dumps(doc),), (json.dumps(doc)[:-1],)], "doc string")
+        good, bad = state.read_state_json(texts, kind).orderBy("broken").collect()
+        keep = lambda x: {k: keep(v) for k, v in x.items() if v is not None} if isinstance(x, dict) else [keep(i) for i in x] if isinstance(x, list) else x  # noqa: E731, B023
+        assert keep(good.state.asDict(recursive=True)) == keep(doc) and bad.broken and bad.state is None
+
+
+def test_numbers_go_on_from_what_is_stored(spark):
+    df = spark.createDataFrame([(1, "01"), (2, "01"), (3, "02")], "id int, phase string")
+    known = spark.createDataFrame([("01", "D-01-007"), ("01", "D-01-1002"), ("03", "D-03-9")], "phase string, label string")
+    got = {r.id: r.label for r in H.assign_ids(df, "D", [F.col("id")], stored_rows=known).collect()}
+    assert got == {1: "D-01-1003", 2: "D-01-1004", 3: "D-02-001"}
+
+
+def test_health_of_projects_adds_up(spark):
+    files = spark.createDataFrame([(1, "a/01-x.md", 0, ""), (1, "a/01-y.md", 4, "TODO"), (2, "b/Bad.md", 3, "abc"), (2, "a/01-x.md", 2, "ab")], "project_id int, path string, size int, content string").withColumn("mtime", now())
+    refs = spark.createDataFrame([(1, "a/01-x.md"), (1, "b/Bad.md"), (None, "zz")], "project_id int, path string")
+    state_docs = spark.createDataFrame([(3, True), (3, False)], "project_id int, broken boolean")
+    phases = spark.createDataFrame([(1, "01"), (2, "01")], "project_id int, phase string")
+    checks = G.health_checks(state_docs, refs, files, phases.filter("project_id = 1"), phases, now())
+    got = {(r.scope, r.project_id, r.check): r.violations for r in checks.collect()}
+    assert len(got) == 8 * 5
+    bad = {k: v for k, v in got.items() if v and k[0] == "project"}
+    assert bad == {
+        ("project", 3, "state_parses"): 1, ("project", 1, "references_exist"): 1, ("project", None, "references_exist"): 1, ("project", 1, "no_orphans"): 1,
+        ("project", 2, "no_orphans"): 2, ("project", 1, "no_empty_files"): 1, ("project", 1, "no_placeholders"): 1, ("project", 2, "names_valid"): 1, ("project", 2, "decisions_recorded"): 1,
+    }
+    for check in G.HEALTH_CHECKS:
+        assert got[("total", None, check)] == sum(v for k, v in got.items() if k[0] == "project" and k[2] == check)
+    report = {(r.scope, r.project_id): (r.violations, r.score, r.band) for r in G.health_report(checks).collect()}
+    assert report[("project", 1)] == (4, 80, "good") and report[("total", None)] == (10, 50, "fair")
+
+
 def test_resolving_twice_keeps_other_issues(spark):
     issues = spark.createDataFrame([(1, "open"), (2, "closed")], "issue_id int, status string")
     update = lambda i, text: spark.createDataFrame([(i, text)], "issue_id int, resolution string").withColumn("resolved_at", now())
@@ -441,10 +516,20 @@ def test_conversions_and_their_errors(spark):
 
 def test_python_converters_and_fallback(spark):
     registry = C.native_registry()
-    registry.register("svg_to_png", python=lambda text: str(10 // int(text)))
+    seen = spark.sparkContext.accumulator(0)
+
+    def tenth(texts):
+        seen.add(1)
+        return pa.array([str(10 // int(t)) for t in texts.to_pylist()])
+
+    registry.register("svg_to_png", batch=tenth)
     files = spark.createDataFrame([(i, "svg_to_png" if i < 3 else "pdf_to_html", t) for i, t in enumerate(["5", "0", "x", '["p"]'])], "file_id int, conversion_type string, content string")
     got = {r.file_id: (r.status, r.data, r.error) for r in C.convert_batch(files, registry).collect()}
     assert got[0] == ("success", "2", None) and got[1][0] == "failure" and "zero" in got[1][2] and got[2][0] == "failure" and got[3][1] == "p"
+    seen.value = 0
+    many = spark.range(1, 1025, numPartitions=1).select(F.col("id").alias("file_id"), F.lit("svg_to_png").alias("conversion_type"), F.when(F.col("id") == 700, "x").otherwise("5").alias("content"))
+    assert {r.file_id for r in C.convert_batch(many, registry).filter("status = 'failure'").collect()} == {700}
+    assert seen.value <= 1 + 2 * 10  # a bad row among 1024 costs two tries for each halving
     df = spark.createDataFrame([("a", "b"), (None, "b"), (None, None)], "p string, q string")
     used = [tuple(r.r) for r in df.select(C.with_fallback(F.col("p"), F.col("q")).alias("r")).collect()]
     assert used == [("a", False), ("b", True), (None, False)]
