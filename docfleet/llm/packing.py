@@ -20,17 +20,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from docfleet.llm.words import tidy
+from docfleet.llm.words import chunks, tidy
 from docfleet.llm.work import Work
 
 LENGTH = 2048
 LOT_ITEMS = 65_536
 NODE_ITEMS = 65_536
 FAN_IN = 8
+BLOCK_BYTES = 8 << 20
+TOGETHER = 10_000
 
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, _bin bigint, offset bigint, _fill int"
 
@@ -38,54 +41,126 @@ PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigin
 # ---------------------------------------------------------------- tokens
 
 
+def _bytes(*values: int) -> np.ndarray:
+    table = np.zeros(256, bool)
+    table[list(values)] = True
+    return table
+
+
+_BLANK, _CLOSING = _bytes(0x20, *range(0x09, 0x0E)), _bytes(*b'.,;:!?)"')
+_ALNUM = _bytes(*b"abcdefghijklmnopqrstuvwxyz0123456789")
+_LOW = np.arange(256, dtype=np.uint8)
+_LOW[ord("A") : ord("Z") + 1] += 32
+
+
+def _ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The places starts[i] .. starts[i] + lengths[i] - 1, one stretch after the other."""
+    before = np.cumsum(lengths) - lengths
+    return np.arange(int(lengths.sum())) + np.repeat(starts - before, lengths)
+
+
+def _parts(data: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The bytes, A-Z lower-cased, and where the words of all texts begin and end.
+
+    Closing marks at the end of a word, after a letter or digit, are a word of their own: the
+    pre-tokeniser parts them too, and lower-cases all but its special tokens, whose words stay as they are.
+    """
+    inside, cut = ~_BLANK[data], np.zeros(len(data) + 1, bool)
+    cut[edges] = True
+    begins = np.flatnonzero(inside & (cut[:-1] | ~np.concatenate([[False], inside[:-1]])))
+    ends = np.flatnonzero(inside & (cut[1:] | ~np.concatenate([inside[1:], [False]]))) + 1
+    low = _LOW[data]
+    special = np.flatnonzero((data[:-1] == ord("<")) & (data[1:] == ord("|")))
+    for at in np.unique(np.searchsorted(begins, special, "right") - 1).tolist():
+        low[begins[at] : ends[at]] = data[begins[at] : ends[at]]
+    if len(begins):
+        last = np.maximum.accumulate(np.where(_CLOSING[low], np.int32(-1), np.arange(len(low), dtype=np.int32)))[ends - 1]
+        before = low[np.maximum(last - 1, 0)]
+        letter = _ALNUM[low[last]] | ((before == 0xC3) & (low[last] >= 0x80) & (low[last] != 0x97) & (low[last] != 0xB7))
+        split = last[(last >= begins) & (last < ends - 1) & letter] + 1
+        begins, ends = np.sort(np.concatenate([begins, split])), np.sort(np.concatenate([ends, split]))
+    return low, begins, ends
+
+
 class WordIds:
-    """Ids of a text, four bytes each, from ids of its words.
+    """Ids of texts, from ids of their distinct words.
 
     The pre-tokeniser never joins across ASCII white space, so the ids of a text are those of its
-    words in order. Words are remembered; a new plain word is split as the pre-tokeniser splits it
-    and only unknown parts are merged. Any other word goes through the tokeniser as it is.
+    words in order. A block of texts is cut into words as one byte array, each distinct word of the block is
+    looked up once, and the ids are gathered by word number. Unknown plain words go through the
+    tokeniser together, any other word on its own. Words are remembered in two generations: when the
+    younger one is full it becomes the older one, and a word that is met again moves back.
     """
 
-    parts = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
     plain = regex.compile(r"[\x21-\x7e\u00a1-\u00ac\u00ae-\u012f\u0131-\u024f]+")  # lower-cased letter by letter
-    most = 450_000
+    most = 200_000
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
-        from tokenizers.pre_tokenizers import ByteLevel
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.level = ByteLevel(add_prefix_space=False, use_regex=False)
-        self.words: dict[bytes, bytes] = {}
-        self.known: dict[str, bytes] = {}
-
-    def _part(self, part: str) -> bytes:
-        shown = part if part.isascii() else "".join(p for p, _ in self.level.pre_tokenize_str(part))
-        return np.array([t.id for t in self.tokenizer.model.tokenize(shown)], "<u4").tobytes()
-
-    def _word(self, raw: bytes) -> bytes:
-        word = raw.decode("utf-8", "surrogatepass")
-        simple = word.isprintable() if raw.isascii() else self.plain.fullmatch(word) and unicodedata.is_normalized("NFC", word)
-        if "<|" in word or not simple:
-            return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
-        out = []
-        for part in self.parts.findall(word.lower()):
-            ids = self.known.get(part)
+        self.young: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
+
+    def _alone(self, word: str) -> bytes:
+        return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def _together(self, words: list[str]) -> list[bytes]:
+        """Ids of each of many words that stay as long as they are when lower-cased."""
+        found = self.tokenizer.encode(" ".join(words), add_special_tokens=False)
+        ends = np.cumsum([len(w) + 1 for w in words])
+        of = np.searchsorted(ends, np.array([at for at, _ in found.offsets], np.int64), "right")
+        ids, edges = np.array(found.ids, "<u4"), np.searchsorted(of, np.arange(len(words) + 1))
+        return [ids[a:b].tobytes() for a, b in zip(edges[:-1].tolist(), edges[1:].tolist())]
+
+    def _ids(self, words: list[bytes]) -> list[bytes]:
+        out, new, joint = [], [], []
+        for at, word in enumerate(words):
+            ids = self.young.get(word)
             if ids is None:
-                if len(self.known) >= self.most:
-                    self.known.clear()
-                ids = self.known[part] = self._part(part)
+                ids = self.old.get(word)
+                new.append(at)
             out.append(ids)
-        return b"".join(out)
-
-    def __call__(self, text: str | None) -> bytes:
-        split = (text or "").encode("utf-8", "surrogatepass").split()
-        found = list(map(self.words.get, split))
-        for i in [i for i, ids in enumerate(found) if ids is None]:
-            if len(self.words) >= self.most:
-                self.words.clear()
-            found[i] = self.words[split[i]] = self._word(split[i])
-        return b"".join(found)
+        for at in new:
+            if out[at] is None:
+                word = words[at].decode("utf-8", "surrogatepass")
+                simple = word.isprintable() if word.isascii() else self.plain.fullmatch(word) and unicodedata.is_normalized("NFC", word)
+                if "<|" in word or not simple:
+                    out[at] = self._alone(word)
+                else:
+                    joint.append((at, word))
+        for a in range(0, len(joint), TOGETHER):
+            own = joint[a : a + TOGETHER]
+            for (at, _), ids in zip(own, self._together([w for _, w in own])):
+                out[at] = ids
+        for at in new:
+            if len(self.young) >= self.most:
+                self.old, self.young = self.young, {}
+            self.young[words[at]] = out[at]
+        return out
+
+    def __call__(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts with ``end_id`` after each, and where each text's begin (and the end)."""
+        raw = pc.fill_null(texts.cast(pa.large_binary()), b"")
+        edges = np.frombuffer(raw.buffers()[1], np.int64)[raw.offset : raw.offset + len(raw) + 1]
+        data = np.frombuffer(raw.buffers()[2] or b"", np.uint8)[edges[0] : edges[-1]]
+        data, begins, ends = _parts(data, edges - edges[0])
+        inside = ~_BLANK[data]
+        starts = np.concatenate([[0], np.cumsum(ends - begins)])
+        joined = pa.Array.from_buffers(pa.large_binary(), len(begins), [None, pa.py_buffer(starts), pa.py_buffer(data[inside])])
+        coded = pc.dictionary_encode(joined)
+        word = coded.indices.to_numpy()
+        ids = self._ids(coded.dictionary.to_pylist())
+        sizes = np.array([len(x) // 4 for x in ids], np.int64)
+        flat = np.frombuffer(b"".join(ids), "<u4")
+        n = sizes[word]
+        so_far = np.concatenate([[0], np.cumsum(n)])[np.searchsorted(begins, edges - edges[0])]
+        bounds = so_far + np.arange(len(edges))
+        out = np.full(int(bounds[-1]), end_id, "<u4")
+        places = np.ones(len(out), bool)
+        places[bounds[1:] - 1] = False
+        out[places] = flat[_ragged((np.cumsum(sizes) - sizes)[word], n)]
+        return out, bounds
 
 
 # ---------------------------------------------------------------- best fit
@@ -116,7 +191,7 @@ def best_fit(sizes: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
 
 def _lots(path: str, length: int, end_id: int):
     def rows(batches):
-        ids_of, end = WordIds(path), np.array([end_id], "<u4").tobytes()
+        ids_of = WordIds(path)
         prefix, lot = TaskContext.get().partitionId() << 33, 0
         held: list[tuple] = []
 
@@ -133,12 +208,12 @@ def _lots(path: str, length: int, end_id: int):
             held.clear()
             lot += 1
 
-        for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                ids = ids_of(text.as_py()) + end
-                for piece, at in enumerate(range(0, len(ids) // 4, length)):
-                    own = ids[4 * at : 4 * (at + length)]
-                    held.append((doc_id, piece, at, len(own) // 4, zlib.crc32(own)))
+        for block in chunks(batches, most=BLOCK_BYTES):
+            ids, bounds = ids_of(block.column("text"), end_id)
+            for doc_id, first, last in zip(block.column("doc_id").to_pylist(), bounds[:-1].tolist(), bounds[1:].tolist()):
+                for piece, at in enumerate(range(first, last, length)):
+                    own = ids[at : min(at + length, last)]
+                    held.append((doc_id, piece, at - first, len(own), zlib.crc32(own)))
                     if len(held) == LOT_ITEMS:
                         yield from packed()
         if held:
