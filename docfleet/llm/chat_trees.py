@@ -12,9 +12,10 @@ written ``\\n`` and ``\\\\``. Both are undone when read back, so no text can for
 covers the texts of the roles in ``trained``.
 
 Defined results: a null text or role is empty, a null score 0. A node whose parent is not in its tree
-is a root. Of rows that repeat a node one counts. Nodes on a cycle have no root and take no part.
+is a root. Of rows that repeat a node one counts; a node without node_id takes no part. Messages
+without tree_id, and turns without conv_id, are one tree and one conversation, named null. Nodes on a cycle have no root and take no part.
 Branches of equal score are ranked by the leaf's id. Other columns take no part and may have any name.
-An empty table gives an empty result.
+An empty table gives an empty result. A conversation is one row of the result, so its turns meet in one task.
 """
 
 from __future__ import annotations
@@ -61,7 +62,8 @@ def branches(messages: DataFrame, most: int | None = 1, work: Work | None = None
     """
     work = work or Work(messages.sparkSession, "chat_trees")
     nodes = work.save(
-        messages.filter("tree_id IS NOT NULL AND node_id IS NOT NULL")
+        # a null tree_id is a tree of its own; inside a struct it equals itself in joins
+        messages.filter("node_id IS NOT NULL").withColumn("tree_id", F.struct("tree_id"))
         .groupBy("tree_id", "node_id").agg(F.min(F.struct("parent_id", "role", "text", F.coalesce("score", F.lit(0.0)).cast("double").alias("score"))).alias("m"))
         .select("tree_id", "node_id", "m.parent_id", "m.role", "m.text", "m.score"),
         "nodes",
@@ -103,7 +105,8 @@ def branches(messages: DataFrame, most: int | None = 1, work: Work | None = None
     for r, jump in enumerate(jumps):
         more = path.join(jump, ["tree_id", "node_id"]).select("tree_id", "leaf_id", "branch_rank", "branch_score", (F.col("depth") - 2**r).alias("depth"), F.col("up").alias("node_id"))
         path = work.save(path.unionByName(more), f"path{r}")
-    return path.join(nodes.select("tree_id", "node_id", "role", "text"), ["tree_id", "node_id"])
+    whole = path.join(nodes.select("tree_id", "node_id", "role", "text"), ["tree_id", "node_id"])
+    return whole.withColumn("tree_id", F.col("tree_id.tree_id"))
 
 
 def format_branches(path: DataFrame, trained=TRAINED) -> DataFrame:
@@ -152,7 +155,7 @@ def read_back(formatted: DataFrame) -> DataFrame:
 def threads(conversations: DataFrame, work: Work) -> DataFrame:
     """Conversations in turn order as reply trees of one branch each."""
     order = Window.partitionBy("conv_id").orderBy(F.col("turn").asc_nulls_first(), F.col("role").asc_nulls_first(), F.col("text").asc_nulls_first())
-    numbered = conversations.filter("conv_id IS NOT NULL").withColumn("node_id", F.row_number().over(order).cast("bigint"))
+    numbered = conversations.withColumn("node_id", F.row_number().over(order).cast("bigint"))
     return numbered.select(
         F.col("conv_id").cast("bigint").alias("tree_id"), "node_id", F.when(F.col("node_id") > 1, F.col("node_id") - 1).alias("parent_id"),
         "role", "text", F.lit(0.0).alias("score"),
