@@ -4,18 +4,22 @@ A document is the set of its distinct shingles of ``k`` words (A-Z lower-cased);
 is one shingle, its whole sequence; one without words is empty and linked with nothing. Two documents
 link when 100 * intersection >= percent * union.
 
-1. A table of fixed size counts the shingles of all documents by hash. It gives the order "rare
-   first"; ties, and shingles that share a counter, are ordered by hash. The prefix filter is exact
-   under any order that all documents share, so the counters decide the speed only.
+1. The shingles of all documents are counted, by sorted runs that are added up per range of hashes. What
+   is kept is a table of ``CELLS`` cells with the class (a power of two) of the most frequent shingle in
+   each. It gives the order "rare first"; ties are ordered by hash. A shingle that occurs once never makes
+   another one look frequent, and one whose cell has only such is in one document and meets nothing.
+   The prefix filter is exact under any order that all documents share, so the classes decide the
+   speed only.
 2. Documents with equal sets are folded to one class. A class emits its prefix, the rarest
-   n - ceil(t*n) + 1 shingles.
+   n - ceil(t*n) + 1 shingles, without those of one document.
 3. Prefixes meet by shingle. In a shingle's group every member is compared with one member only, the
    pivot, so a group of near copies costs its size and not its square. Pairs pass the length filter, the
    positional filter and the suffix filter (parity bits, then counts per hash range, bound from below
    how much the sets differ); what is left is verified once per pair on the whole sets.
-4. Members that these links have not joined are compared with each other, pairs of a component left
-   out. Groups above ``TILE`` members are cut into tiles of pairs of blocks. No link between different
-   components is lost, and links within one change nothing.
+4. Groups that these links leave in several components get ``PIVOTS`` more pivots from outside the first
+   one. Members that are still apart are compared with each other, pairs of a component left out, and pass
+   all filters before a pair is written. Groups above ``TILE`` members are cut into tiles of pairs of
+   blocks. No link between different components is lost, and links within one change nothing.
 5. Components of the links name each document by the smallest doc_id it can reach.
 
 Shingles are told apart by 64-bit hashes. Defined results: rows with the same doc_id are one document
@@ -40,7 +44,12 @@ from docfleet.llm.work import Work
 
 K = 5
 PERCENT = 80
-COUNTERS = 1 << 20
+#: Shingles are counted by their first 40 bits; a cell is told by the first 24.
+KEY_BITS, CELLS = 40, 1 << 24
+RUN_KEYS = 1 << 20
+RANGE_ROWS_PER_DOC = 512
+#: Further pivots of a group before its members are compared with each other.
+PIVOTS = 3
 BLOCK = 1 << 12
 TILE = 2048
 
@@ -91,19 +100,76 @@ def fixed_table(df: DataFrame, fill, dtype: str, size: int, wide: str, merge) ->
     return total
 
 
-def shingle_counts(docs: DataFrame, k: int = K) -> np.ndarray:
-    """In how many documents the shingles of each counter occur, as powers of two."""
-
-    def fill(batches):
-        cache, total = WordHash(), np.zeros(COUNTERS, np.int64)
+def _key_runs(k: int, bits: int):
+    """Per range of keys: the sorted keys of a stretch of documents as packed gaps, and how often each occurs."""
+
+    def packed(keys: np.ndarray) -> pa.RecordBatch:
+        keys, counts = np.unique(keys, return_counts=True)
+        edges = np.searchsorted(keys, np.arange((1 << bits) + 1, dtype=np.uint64) << np.uint64(KEY_BITS - bits))
+        ranges, gaps, times = [], [], []
+        for r in np.flatnonzero(np.diff(edges)).tolist():
+            own = keys[edges[r] : edges[r + 1]] & np.uint64((1 << KEY_BITS - bits) - 1)
+            ranges.append(r)
+            # bytes of one weight side by side: the upper ones are nearly all zero
+            planes = np.diff(own, prepend=np.uint64(0)).astype("<u4").view(np.uint8).reshape(-1, 4).T
+            gaps.append(pa.compress(planes.tobytes(), "zstd", asbytes=True))
+            times.append(pa.compress(counts[edges[r] : edges[r + 1]].astype("<u4").tobytes(), "zstd", asbytes=True))
+        sizes = np.diff(edges)[ranges]
+        return pa.RecordBatch.from_pydict({"range": pa.array(ranges, pa.int32()), "size": pa.array(sizes, pa.int64()), "gaps": pa.array(gaps, pa.binary()), "times": pa.array(times, pa.binary())})
+
+    def runs(batches):
+        cache, held, n = WordHash(), [], 0
         for part in chunks(batches):
-            sets = list(shingle_sets(part.column("text").to_pylist(), k, cache))
-            total += np.bincount(np.concatenate(sets) % np.uint64(COUNTERS), minlength=COUNTERS)
-        return total
-
-    total = fixed_table(docs.select("text"), fill, "<i4", COUNTERS, "<i8", np.add)
-    # only the order matters: powers of two tell rare from frequent and fit a byte
-    return np.ceil(np.log2(np.maximum(total, 1))).astype(np.uint8)
+            sets = np.concatenate([*shingle_sets(part.column("text").to_pylist(), k, cache)]) >> np.uint64(64 - KEY_BITS)
+            held.append(sets)
+            n += len(sets)
+            if n >= RUN_KEYS:
+                yield packed(np.concatenate(held))
+                held, n = [], 0
+        if n:
+            yield packed(np.concatenate(held))
+
+    return runs
+
+
+def _classes(bits: int):
+    """Cells of one range of keys: the largest class of a shingle in the cell, 0 if none is in two documents."""
+
+    def classes(key, runs):
+        keys, counts = [], []
+        for size, gaps, times in zip(*(runs.column(c).to_pylist() for c in ("size", "gaps", "times"))):
+            planes = np.frombuffer(pa.decompress(gaps, 4 * size, "zstd", asbytes=True), np.uint8).reshape(4, -1)
+            keys.append(np.cumsum(np.ascontiguousarray(planes.T).view("<u4").ravel(), dtype=np.uint64))
+            counts.append(np.frombuffer(pa.decompress(times, 4 * size, "zstd", asbytes=True), "<u4"))
+        keys, counts = np.concatenate(keys), np.concatenate(counts).astype(np.int64)
+        order = np.argsort(keys, kind="stable")
+        keys = keys[order]
+        first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+        total = np.add.reduceat(counts[order], first)
+        several = total > 1
+        cells = np.zeros(CELLS >> bits, np.uint8)
+        at = (keys[first][several] >> np.uint64(KEY_BITS - CELLS.bit_length() + 1)).astype(np.int64)
+        np.maximum.at(cells, at, np.ceil(np.log2(total[several])).astype(np.uint8))
+        return pa.table({"range": pa.array([key[0].as_py()], pa.int32()), "cells": pa.array([pa.compress(cells.tobytes(), "zstd", asbytes=True)], pa.binary())})
+
+    return classes
+
+
+def shingle_classes(docs: DataFrame, k: int = K) -> np.ndarray:
+    """For each cell of shingle hashes, how frequent its most frequent shingle is.
+
+    Every shingle is counted: stretches of documents give sorted runs of keys, the runs of a range of
+    keys meet in one task and are added up. A cell's class is 0 if each of its shingles is in one
+    document, else the count as a power of two, rounded up. The driver gets ``CELLS`` bytes.
+    """
+    bits = max(8, min(CELLS.bit_length() - 1, (docs.count() * RANGE_ROWS_PER_DOC // RUN_KEYS).bit_length()))
+    runs = docs.select("text").mapInArrow(tidy(_key_runs(k, bits)), "range int, size bigint, gaps binary, times binary")
+    found = runs.groupBy("range").applyInArrow(_classes(bits), "range int, cells binary")
+    width = CELLS >> bits
+    out = np.zeros(CELLS, np.uint8)
+    for row in found.collect():  # CELLS bytes at most, packed
+        out[row["range"] * width : (row["range"] + 1) * width] = np.frombuffer(pa.decompress(bytes(row["cells"]), width, "zstd", asbytes=True), np.uint8)
+    return out
 
 
 def some_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
@@ -134,14 +200,16 @@ def some_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
 
 RANGES = 256
 FILTER_BITS = 1 << 27
-SET_ROW = "_id bigint, _text bigint, _n int, _key binary, _parity bigint, _ranges binary, _prefix binary"
+SET_ROW = "_id bigint, _text bigint, _n int, _key binary, _parity bigint, _ranges binary, _first int, _prefix binary"
+
 
+def _set_rows(classes, k: int, percent: int):
+    shift = np.uint64(64 - CELLS.bit_length() + 1)
 
-def _set_rows(counts, k: int, percent: int):
     def rows(batches):
-        cache, rank = WordHash(), counts.value
+        cache, rank = WordHash(), classes.value
         for part in chunks(batches):
-            n, key, parity, ranges, prefix = [], [], [], [], []
+            n, key, parity, ranges, first, prefix = [], [], [], [], [], []
             for s in shingle_sets(part.column("text").to_pylist(), k, cache):
                 size = len(s)
                 n.append(size)
@@ -151,11 +219,15 @@ def _set_rows(counts, k: int, percent: int):
                 bits = spread.reshape(64, -1).sum(axis=1) & 1
                 parity.append(int(np.packbits(bits.astype(np.uint8)).view(">i8")[0]))
                 length = size - -(-percent * size // 100) + 1 if size else 0
-                order = np.argsort(rank[s % np.uint64(COUNTERS)], kind="stable")[:length]
-                prefix.append(s[order].tobytes())
+                rarity = rank[(s >> shift).astype(np.int64)]
+                order = np.argsort(rarity, kind="stable")[:length]
+                # shingles of one document come first and meet nothing
+                alone = int((rarity[order] == 0).sum())
+                first.append(alone)
+                prefix.append(s[order[alone:]].tobytes())
             yield pa.RecordBatch.from_arrays(
-                [part.column("_id"), part.column("_text"), pa.array(n, pa.int32()), pa.array(key, pa.binary()), pa.array(parity, pa.int64()), pa.array(ranges, pa.binary()), pa.array(prefix, pa.binary())],
-                ["_id", "_text", "_n", "_key", "_parity", "_ranges", "_prefix"],
+                [part.column("_id"), part.column("_text"), pa.array(n, pa.int32()), pa.array(key, pa.binary()), pa.array(parity, pa.int64()), pa.array(ranges, pa.binary()), pa.array(first, pa.int32()), pa.array(prefix, pa.binary())],
+                ["_id", "_text", "_n", "_key", "_parity", "_ranges", "_first", "_prefix"],
             )
 
     return rows
@@ -172,6 +244,15 @@ def _may_link(a: dict, b: dict, percent: int) -> np.ndarray:
     return ok & (na + nb - differ >= 2 * need)
 
 
+def _may_link_natively(percent: int):
+    """The same for columns _n, _pos, _parity and _pn, _ppos, _pparity."""
+    both = F.col("_n") + F.col("_pn")
+    need = F.ceil(both * percent / F.lit(100.0 + percent) - F.lit(1e-9))
+    left, right = F.col("_n") - F.col("_pos"), F.col("_pn") - F.col("_ppos")
+    alike = F.least("_n", "_pn") * 100 >= F.greatest("_n", "_pn") * percent
+    return (F.least(left, right) >= need) & alike & (both - F.bit_count(F.col("_parity").bitwiseXOR(F.col("_pparity"))) >= 2 * need)
+
+
 _GROUP = ["_token", "_id", "_n", "_pos", "_parity"]
 
 
@@ -196,7 +277,7 @@ def _groups(batches: Iterator[pa.RecordBatch], by: str) -> Iterator[pa.Table]:
 
 
 def _columns(table: pa.Table) -> dict:
-    return {c: table.column(c).to_numpy() for c in table.column_names}
+    return {c: table.column(c).to_numpy() for c in table.column_names}  # bytes as objects
 
 
 def _with_pivots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -241,6 +322,7 @@ def _tile_pairs(percent: int):
                 own = {c: v[at : at + m] for c, v in x.items()}
                 order = np.argsort(own["_n"], kind="stable")
                 own = {c: v[order] for c, v in own.items()}
+                shape = np.frombuffer(b"".join(own["_ranges"]), np.uint8).reshape(m, RANGES).astype(np.int16)
                 most = own["_n"].astype(np.int64) * 100 // percent
                 ends = np.searchsorted(own["_n"], most, side="right")
                 left, right = [], []
@@ -254,6 +336,10 @@ def _tile_pairs(percent: int):
                     # a pair of two members of one block belongs to the block's own tile
                     mine = (own["_same"][i] == 1) | (own["_block"][j] != own["_block"][i])
                     j = j[_may_link(a, b, percent) & mine]
+                    if len(j):
+                        both = int(own["_n"][i]) + own["_n"][j].astype(np.int64)
+                        differ = np.abs(shape[j] - shape[i]).sum(axis=1)
+                        j = j[both - differ >= 2 * -(-percent * both // (100 + percent))]
                     left.append(np.full(len(j), own["_id"][i]))
                     right.append(own["_id"][j])
                 if left:
@@ -299,21 +385,22 @@ def link_documents(docs: DataFrame, k: int = K, percent: int = PERCENT, work: Wo
     spark = docs.sparkSession
     work = work or Work(spark, "jaccard_join")
     narrow = docs.select(F.col("doc_id").cast("bigint").alias("_id"), F.col("text").cast("string").alias("text"), F.xxhash64("text").alias("_text"))
-    counts = spark.sparkContext.broadcast(shingle_counts(narrow, k))
-    sets = work.save(narrow.mapInArrow(tidy(_set_rows(counts, k, percent)), SET_ROW), "sets")
+    classes = spark.sparkContext.broadcast(shingle_classes(narrow, k))
+    sets = work.save(narrow.mapInArrow(tidy(_set_rows(classes, k, percent)), SET_ROW), "sets")
+    classes.destroy()
 
-    classes = (
+    folded = (
         sets.filter("_n > 0 AND _id IS NOT NULL").groupBy("_key")
         .agg(F.min("_id").alias("_class"), F.count(F.lit(1)).alias("_rows"))
     )
     named = work.save(
-        sets.select("_id", "_text", "_n", "_key").join(classes.filter("_rows > 1").drop("_rows"), "_key", "left")
+        sets.select("_id", "_text", "_n", "_key").join(folded.filter("_rows > 1").drop("_rows"), "_key", "left")
         .select("_id", "_text", "_n", F.when((F.col("_n") > 0) & F.col("_id").isNotNull(), F.coalesce("_class", "_id")).alias("_class")),
         "named",
     )
     # a class is shown by its smallest id
     chosen = (
-        sets.filter("_n > 0 AND _id IS NOT NULL").join(classes.filter("_rows > 1").drop("_rows"), "_key", "left")
+        sets.filter("_n > 0 AND _id IS NOT NULL").join(folded.filter("_rows > 1").drop("_rows"), "_key", "left")
         .filter("_class IS NULL OR _class = _id")
     )
 
@@ -324,7 +411,7 @@ def link_documents(docs: DataFrame, k: int = K, percent: int = PERCENT, work: Wo
             prefixes = [np.frombuffer(p, np.uint64) for p in batch.column("_prefix").to_pylist()]
             n = np.array([len(p) for p in prefixes])
             repeat = lambda c: np.repeat(batch.column(c).to_numpy(), n)
-            at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + repeat("_first")
             whole = pa.RecordBatch.from_pydict({
                 "_token": np.concatenate(prefixes).view(np.int64), "_id": repeat("_id"), "_n": repeat("_n"),
                 "_pos": at.astype(np.int32), "_parity": repeat("_parity"),
@@ -334,7 +421,7 @@ def link_documents(docs: DataFrame, k: int = K, percent: int = PERCENT, work: Wo
 
     rows = "_token bigint, _id bigint, _n int, _pos int, _parity bigint"
     shapes = work.save(chosen.select("_id", "_n", "_ranges"), "shapes")
-    posted = _shuffled(chosen.select("_id", "_n", "_parity", "_prefix").mapInArrow(postings, rows), "_token")
+    posted = _shuffled(chosen.select("_id", "_n", "_parity", "_first", "_prefix").mapInArrow(postings, rows), "_token")
     met = work.save(
         posted.mapInArrow(_with_pivots, f"{rows}, _pid bigint, _pn int, _ppos int, _pparity bigint"), "met"
     )
@@ -372,31 +459,51 @@ def link_documents(docs: DataFrame, k: int = K, percent: int = PERCENT, work: Wo
     work.drop("sets1")
     labels = smallest_reachable(links, work, "labels1")
 
-    apart = (
-        met.select("_token", "_id", "_n", "_pos", "_parity")
-        .join(labels.select(F.col("id").alias("_id"), "label"), "_id", "left")
-        .withColumn("_label", F.coalesce("label", "_id")).drop("label")
-    )
-    several = (
-        apart.groupBy("_token")
-        .agg(F.min("_label").alias("_l0"), F.max("_label").alias("_l1"), F.ceil(F.count(F.lit(1)) / TILE).cast("int").alias("_blocks"))
-        .filter("_l0 <> _l1").select("_token", "_blocks")
-    )
+    def labelled(members: DataFrame) -> DataFrame:
+        """Members of the groups that still have several labels, with their own and their group's smallest label."""
+        own = (
+            members.select("_token", "_id", "_n", "_pos", "_parity")
+            .join(labels.select(F.col("id").alias("_id"), "label"), "_id", "left")
+            .withColumn("_label", F.coalesce("label", "_id")).drop("label")
+        )
+        several = own.groupBy("_token").agg(F.min("_label").alias("_l0"), F.max("_label").alias("_l1"), F.count(F.lit(1)).alias("_members"))
+        return own.join(several.filter("_l0 <> _l1").drop("_l1"), "_token")
+
+    def relabelled(more: DataFrame, name: str) -> DataFrame:
+        known = labels.filter("id <> label").select(F.col("id").alias("a"), F.col("label").alias("b"))
+        return smallest_reachable(known.unionByName(more), work, name)
+
+    apart = work.save(labelled(met), "apart0")
+    work.drop("met")
+    # members outside the group's first component are the next pivots of all that are not joined with them
+    seen = F.struct(*[F.col(c).alias(f"_p{c[1:]}") for c in ("_id", "_n", "_pos", "_parity", "_label")])
+    drawn = F.array(*[F.min_by(seen, F.struct(F.xxhash64(F.lit(k), "_id"), F.col("_id"))) for k in range(1, PIVOTS + 1)])
+    outside = apart.filter("_label <> _l0").groupBy("_token").agg(F.array_distinct(drawn).alias("_p"))
+    pivots = outside.select("_token", F.explode("_p").alias("_p")).select("_token", "_p.*")
+    tried = apart.join(pivots, "_token").filter((F.col("_label") != F.col("_plabel")) & _may_link_natively(percent))
+    pairs = tried.select(F.least("_id", "_pid").alias("a"), F.greatest("_id", "_pid").alias("b")).distinct()
+    close = work.save(_close(pairs, shapes, percent), "pairs_more")
+    found = work.save(_verified(close, sets_for(close, "sets_more"), percent), "links_more")
+    work.drop("sets_more")
+    if not found.isEmpty():
+        labels = relabelled(found, "labels_more")
+        apart = work.save(labelled(apart), "apart1")
+        work.drop("apart0")
+
     tiles = (
-        apart.join(several, "_token")
+        apart.withColumn("_blocks", F.ceil(F.col("_members") / TILE).cast("int"))
         .withColumn("_block", F.pmod(F.xxhash64("_id"), F.col("_blocks")).cast("int"))
+        .join(shapes.select("_id", "_ranges"), "_id")
         .withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
         .withColumn("_same", (F.col("_block") == F.col("_other")).cast("int"))
         .withColumn("_tile", F.xxhash64("_token", F.least("_block", "_other"), F.greatest("_block", "_other")))
-        .select("_tile", "_id", "_n", "_pos", "_parity", "_label", "_block", "_same")
+        .select("_tile", "_id", "_n", "_pos", "_parity", "_label", "_block", "_same", "_ranges")
     )
-    apart_pairs = _shuffled(tiles, "_tile").mapInArrow(_tile_pairs(percent), "a bigint, b bigint").distinct()
-    second = work.save(_close(apart_pairs, shapes, percent), "pairs2")
-    work.drop("met", "shapes")
+    second = work.save(_shuffled(tiles, "_tile").mapInArrow(_tile_pairs(percent), "a bigint, b bigint").distinct(), "pairs2")
+    work.drop("shapes")
     links2 = work.save(_verified(second, sets_for(second, "sets2"), percent), "links2")
     work.drop("sets2")
-    known = labels.filter("id <> label").select(F.col("id").alias("a"), F.col("label").alias("b"))
-    final = smallest_reachable(known.unionByName(links2), work, "labels2")
+    final = relabelled(links2, "labels2")
     # a class takes the smallest id of its component; its members follow it
     follow = named.join(final.select(F.col("id").alias("_class"), "label"), "_class", "left")
     return follow.select(
