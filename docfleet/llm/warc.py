@@ -9,7 +9,8 @@ The work is done record by record where the response is read; nothing is shuffle
 
 Defined results: a null block or URI is empty. A block without an HTTP head is taken as the body, with
 status 0. A body that cannot be unpacked or decoded is read as far as it goes, with replacement
-characters. Responses that are repeated give repeated records. Rows of another type are left out. Other
+characters; gzip of several members, zlib and whole raw deflate are unpacked, repeatedly where headers say so. A
+charset may stand anywhere in the head. Pages are scanned once, so broken ones take no longer. Responses that are repeated give repeated records. Rows of another type are left out. Other
 columns take no part and may have any name. An empty table gives an empty result.
 """
 
@@ -31,17 +32,18 @@ RECORD = (
     "block_digest string, payload_digest string, block binary"
 )
 _FIELDS = [x.split()[0] for x in RECORD.split(", ")]
-_SKIP = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template)\b[^>]*>.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9]*)\b(?:\"[^\"]*\"|'[^']*'|[^>\"'])*>|<[!?/][^>]*>",
-    re.S | re.I,
-)
+_TAG = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9]*)\b")
+_TO_END = re.compile(r"(?:[^>\"']+|\"[^\"]*\"|'[^']*')*+>")
+#: Elements whose content is no text, and how they end.
+_HIDDEN = {name: re.compile(rf"</{name}\s*>", re.I) for name in ("script", "style", "noscript", "template")}
 #: Elements that end a line of text (fixed list of HTML block elements).
 BLOCKS = frozenset((
     "address article aside blockquote body br dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
     "head header hr html li main nav ol option p pre section select summary table tbody td tfoot th thead title tr ul"
 ).split())
-_CHARSET = re.compile(rb"<meta[^>]+charset\s*=\s*[\"']?\s*([A-Za-z0-9_.:-]+)", re.I)
-_TITLE = re.compile(r"<title\b[^>]*>(.*?)</title", re.S | re.I)
+_META, _HEAD_END = re.compile(rb"<meta[\s/]", re.I), re.compile(rb"</head|<body[\s>/]", re.I)
+_CHARSET = re.compile(rb"charset\s*=\s*[\"']?\s*([A-Za-z0-9_.:-]+)", re.I)
+_TITLE, _TITLE_END = re.compile(r"<title\b", re.I), re.compile(r"</title", re.I)
 
 
 def digest(data: bytes) -> str:
@@ -80,20 +82,55 @@ def _unchunked(body: bytes) -> bytes:
     return b"".join(out) if out else body
 
 
+def _unpacked(body: bytes) -> bytes:
+    """What can be read of a gzip, zlib or raw deflate body, member after member; the body itself if nothing can."""
+    out = []
+    while body:
+        for window in (47, -15) if not out else (47,):
+            reader, read = zlib.decompressobj(window), []
+            try:
+                for at in range(0, len(body), 1 << 16):
+                    read.append(reader.decompress(body[at : at + (1 << 16)]))
+                    if reader.eof:
+                        break
+                read.append(reader.flush())
+            except zlib.error:
+                pass
+            if window < 0 and not reader.eof:
+                read = []  # anything may look like the start of raw deflate
+            if any(read) or reader.eof:
+                break
+        if not any(read) and not reader.eof:
+            break
+        out += read
+        if not reader.eof:
+            break
+        body = (reader.unused_data + body[at + (1 << 16) :]).lstrip(b"\0")
+    return b"".join(out) if out else body
+
+
+def _declared(body: bytes) -> str | None:
+    """Charset of the first meta element in the head that names one."""
+    end = _HEAD_END.search(body)
+    head, at = body[: end.start()] if end else body, 0
+    while m := _META.search(head, at):
+        at = head.find(b">", m.end())
+        found = _CHARSET.search(head, m.end(), at if at >= 0 else len(head))
+        if found or at < 0:
+            return found[1].decode() if found else None
+    return None
+
+
 def decoded(headers: list[tuple[str, str]], body: bytes) -> tuple[str, str]:
     """Text of the body and the charset used."""
     known = {n.lower(): v for n, v in headers}
     if "chunked" in known.get("transfer-encoding", "").lower():
         body = _unchunked(body)
-    packing = known.get("content-encoding", "").lower()
-    if packing in ("gzip", "x-gzip", "deflate"):
-        try:
-            body = zlib.decompressobj(47).decompress(body)
-        except zlib.error:
-            pass
+    for packing in reversed(known.get("content-encoding", "").lower().split(",")):
+        if packing.strip() in ("gzip", "x-gzip", "deflate"):
+            body = _unpacked(body)
     named = re.search(r"charset\s*=\s*[\"']?([\w.:-]+)", known.get("content-type", ""), re.I)
-    meta = _CHARSET.search(body[:4096])
-    charset = named[1] if named else meta[1].decode() if meta else "utf-8"
+    charset = named[1] if named else _declared(body) or "utf-8"
     try:
         return body.decode(charset, "replace"), charset.lower()
     except LookupError:
@@ -101,13 +138,49 @@ def decoded(headers: list[tuple[str, str]], body: bytes) -> tuple[str, str]:
 
 
 def plain_text(page: str) -> str:
-    """Text of an HTML page, a line per block element, without scripts, styles and comments."""
+    """Text of an HTML page, a line per block element, without scripts, styles and comments.
+
+    One pass from the left. A tag ends at the first ``>`` outside quotes; once a quote has turned out to have no end,
+    at the first ``>`` of all. What has no ``>`` after it is text.
+    """
+    out, at, quotes = [], 0, True
+    while (start := page.find("<", at)) >= 0:
+        out.append(page[at:start])
+        if page.startswith("<!--", start):
+            end = page.find("-->", start + 4)
+            at = end + 3 if end >= 0 else len(page)
+            continue
+        tag = _TAG.match(page, start)
+        if not tag and page[start + 1 : start + 2] not in ("!", "?", "/"):
+            out.append("<")
+            at = start + 1
+            continue
+        end = page.find(">", start)
+        if end < 0:
+            at = start
+            break
+        name = tag[2].lower() if tag else ""
+        if name in _HIDDEN and not tag[1]:
+            closed = _HIDDEN[name].search(page, end + 1)
+            at = closed.end() if closed else len(page)
+            continue
+        if tag and quotes:
+            whole = _TO_END.match(page, tag.end())
+            quotes = whole is not None
+            end = whole.end() - 1 if whole else end
+        if name in BLOCKS:
+            out.append("\n")
+        at = end + 1
+    out.append(page[at:])
+    lines = html.unescape("".join(out)).replace("\xa0", " ").split("\n")
+    return "\n".join(t for line in lines if (t := " ".join(line.split())))
 
-    def mark(m: re.Match) -> str:
-        return "\n" if m[3] and m[3].lower() in BLOCKS else ""
 
-    lines = html.unescape(_SKIP.sub(mark, page)).replace("\xa0", " ").split("\n")
-    return "\n".join(t for line in lines if (t := " ".join(line.split())))
+def title_of(page: str) -> str:
+    opened = _TITLE.search(page)
+    begin = page.find(">", opened.end()) if opened else -1
+    closed = _TITLE_END.search(page, begin) if begin >= 0 else None
+    return plain_text(page[begin + 1 : closed.start()]) if closed else ""
 
 
 def _field(value: str) -> str:
@@ -120,13 +193,13 @@ def derive_one(record_id: str, uri: str, date: str, block: bytes, block_digest:
     kind = next((v for n, v in headers if n.lower() == "content-type"), "")
     is_html = "html" in kind.lower() or not kind and page.lstrip()[:1] == "<"
     text = plain_text(page) if is_html else page
-    title = _TITLE.search(page) if is_html else None
+    title = title_of(page) if is_html else ""
     of_block, of_payload = block_digest or digest(block), payload_digest or digest(body)
     converted, described = derived_id(record_id, "conversion"), derived_id(record_id, "metadata")
     fields = [
         ("source-record-id", record_id), ("source-block-digest", of_block), ("source-payload-digest", of_payload),
         ("http-status", str(status)), *((f"http-header-{n.lower()}", v) for n, v in headers),
-        ("charset-detected", charset), ("title", plain_text(title[1]) if title else ""), ("conversion-record-id", converted),
+        ("charset-detected", charset), ("title", title), ("conversion-record-id", converted),
     ]
     about = "".join(f"{n}: {_field(v)}\r\n" for n, v in fields).encode("utf-8", "replace")
     body_text = text.encode("utf-8", "replace")
