@@ -17,7 +17,9 @@ occurs, in any document and with any separators, and ``inverse=True`` with the k
 The network alternates x += F(y) mod A and y += F(x) mod B over the two parts of a value; F is
 SHA-256 of key, kind, round and the other part. IBANs are looked for first, at every place where one may
 begin; what fails as an IBAN is searched for the other kinds. Country codes are those of E.164, whatever
-the separators; numbers of plans with a fixed length end there. Numbers that fail validation stay as they are, and so
+the separators; numbers of plans with a fixed length end there. Digits may be grouped by plain,
+no-break, thin and narrow no-break spaces. Not looked for: numbers with 00 for the plus, dates with the year
+first and slashes, cards grouped by dots, IBANs with hyphens or small letters. Numbers that fail validation stay as they are, and so
 does everything around a match. Defined results: a null text stays null and has 0 matches, other rows
 pass through with all their columns (a column ``n_found`` is replaced). Every row is treated on its
 own, so repeated rows and ids make no difference. Separators and the widths of date fields are kept
@@ -32,6 +34,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, functions as F
 
 ROUNDS = 10
+#: Blanks that group digits: the plain one, and no-break, thin and narrow no-break spaces.
+GAP = " \u00a0\u2009\u202f"
 DAYS = (189, 773)  # 400 years have 146,097 = 189 * 773 days
 #: Lengths of the IBAN registry, and of countries that use IBANs without being in it.
 IBAN_LENGTHS = {
@@ -45,10 +49,10 @@ IBAN_LENGTHS = {
 def _iban_pattern() -> str:
     known = "|".join(IBAN_LENGTHS.values()).replace(" ", "|")
     lengths = [
-        f"(?:{codes.replace(' ', '|')})[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{{n // 4 - 1}}}" + (f" ?[A-Z0-9]{{{n % 4}}}" if n % 4 else "")
+        f"(?:{codes.replace(' ', '|')})[0-9]{{2}}(?:[{GAP}]?[A-Z0-9]{{4}}){{{n // 4 - 1}}}" + (f"[{GAP}]?[A-Z0-9]{{{n % 4}}}" if n % 4 else "")
         for n, codes in IBAN_LENGTHS.items()
     ]
-    other = rf"(?!{known})[A-Z]{{2}}[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{2,7}}(?: ?[A-Z0-9]{{1,3}})?"
+    other = rf"(?!{known})[A-Z]{{2}}[0-9]{{2}}(?:[{GAP}]?[A-Z0-9]{{4}}){{2,7}}(?:[{GAP}]?[A-Z0-9]{{1,3}})?"
     # not in the local part of an e-mail address
     return rf"(?:{'|'.join([*lengths, other])})(?![A-Za-z0-9]|[A-Za-z0-9._%+-]{{0,64}}@)"
 
@@ -57,8 +61,9 @@ def _iban_pattern() -> str:
 CALLING = r"(?:1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[0-9]{3})"
 #: Digits after the calling code, in plans where all numbers have as many.
 PLANS = {"1|7|30|91": 10, "31|33|34|41|48|61|351|420": 9, "45|47": 8}
-_DIGIT = r"(?:[ .-]?\(?[0-9]\)?)"
-_TRUNK = r"(?:[ .-]?\(0\))?"
+_MARK, _BETWEEN = f"[{GAP}.-]", f"[{GAP}-]"
+_DIGIT = rf"(?:{_MARK}?\(?[0-9]\)?)"
+_TRUNK = rf"(?:{_MARK}?\(0\))?"
 IBAN = _iban_pattern()
 IBAN_STARTS = rf"(?<![A-Za-z0-9])(?={IBAN})"
 PATTERN = "|".join([
@@ -68,9 +73,9 @@ PATTERN = "|".join([
     r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
     *(rf"(?<![0-9+])\+(?:{codes}){_TRUNK}{_DIGIT}{{{n}}}(?![0-9])" for codes, n in PLANS.items()),
     rf"(?<![0-9+])\+{CALLING}{_TRUNK}{_DIGIT}{{5,14}}(?![0-9])",
-    r"(?<![0-9+])(?:1[ .-]?)?\([0-9]{2,4}\)[ .-]?[0-9]{3}[ .-]?[0-9]{4}(?![0-9])",
-    r"(?<![0-9+.-])(?:1[ .-])?[0-9]{3}([ .-])[0-9]{3}\2[0-9]{4}(?![0-9]|[.-][0-9])",
-    r"(?<![0-9.-])(?:[0-9]{13,19}|[0-9]{4}([ -])[0-9]{4}\3[0-9]{4}\3[0-9]{1,7}|[0-9]{4}([ -])[0-9]{6}\4[0-9]{5})(?![0-9])",
+    rf"(?<![0-9+])(?:1{_MARK}?)?\([0-9]{{2,4}}\){_MARK}?[0-9]{{3}}{_MARK}?[0-9]{{4}}(?![0-9])",
+    rf"(?<![0-9+.-])(?:1{_MARK})?[0-9]{{3}}({_MARK})[0-9]{{3}}\2[0-9]{{4}}(?![0-9]|[.-][0-9])",
+    rf"(?<![0-9.-])(?:[0-9]{{13,19}}|[0-9]{{4}}({_BETWEEN})[0-9]{{4}}\3[0-9]{{4}}\3[0-9]{{1,7}}|[0-9]{{4}}({_BETWEEN})[0-9]{{6}}\4[0-9]{{5}})(?![0-9])",
 ])
 
 
@@ -154,7 +159,7 @@ def _mod97(s: Column) -> Column:
 
 
 def _iban(m: Column, key: str, inverse: bool) -> Column:
-    plain = F.replace(m, F.lit(" "), F.lit(""))
+    plain = F.regexp_replace(m, f"[{GAP}]", "")
 
     def new(p: Column) -> Column:
         country, account = F.substr(p, F.lit(1), F.lit(2)), F.substr(p, F.lit(5))
@@ -166,7 +171,7 @@ def _iban(m: Column, key: str, inverse: bool) -> Column:
 
 
 def _is_iban(m: Column) -> Column:
-    return _with(F.replace(m, F.lit(" "), F.lit("")), lambda p: _mod97(F.concat(F.substr(p, F.lit(5)), F.substr(p, F.lit(1), F.lit(4)))) == 1)
+    return _with(F.regexp_replace(m, f"[{GAP}]", ""), lambda p: _mod97(F.concat(F.substr(p, F.lit(5)), F.substr(p, F.lit(1), F.lit(4)))) == 1)
 
 
 def _around_ibans(text: Column) -> Column:
@@ -203,7 +208,7 @@ def _ssn(m: Column, key: str, inverse: bool) -> Column:
 
 
 def _phone(m: Column, key: str, inverse: bool) -> Column:
-    code = F.regexp_extract(m, rf"^(?:\+{CALLING}(?:[ .-]?\(0\))?|1[ .-]?(?=\()|1[ .-])", 0)
+    code = F.regexp_extract(m, rf"^(?:\+{CALLING}{_TRUNK}|1{_MARK}?(?=\()|1{_MARK})", 0)
     rest = F.substr(m, F.length(code) + 1)
 
     def new(d: Column) -> Column:
@@ -290,7 +295,7 @@ def pseudonym(m: Column, key: str, inverse: bool = False) -> Column:
         .when(m.rlike(r"^[0-9]{1,3}(\.[0-9]{1,3}){3}$"), _ip(m, key, inverse))
         .when(m.rlike(r"^([0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{1,2}([./])[0-9]{1,2}\2[0-9]{4})$"), _date(m, key, inverse))
         .when(m.rlike("^[0-9]{3}-[0-9]{2}-[0-9]{4}$"), _ssn(m, key, inverse))
-        .when(m.rlike(r"^[+(]|^1[ .-]?\(|^(?:1[ .-])?[0-9]{3}([ .-])[0-9]{3}\1[0-9]{4}$"), _phone(m, key, inverse))
+        .when(m.rlike(rf"^[+(]|^1{_MARK}?\(|^(?:1{_MARK})?[0-9]{{3}}({_MARK})[0-9]{{3}}\1[0-9]{{4}}$"), _phone(m, key, inverse))
         .otherwise(_card(m, key, inverse))
     )
 
