@@ -103,6 +103,69 @@ def test_jaccard_join(spark, documents, none, monkeypatch):
     assert jaccard_join.link_documents(none).count() == 0
 
 
+def families_that_share_shingles(n):
+    """Texts with common passages and own parts, hardly any of which link, and chains that do."""
+    rng = np.random.default_rng(7)
+    passages = [[f"p{k}w{j}" for j in range(24)] for k in range(8)]
+    out = []
+    for i in range(n):
+        own = [f"own{i}w{j}" for j in range(12)]
+        picked = [w for k in sorted(rng.choice(8, 4, replace=False)) for w in passages[k]]
+        out.append(picked[:60] + own if i % 3 else picked)
+    out += [[f"c{k + j}" for j in range(60)] for k in range(0, 60, 3)]  # a chain of sliding windows
+    return [(i, " ".join(w)) for i, w in enumerate(out)]
+
+
+def brute_components(rows):
+    sets = {i: shingles(t) for i, t in rows}
+    root = {i: i for i in sets}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in sets:
+        for j in range(i):
+            k = len(sets[i] & sets[j])
+            if k and 100 * k >= 80 * (len(sets[i]) + len(sets[j]) - k):
+                a, b = sorted((find(i), find(j)))
+                root[b] = a
+    return {i: find(i) for i in sets}
+
+
+@pytest.mark.parametrize("pivots, cells, bits", [(3, 1 << 24, 1 << 27), (1, 1 << 10, 64)])
+def test_jaccard_join_of_families_that_share_shingles(spark, monkeypatch, pivots, cells, bits):
+    """Neither crowded cells, a full table of candidates nor few pivots change a result."""
+    monkeypatch.setattr(jaccard_join, "PIVOTS", pivots)
+    monkeypatch.setattr(jaccard_join, "CELLS", cells)
+    monkeypatch.setattr(jaccard_join, "FILTER_BITS", bits)
+    monkeypatch.setattr(jaccard_join, "TILE", 16)
+    monkeypatch.setattr(jaccard_join, "RUN_KEYS", 500)
+    rows = families_that_share_shingles(120)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r.component_id for r in jaccard_join.link_documents(docs).collect()}
+    want = brute_components(rows)
+    assert got == want and len(set(want.values())) > 60 and len({want[i] for i in range(120, 140)}) == 1
+
+
+def test_shingle_classes_are_exact(spark, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "RUN_KEYS", 40)
+    texts = [" ".join(f"w{j}" for j in range(i, i + 9)) for i in (0, 0, 0, 1, 1, 20)] + ["z y", "z y", "q", "", None]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string").repartition(4)
+    cells = jaccard_join.shingle_classes(docs)
+    counts = defaultdict(int)
+    for s in jaccard_join.shingle_sets(texts, 5, jaccard_join.WordHash()):
+        for h in s.tolist():
+            counts[h] += 1
+    want = defaultdict(int)
+    for h, n in counts.items():
+        cell = h >> (64 - 24)
+        want[cell] = max(want[cell], int(np.ceil(np.log2(n))))
+    assert {int(c): int(cells[c]) for c in np.flatnonzero(cells)} == {c: n for c, n in want.items() if n}
+    assert not jaccard_join.shingle_classes(docs.limit(0)).any()
+
+
 def test_jaccard_join_on_odd_rows(odd):
     got = {(r.doc_id, r.text_hash): (r.n_shingles, r.component_id) for r in jaccard_join.link_documents(odd).collect()}
     by_id = {k[0]: v for k, v in got.items() if k[0] is not None}
@@ -163,6 +226,41 @@ def test_substring_dedup_of_frequent_grams(spark, documents):
         assert [r.n_removed for r in substring_dedup.remove_repeats(same.repartition(parts), hold=hold).collect()] == [25] * 4
 
 
+def test_positions_follow_the_integrated_schedules(documents):
+    """Along a source's demand axis its turns stand end to end; numeric integration of the rate leads back to it."""
+    placed = defaultdict(list)
+    sources = sorted({r.source for r in documents.select("source").distinct().collect()})
+    for r in curriculum.plan_mix(documents).collect():
+        placed[r.source] += [(p, k, r) for k, p in enumerate(r._positions)]
+    times = np.linspace(0, 1, 200_001)
+    for source, turns in placed.items():
+        knots = curriculum.SCHEDULES[sources.index(source) % 3]
+        rate = np.interp(times, *zip(*knots))
+        done = np.concatenate([[0], np.cumsum((rate[1:] + rate[:-1]) / 2)]) / len(rate[1:])
+        start = 0
+        for position, turn, r in sorted(turns, key=lambda t: (t[1], t[0])):
+            if turn and start < r.source_size:
+                start = r.source_size
+            expected = np.interp((start + r.size / 2) / r.target * done[-1], done, times)
+            assert position == pytest.approx(expected, abs=1e-4), (source, turn)
+            start += r.size
+
+
+def test_word_ids_with_a_small_memory(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(packing.WordIds, "most", 7)
+    monkeypatch.setattr(packing, "TOGETHER", 3)
+    ids_of = packing.WordIds(tokenizer_path())
+    texts = [
+        "a<|endoftext|>. <|ENDOFTEXT|> Xa<|EndOfText|>B. <|startoftext", None, "", "  ", "İ. É. É. x×. a÷, q». (c), don't. it's! 'sunny 3.5, 1,000. ... a.b. ?x? .́ ß!",
+        "one\x0btwo\x1cthree\xa0four five.", "ﬁ ½ ² x'S I'm K µ.µ \x7f. zz) zz\"", A, "word " * 50, "é." * 40,
+    ] * 2
+    ids, bounds = ids_of(pa.array(texts, pa.string()), 0)
+    for i, text in enumerate(texts):
+        assert ids[bounds[i] : bounds[i + 1]].tolist() == [*ids_of.tokenizer.encode(text or "", add_special_tokens=False).ids, 0], text
+
+
 def test_packing(spark, documents, odd, none, monkeypatch):
     from tokenizers import Tokenizer
 
@@ -323,6 +421,67 @@ def test_warc(spark, tmp_path):
     gz = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=latin-1\r\nContent-Encoding: gzip\r\n\r\n" + __import__("gzip").compress("<p>é</p>".encode("latin-1"))
     assert warc.derive_one("r", "u", "d", gz, None, None)[1][-1] == "é".encode()
     assert warc.derivatives(sources.limit(0)).count() == 0
+    odd = sources.limit(1).withColumn("block", F.encode(F.concat(F.lit("<p>"), F.repeat(F.lit("<a "), 100_000)), "utf-8")).withColumn("title", F.lit(1))
+    assert [len(bytes(r.block)) > 290_000 for r in warc.derivatives(odd).filter("warc_type = 'conversion'").collect()] == [True]
+
+
+def old_plain_text(page):
+    """The rules of plain_text as one pattern; slow on broken pages."""
+    pattern = re.compile(
+        r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template)\b[^>]*>.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9]*)\b(?:\"[^\"]*\"|'[^']*'|[^>\"'])*>|<[!?/][^>]*>",
+        re.S | re.I,
+    )
+    text = warc.html.unescape(pattern.sub(lambda m: "\n" if m[3] and m[3].lower() in warc.BLOCKS else "", page)).replace("\xa0", " ")
+    return "\n".join(t for line in text.split("\n") if (t := " ".join(line.split())))
+
+
+def test_plain_text_by_brute_force(spark):
+    pages = [r.html or "" for r in spark.read.parquet(f"{SMALL}/pages.parquet").collect()]
+    rng = np.random.default_rng(2)
+    parts = ["<p>", "</p>", "<a href='x>y'>", "<br/>", "<!-- c -->", "<script>1<2</script>", "<scripty>", "text ", "&amp;", "< ", "<1>", "</", "<!x>", "<?y?>", "<td title=\"a>b\">", "é\n"]
+    pages += ["".join(rng.choice(parts, 30)) + "</p>" for _ in range(300)]
+    for page in pages:
+        assert warc.plain_text(page) == old_plain_text(page), page
+
+
+def test_broken_pages_take_linear_time():
+    import time
+
+    started = time.time()
+    for part in ("<a ", "<title>", "<title", "<a \"", "<a '\"", "<meta ", "<!--", "<script>", "<script", "<"):
+        page = part * 200_000
+        warc.plain_text(page), warc.title_of(page), warc.decoded([], page.encode())
+    assert time.time() - started < 20
+
+
+def test_bodies_are_unpacked_as_far_as_they_go():
+    import gzip
+    import zlib
+
+    text = b"some words " * 40_000
+    raw = zlib.compressobj(9, zlib.DEFLATED, -15)
+    raw = raw.compress(text) + raw.flush()
+    packed = gzip.compress(text)
+    body = lambda data, how: warc.decoded([("Content-Encoding", how)], data)[0].encode()
+    assert body(packed + packed, "gzip") == text + text and body(raw, "deflate") == text and body(zlib.compress(text), "deflate") == text
+    assert body(gzip.compress(packed), "gzip, gzip") == text and body(b"not packed", "gzip") == b"not packed" and body(b"", "gzip") == b""
+    noise = np.random.default_rng(0).integers(97, 122, 600_000, dtype=np.uint8).tobytes()
+    cut = gzip.compress(noise)[:200_000]
+    assert noise.startswith(body(cut, "gzip")) and len(body(cut, "gzip")) > 200_000
+    late = b"<head>" + b"<!-- x -->" * 1_000 + b"<meta name=a><meta charset='latin-1'></head>\xe9"
+    assert warc.decoded([], late) == (late.decode("latin-1"), "latin-1")
+    assert warc.decoded([], b"<head></head><body><meta charset=latin-1>\xc3\xa9")[1] == "utf-8"
+
+
+def test_numbers_grouped_by_no_break_spaces(spark):
+    texts = [f"Card 4111{b}1111{b}1111{b}1111, IBAN DE89{b}3704{b}0044{b}0532{b}0130{b}00, call +49{b}30{b}123456{b}78 or (415){b}555-2671." for b in " \u00a0\u2009\u202f"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    out = [r for r in pii.pseudonymise(docs, "k").orderBy("doc_id").collect()]
+    assert {r.n_found for r in out} == {4}
+    plain = [re.sub("[\u00a0\u2009\u202f]", " ", r.text) for r in out]
+    assert len(set(plain)) == 1 and [re.sub(r"[0-9A-Z]", "", r.text) for r in out] == [re.sub(r"[0-9A-Z]", "", t) for t in texts]
+    back = pii.pseudonymise(spark.createDataFrame([(r.doc_id, r.text) for r in out], "doc_id long, text string"), "k", inverse=True)
+    assert [r.text for r in back.orderBy("doc_id").collect()] == texts
 
 
 def test_reply_trees(spark):
@@ -335,7 +494,7 @@ def test_reply_trees(spark):
     paths = defaultdict(list)
     for r in every:
         paths[r.tree_id, r.leaf_id].append((r.depth, r.node_id))
-    assert {k: [n for _, n in sorted(v)] for k, v in paths.items()} == {(1, 4): [1, 2, 4], (1, 5): [1, 3, 5], (3, 7): [7], (4, 69): list(range(70))}
+    assert {k: [n for _, n in sorted(v)] for k, v in paths.items()} == {(1, 4): [1, 2, 4], (1, 5): [1, 3, 5], (3, 7): [7], (4, 69): list(range(70)), (None, 1): [1]}
     best = {r.tree_id: r for r in chat_trees.format_branches(chat_trees.branches(messages)).collect()}
     assert chat_trees.parse(best[1].formatted) == [("user", "hi"), ("assistant", "<|im_end|>\\<\\|x"), ("user", "c")]
     assert chat_trees.parse(best[4].formatted) == [("assistant" if i % 2 else "us\ner\\n", f"t{i}") for i in range(70)]
@@ -343,6 +502,16 @@ def test_reply_trees(spark):
     assert chat_trees.branches(messages.limit(0)).count() == 0
 
 
+def test_threads_keep_conversations_without_id(spark):
+    rows = [(1, 1, "assistant", "b", 5), (1, 0, "user", "a", 5), (None, 2, "assistant", "y", 5), (None, 0, "user", "x", 5), (None, 1, None, None, 5), (2, None, "user", "", 5)]
+    talk = spark.createDataFrame(rows, "conv_id long, turn int, role string, text string, tree_id int")
+    work = Work(spark, "threads")
+    formatted = chat_trees.format_branches(chat_trees.branches(chat_trees.threads(talk, work), work=work)).collect()
+    got = {r.tree_id: chat_trees.parse(r.formatted) for r in formatted}
+    assert got == {1: [("user", "a"), ("assistant", "b")], None: [("user", "x"), ("", ""), ("assistant", "y")], 2: [("user", "")]}
+    assert chat_trees.threads(talk.limit(0), work).count() == 0
+
+
 def test_capitals_rate_is_the_same_at_every_length():
     rate = lambda text: toxicity.features(text, {})[toxicity.FEATURES.index("capitals")]
     line = "SHOUT at 12 people, 345 times! "
