@@ -18,6 +18,7 @@ def build_session(app_name: str = "docfleet", cpus: str = "*", **conf: str) -> S
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.ui.enabled", "false")
+        .config("spark.sql.python.filterPushdown.enabled", "true")
     )
     for key, value in conf.items():
         builder = builder.config(key, value)

@@ -5,6 +5,8 @@ from pyspark.sql import functions as F
 from docfleet.functions import constants as K
 from docfleet.functions import markdown as M
 from docfleet.operators import documents as D
+from docfleet.operators import search as X
+from docfleet.plans.runtime import scratch_path
 from docfleet.queries import query
 
 WS = K.BLANKS
@@ -243,6 +245,27 @@ def search_content(v):
     return D.search_content(v("v_files"), "the", "/en/")
 
 
+PATTERNS = ("the", "que les", "tion. ", "é", "on", "zzzzzz", "public license")
+
+
+@query(
+    "T13",
+    f"""
+select pattern, path from v_files join (select unnest([{', '.join(f"'{p}'" for p in PATTERNS)}]) as pattern) p on contains(content, pattern)""",
+)
+def search_index(v):
+    """An index of all files is written once and asked for patterns, two of them too short for it."""
+    files = v("v_files").select("path", "content")
+    spark = files.sparkSession
+    path = scratch_path(spark, "index")
+    X.write_search_index(files, path)
+    out = None
+    for pattern in PATTERNS:
+        hits = X.search_index(spark, path, pattern).select(F.lit(pattern).alias("pattern"), "path")
+        out = hits if out is None else out.union(hits)
+    return out
+
+
 @query("T14", r"select path from v_files where regexp_matches(path, '/[^/]*1[^/]*\.[^/]$|/[^/]*1[^/]*\.md$')")
 def list_matching(v):
     return D.list_matching(v("v_files"), "*1*.md")

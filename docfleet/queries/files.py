@@ -1,5 +1,7 @@
 """Queries on file names, sizes, types and on sources and sinks."""
 
+import datetime
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -199,16 +201,38 @@ def age_hours(v):
 # ---------------------------------------------------------------- sources and sinks
 
 
-@query("S1", "select source, lang, cast(sum(octet_length(encode(text)) + 1) as bigint) as bytes from documents group by source, lang")
-def scan_files(v):
-    """The documents are written as a tree of text files; its inventory gives the bytes per folder."""
-    texts = v("documents").select("text", "source", "lang")
+def _tree(v):
+    """Every document as a file of its own, in folders by source; the inventory without the writer's marks."""
+    texts = v("documents").select("text", "source", "doc_id")
     path = scratch_path(texts.sparkSession, "tree")
-    texts.write.partitionBy("source", "lang").text(path)
+    texts.write.partitionBy("source", "doc_id").text(path)
     found = S.scan_files(texts.sparkSession, path, skip=["_SUCCESS"])
-    folder = lambda i: F.substring_index(F.get(F.split("path", "/", -1), F.lit(i)), "=", -1)
-    data = found.filter(~F.startswith(P.base_name(F.col("path")), F.lit(".")))
-    return data.groupBy(folder(0).alias("source"), folder(1).alias("lang")).agg(F.sum("size").alias("bytes"))
+    return path, found.filter(~F.startswith(P.base_name(F.col("path")), F.lit(".")))
+
+
+def _folder(i: int):
+    return F.substring_index(F.get(F.split("path", "/", -1), F.lit(i)), "=", -1)
+
+
+@query("S1", "select source, doc_id, octet_length(encode(text)) + 1 as size, true as fresh from documents")
+def scan_files(v):
+    started = F.lit(datetime.datetime.now(datetime.timezone.utc) - datetime.timedelta(seconds=2))
+    _, files = _tree(v)
+    return files.select(
+        _folder(0).alias("source"), _folder(1).cast("bigint").alias("doc_id"), "size", (F.col("mtime") >= started).alias("fresh")
+    )
+
+
+@query(
+    "S1",
+    """
+with f as (select doc_id, octet_length(encode(text)) + 1 as size, sha256(text || chr(10)) as hash from documents)
+select doc_id, size, hash from f where size in (select size from f group by size having count(*) > 1)""",
+)
+def hash_files(v):
+    """Hashes of the files whose size occurs more than once; no other file is opened."""
+    root, files = _tree(v)
+    return S.hash_files(files, root).select(_folder(1).cast("bigint").alias("doc_id"), "size", "hash")
 
 
 MEDIA = _case("ext", S._MEDIA_BY_EXTENSION, f"'{K.DEFAULT_CONTENT_TYPE}'")

@@ -5,6 +5,8 @@ from pyspark.sql import functions as F
 from docfleet.functions import constants as K
 from docfleet.operators import history as H
 from docfleet.operators import hygiene
+from docfleet.operators import snapshots as SN
+from docfleet.plans.runtime import scratch_path
 from docfleet.queries import query
 
 FMT = "yyyy-MM-dd HH:mm:ss"
@@ -164,17 +166,30 @@ SNAPSHOT = "select path, arg_max(hash, event_id) as hash from v_snapshots where
 EARLY, LATE = "ts < timestamp '2024-01-15'", "true"
 
 
-@query(
-    "J12",
-    f"""
+DIFF = f"""
 with a as ({SNAPSHOT.format(EARLY)}), b as ({SNAPSHOT.format(LATE)})
 select path, case when a.hash is null then 'added' when b.hash is null then 'removed' else 'modified' end as change
-from a full join b using (path) where a.hash is distinct from b.hash""",
-)
+from a full join b using (path) where a.hash is distinct from b.hash"""
+
+
+@query("J12", DIFF)
 def snapshot_diff(v):
-    snapshots = v("v_snapshots")
-    at = lambda when: snapshots.filter(F.expr(when)).groupBy("path").agg(F.max_by("hash", "event_id").alias("hash"))
-    return H.snapshot_diff(at(EARLY), at(LATE))
+    return H.snapshot_diff(_snapshot(v, EARLY), _snapshot(v, LATE))
+
+
+def _snapshot(v, when: str):
+    return v("v_snapshots").filter(F.expr(when)).groupBy("path").agg(F.max_by("hash", "event_id").alias("hash"))
+
+
+@query("J12", DIFF)
+def stored_snapshot_diff(v):
+    """The same from stored snapshots, by their folder digests."""
+    paths = []
+    for when in (EARLY, LATE):
+        snapshot = _snapshot(v, when)
+        paths.append(scratch_path(snapshot.sparkSession, "snapshot"))
+        SN.write_snapshot(snapshot, paths[-1])
+    return SN.stored_snapshot_diff(snapshot.sparkSession, *paths)
 
 
 @query(

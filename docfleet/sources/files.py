@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import json
 from collections.abc import Iterable, Iterator
 
 import pandas as pd
@@ -12,62 +13,24 @@ from docfleet.functions import constants as K
 from docfleet.functions.scalars import base_name, file_extension
 from docfleet.operators.documents import is_falsy
 from docfleet.plans.runtime import stored
-
-
-LISTING = "path string, is_dir boolean, size bigint, mtime_us bigint"
-
-
-def _open_root(root: str):
-    """File system and base path of a root folder; any scheme pyarrow knows, or a local path."""
-    from pyarrow import fs
-
-    return fs.FileSystem.from_uri(root if "://" in root or root.startswith("file:") else f"file://{root}")
+from docfleet.sources.tree import FileTree, open_root
 
 
 def scan_files(
-    spark: SparkSession, root: str, exclude_dirs: Iterable[str] = K.EXCLUDED_DIRS, skip: Iterable[str] = ()
+    spark: SparkSession, root: str, exclude_dirs: Iterable[str] = K.EXCLUDED_DIRS, skip: Iterable[str] = (), under: str = "", **options: int
 ) -> DataFrame:
-    """Recursive inventory: path (relative to root), size, mtime.
+    """Recursive inventory: path (relative to root), size, mtime, of paths that start with ``under``.
 
-    Spark's own file sources leave out empty files and names starting with a dot or underscore,
-    which an inventory must show, so folders are listed in tasks, one level of the tree after the
-    other. Folders with an excluded name are not entered. Names are compared one path component
-    at a time, so an excluded name that contains a slash never matches. ``root`` must be a folder
-    that the executors reach.
+    The listing (see :mod:`docfleet.sources.tree`) is one job and is stored, so all that is made of it
+    sees the same snapshot. Folders with an excluded name are not entered. Names are compared one path
+    component at a time, so an excluded name that contains a slash never matches. ``root`` must be a
+    folder that the executors reach.
     """
-    excluded, root = set(exclude_dirs), root.rstrip("/")
-
-    def list_folders(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        from pyarrow import fs
-
-        files, base = _open_root(root)
-        for batch in batches:
-            for folder in batch["path"]:
-                found = files.get_file_info(fs.FileSelector(f"{base}/{folder}".rstrip("/")))
-                yield pd.DataFrame(
-                    {
-                        "path": [f"{folder}/{i.base_name}".lstrip("/") for i in found],
-                        "is_dir": [i.type == fs.FileType.Directory for i in found],
-                        "size": [i.size or 0 for i in found],
-                        "mtime_us": [i.mtime_ns // 1000 if i.mtime_ns else 0 for i in found],
-                    }
-                )
-
-    level = spark.createDataFrame([("",)], "path string")
-    levels = []
-    while True:
-        level = stored(level.mapInPandas(list_folders, LISTING), "listing")
-        levels.append(level.filter(~F.col("is_dir")))
-        folders = level.filter(F.col("is_dir") & ~base_name(F.col("path")).isin(list(excluded))).select("path")
-        if folders.isEmpty():
-            break
-        level = folders.repartition("path")
-    out = levels[0]
-    for more in levels[1:]:
-        out = out.union(more)
-    return out.filter(~F.col("path").isin(list(skip))).select(
-        "path", "size", F.timestamp_micros("mtime_us").alias("mtime")
-    )
+    spark.dataSource.register(FileTree)
+    found = spark.read.format(FileTree.name()).options(root=root, exclude=json.dumps(sorted(exclude_dirs)), **options).load()
+    if under:
+        found = found.filter(F.startswith("path", F.lit(under)))
+    return stored(found.filter(~F.col("path").isin(list(skip))), "listing")
 
 
 def hash_files(files: DataFrame, root: str, copies_only: bool = True) -> DataFrame:
@@ -84,7 +47,7 @@ def hash_files(files: DataFrame, root: str, copies_only: bool = True) -> DataFra
     kept = wanted.columns
 
     def hash_batch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        opened, base = _open_root(root.rstrip("/"))
+        opened, base = open_root(root.rstrip("/"))
         for batch in batches:
             digests = []
             for path in batch["path"]:
