@@ -13,11 +13,12 @@ link when 100 * intersection >= percent * union.
 2. Documents with equal sets are folded to one class. A class emits its prefix, the rarest
    n - ceil(t*n) + 1 shingles, without those of one document.
 3. Prefixes meet by shingle. In a shingle's group every member is compared with one member only, the
-   pivot, so a group of near copies costs its size and not its square. Pairs pass the length filter, the
+   pivot, and a member of several groups with the smallest of its pivots, so near copies cost their
+   number and not its square. Pairs pass the length filter, the
    positional filter and the suffix filter (parity bits, then counts per hash range, bound from below
    how much the sets differ); what is left is verified once per pair on the whole sets.
-4. Groups that these links leave in several components get ``PIVOTS`` more pivots from outside the first
-   one. Members that are still apart are compared with each other, pairs of a component left out, and pass
+4. Groups that these links leave in several components are compared with their own pivot, with ``PIVOTS``
+   more from outside the first component and three times as many of any, where labels differ. Members that are still apart are compared with each other, pairs of a component left out, and pass
    all filters before a pair is written. Groups above ``TILE`` members are cut into tiles of pairs of
    blocks. No link between different components is lost, and links within one change nothing.
 5. Components of the links name each document by the smallest doc_id it can reach.
@@ -48,7 +49,8 @@ PERCENT = 80
 KEY_BITS, CELLS = 40, 1 << 24
 RUN_KEYS = 1 << 20
 RANGE_ROWS_PER_DOC = 512
-#: Further pivots of a group before its members are compared with each other.
+#: Further pivots of a group from outside its first component, and three times as many of any component,
+#: before its members are compared with each other.
 PIVOTS = 3
 BLOCK = 1 << 12
 TILE = 2048
@@ -434,10 +436,12 @@ def link_documents(docs: DataFrame, k: int = K, percent: int = PERCENT, work: Wo
                 {"n": x["_n"], "pos": x["_pos"], "parity": x["_parity"]},
                 {"n": x["_pn"], "pos": x["_ppos"], "parity": x["_pparity"]}, percent,
             ) & (x["_id"] != x["_pid"])
-            a, b = x["_id"][ok], x["_pid"][ok]
-            yield pa.RecordBatch.from_pydict({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+            yield pa.RecordBatch.from_pydict({"m": x["_id"][ok], "p": x["_pid"][ok]})
 
-    first = work.save(_close(met.mapInArrow(pivot_pairs, "a bigint, b bigint").distinct(), shapes, percent), "pairs1")
+    # each member is tried with the smallest of its pivots first; the others matter only where that leaves it apart
+    tried = met.mapInArrow(pivot_pairs, "m bigint, p bigint").groupBy("m").agg(F.min("p").alias("p"))
+    tried = tried.select(F.least("m", "p").alias("a"), F.greatest("m", "p").alias("b")).distinct()
+    first = work.save(_close(tried, shapes, percent), "pairs1")
     # whole sets of the documents in a pair, and of no others
 
     def whole_sets(batches):
@@ -475,11 +479,13 @@ def link_documents(docs: DataFrame, k: int = K, percent: int = PERCENT, work: Wo
 
     apart = work.save(labelled(met), "apart0")
     work.drop("met")
-    # members outside the group's first component are the next pivots of all that are not joined with them
+    # the group's own pivot, any members, and some outside its first component are the next pivots of all not joined with them
     seen = F.struct(*[F.col(c).alias(f"_p{c[1:]}") for c in ("_id", "_n", "_pos", "_parity", "_label")])
-    drawn = F.array(*[F.min_by(seen, F.struct(F.xxhash64(F.lit(k), "_id"), F.col("_id"))) for k in range(1, PIVOTS + 1)])
-    outside = apart.filter("_label <> _l0").groupBy("_token").agg(F.array_distinct(drawn).alias("_p"))
-    pivots = outside.select("_token", F.explode("_p").alias("_p")).select("_token", "_p.*")
+    outside = F.col("_label") != F.col("_l0")
+    by_chance = lambda k: F.struct(F.xxhash64(F.lit(k), "_id"), F.col("_id"))
+    drawn = [F.min_by(seen, F.when(outside, by_chance(k)) if k <= PIVOTS else by_chance(k)) for k in range(1, 4 * PIVOTS + 1)]
+    chosen = apart.groupBy("_token").agg(F.array_distinct(F.array(F.min_by(seen, "_id"), *drawn)).alias("_p"))
+    pivots = chosen.select("_token", F.explode("_p").alias("_p")).select("_token", "_p.*")
     tried = apart.join(pivots, "_token").filter((F.col("_label") != F.col("_plabel")) & _may_link_natively(percent))
     pairs = tried.select(F.least("_id", "_pid").alias("a"), F.greatest("_id", "_pid").alias("b")).distinct()
     close = work.save(_close(pairs, shapes, percent), "pairs_more")

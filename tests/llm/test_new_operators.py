@@ -8,7 +8,6 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from docfleet.llm import importance, line_dedup, whitening
 from docfleet.llm.queries import op11_incremental_whitening
