@@ -24,12 +24,10 @@ def scan_files(
     The listing (see :mod:`docfleet.sources.tree`) is one job and is stored, so all that is made of it
     sees the same snapshot. Folders with an excluded name are not entered. Names are compared one path
     component at a time, so an excluded name that contains a slash never matches. ``root`` must be a
-    folder that the executors reach.
+    folder that the executors reach. No session setting is needed.
     """
     spark.dataSource.register(FileTree)
-    found = spark.read.format(FileTree.name()).options(root=root, exclude=json.dumps(sorted(exclude_dirs)), **options).load()
-    if under:
-        found = found.filter(F.startswith("path", F.lit(under)))
+    found = spark.read.format(FileTree.name()).options(root=root, exclude=json.dumps(sorted(exclude_dirs)), under=under, **options).load()
     return stored(found.filter(~F.col("path").isin(list(skip))), "listing")
 
 

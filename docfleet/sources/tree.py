@@ -42,21 +42,14 @@ class Part(InputPartition):
     last: str | None = None
 
 
-class TreeReader(DataSourceReader):
+class WholeTreeReader(DataSourceReader):
+    """Reads the tree, or the paths that start with the option ``under``, in any session."""
+
     def __init__(self, options: dict):
         self.root = options["root"].rstrip("/")
         self.excluded = set(json.loads(options.get("exclude", "[]")))
         self.parts, self.names = int(options.get("parts", 64)), int(options.get("names", 100_000))
-        self.prefix, self.sizes = "", []
-
-    def pushFilters(self, filters: list[Filter]) -> Iterable[Filter]:
-        """Path prefixes and size limits spare listing and rows; Spark applies all filters again."""
-        for f in filters:
-            if isinstance(f, StringStartsWith) and f.attribute == ("path",) and len(f.value) > len(self.prefix):
-                self.prefix = f.value
-            elif type(f) in _COMPARE and f.attribute == ("size",):
-                self.sizes.append((type(f), f.value))
-            yield f
+        self.prefix, self.sizes = options.get("under", ""), []
 
     def _list(self, folder: str) -> tuple[list[str], list]:
         """Folders to enter and files of a folder, by name."""
@@ -110,9 +103,23 @@ class TreeReader(DataSourceReader):
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), ROWS.types)], schema=ROWS)
 
 
+class TreeReader(WholeTreeReader):
+    """With pushed filters. Spark refuses such a reader where ``spark.sql.python.filterPushdown.enabled`` is off."""
+
+    def pushFilters(self, filters: list[Filter]) -> Iterable[Filter]:
+        """Path prefixes and size limits spare listing and rows; Spark applies all filters again."""
+        for f in filters:
+            if isinstance(f, StringStartsWith) and f.attribute == ("path",) and f.value.startswith(self.prefix):
+                self.prefix = f.value
+            elif type(f) in _COMPARE and f.attribute == ("size",):
+                self.sizes.append((type(f), f.value))
+            yield f
+
+
 class FileTree(DataSource):
     """Options: ``root``; ``exclude``, a JSON list of folder names that are not entered; ``parts``, folders
-    to plan for; ``names``, files of one folder in a task."""
+    to plan for; ``names``, files of one folder in a task; ``under``, how all paths begin; ``pushdown``, "true"
+    to push filters too, in a session that allows it."""
 
     @classmethod
     def name(cls) -> str:
@@ -121,5 +128,5 @@ class FileTree(DataSource):
     def schema(self) -> str:
         return "path string, size bigint, mtime timestamp"
 
-    def reader(self, schema) -> TreeReader:
-        return TreeReader(self.options)
+    def reader(self, schema) -> WholeTreeReader:
+        return (TreeReader if self.options.get("pushdown") == "true" else WholeTreeReader)(self.options)

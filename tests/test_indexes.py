@@ -57,6 +57,31 @@ def test_tree_under_a_prefix(spark, tree):
     assert SF.scan_files(spark, str(root / "nothing")).count() == 0
 
 
+@pytest.fixture
+def no_pushdown(spark):
+    """A session as it comes, where Spark refuses readers that take filters."""
+    switch = "spark.sql.python.filterPushdown.enabled"
+    before = spark.conf.get(switch)
+    spark.conf.set(switch, "false")
+    yield
+    spark.conf.set(switch, before)
+
+
+def test_tree_without_filter_pushdown(spark, tree, no_pushdown):
+    root, want = tree
+    found = SF.scan_files(spark, str(root))
+    assert {r.path: r.size for r in found.collect()} == want and found.count() == len(want)
+    assert [r.path for r in SF.scan_files(spark, str(root), under="a/b3").collect()] == ["a/b3/c/d/e/x.md"]
+    assert SF.scan_files(spark, str(root), under="b3").count() == 0
+
+
+def test_filters_are_pushed_on_request(spark, tree):
+    root, want = tree
+    found = spark.read.format("docfleet_file_tree").options(root=str(root), exclude='["node_modules"]', pushdown="true").load()
+    kept = found.filter("startswith(path, 'flat/f1') and size > 2")
+    assert {r.path: r.size for r in kept.collect()} == {n: s for n, s in want.items() if n.startswith("flat/f1") and s > 2}
+
+
 TEXTS = ["the cat sat", "a cat", "ca", "", None, "tacacat 日本語 text", "日本", "the the the", "x😀y😀z", "line\nbreak\tTab"]
 
 
