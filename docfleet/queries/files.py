@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 from docfleet.functions import constants as K
 from docfleet.functions import scalars as P
 from docfleet.operators import hygiene as H
-from docfleet.plans.runtime import scratch_path
+from docfleet.plans.runtime import scratch_path, spread_out
 from docfleet.plans.views import NOW
 from docfleet.queries import query
 from docfleet.queries.hygiene import PLAN
@@ -202,25 +202,33 @@ def age_hours(v):
 
 
 def _tree(v):
-    """Every document as a file of its own, in folders by source; the inventory without the writer's marks."""
-    texts = v("documents").select("text", "source", "doc_id")
-    path = scratch_path(texts.sparkSession, "tree")
-    texts.write.partitionBy("source", "doc_id").text(path)
-    found = S.scan_files(texts.sparkSession, path, skip=["_SUCCESS"])
-    return path, found.filter(~F.startswith(P.base_name(F.col("path")), F.lit(".")))
+    """Every document as a file of its own, in folders by source; the inventory without unfinished files.
 
-
-def _folder(i: int):
-    return F.substring_index(F.get(F.split("path", "/", -1), F.lit(i)), "=", -1)
+    Rows are numbered, since several may have one doc_id. A missing text is a file without bytes, every other
+    file ends its last line. Names of more than 200 bytes go on in a folder below, marked so that none is
+    left out of the inventory by its name.
+    """
+    source = F.regexp_replace(F.concat(F.lit("source="), F.url_encode("source")), "(.{200})", "$1/_")
+    name = F.concat(F.monotonically_increasing_id(), F.lit("_"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
+    texts = v("documents").select(
+        F.concat(F.coalesce(source, F.lit("source")), F.lit("/"), name).alias("path"),
+        F.concat("text", F.lit("\n")).cast("binary").alias("content"),
+    )
+    root = scratch_path(texts.sparkSession, "tree")
+    S.write_files(spread_out(texts), root)
+    found = S.scan_files(texts.sparkSession, root)
+    folder = F.replace(F.regexp_replace("path", "/[^/]*$", ""), F.lit("/_"), F.lit(""))
+    return root, found.filter(~F.startswith(P.base_name(F.col("path")), F.lit("."))).withColumns({
+        "source": F.when(F.contains(folder, F.lit("=")), F.url_decode(F.substring_index(folder, "=", -1))),
+        "doc_id": F.nullif(F.substring_index("path", "_", -1), F.lit("")).cast("bigint"),
+    })
 
 
 @query("S1", "select source, doc_id, octet_length(encode(text)) + 1 as size, true as fresh from documents")
 def scan_files(v):
     started = F.lit(datetime.datetime.now(datetime.timezone.utc) - datetime.timedelta(seconds=2))
     _, files = _tree(v)
-    return files.select(
-        _folder(0).alias("source"), _folder(1).cast("bigint").alias("doc_id"), "size", (F.col("mtime") >= started).alias("fresh")
-    )
+    return files.select("source", "doc_id", F.nullif("size", F.lit(0)).alias("size"), (F.col("mtime") >= started).alias("fresh"))
 
 
 @query(
@@ -232,7 +240,7 @@ select doc_id, size, hash from f where size in (select size from f group by size
 def hash_files(v):
     """Hashes of the files whose size occurs more than once; no other file is opened."""
     root, files = _tree(v)
-    return S.hash_files(files, root).select(_folder(1).cast("bigint").alias("doc_id"), "size", "hash")
+    return S.hash_files(files, root).select("doc_id", "size", "hash")
 
 
 MEDIA = _case("ext", S._MEDIA_BY_EXTENSION, f"'{K.DEFAULT_CONTENT_TYPE}'")

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import hashlib
 import json
+import uuid
 from collections.abc import Iterable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from docfleet.functions import constants as K
@@ -61,6 +63,35 @@ def hash_files(files: DataFrame, root: str, copies_only: bool = True) -> DataFra
     return stored(wanted.repartition("path").mapInPandas(hash_batch, schema), "digests")
 
 
+def write_files(files: DataFrame, root: str) -> int:
+    """Write files(path, content binary) below ``root``, one file per row, and count them.
+
+    Paths must differ; a null content is a file without bytes. Tasks write the files themselves: Spark's
+    writers make a folder, a checksum and a move in the driver for each. A file gets its name when it is
+    whole, so a task that runs again replaces it; what a task that ended early leaves begins with a dot.
+    """
+    root = root.rstrip("/")
+    system, base = open_root(root)
+    system.create_dir(base)
+
+    def write_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        opened, base = open_root(root)
+        made = set()
+        for batch in batches:
+            for path, content in zip(batch["path"].to_pylist(), batch["content"].to_pylist()):
+                folder, _, name = f"{base}/{path}".rpartition("/")
+                if folder not in made:
+                    opened.create_dir(folder)
+                    made.add(folder)
+                draft = f"{folder}/.{uuid.uuid4().hex}"
+                with opened.open_output_stream(draft) as stream:
+                    stream.write(content or b"")
+                opened.move(draft, f"{folder}/{name}")
+            yield pa.RecordBatch.from_pydict({"files": [batch.num_rows]})
+
+    return files.select("path", "content").mapInArrow(write_batch, "files bigint").agg(F.sum("files")).first()[0] or 0
+
+
 def ingest_manifest(files: DataFrame, uploaded_at: Column | None = None) -> DataFrame:
     """files(path, size, mtime) -> one manifest row per file.
 
