@@ -2,8 +2,8 @@
 
 Spark's own file sources leave out empty files and names starting with a dot or underscore, which an
 inventory must show. Here the tree is planned once: folders are listed from the root until there are
-enough of them for the tasks, a folder with very many files is cut into ranges of names, and every other
-folder is walked by the task that gets it. So a scan is one job, however deep the tree is, and a flat
+enough of them for the tasks, a folder with very many files is cut into ranges of names, and the other
+folders are dealt over the tasks, which walk them. So a scan is one job, however deep the tree is, and a flat
 folder is spread over tasks too.
 """
 
@@ -34,12 +34,13 @@ def open_root(root: str):
 
 @dataclass
 class Part(InputPartition):
-    """A folder to be walked, or the files of one folder whose names lie from ``first`` up to ``last``."""
+    """Folders to be walked, or the files of one folder whose names lie from ``first`` up to ``last``."""
 
     folder: str
     walk: bool
     first: str = ""
     last: str | None = None
+    more: tuple[str, ...] = ()
 
 
 class WholeTreeReader(DataSourceReader):
@@ -77,10 +78,12 @@ class WholeTreeReader(DataSourceReader):
             cuts = [files[i].base_name for i in range(self.names, len(files), self.names)]
             if files:
                 done += [Part(folder, False, a, b) for a, b in zip(["", *cuts], [*cuts, None])]
-        return done + [Part(folder, True) for folder in open_] or [Part("", False)]
+        # one level may hold far more folders than there should be tasks
+        dealt = [open_[i :: self.parts] for i in range(min(self.parts, len(open_)))]
+        return done + [Part(folder, True, more=tuple(more)) for folder, *more in dealt] or [Part("", False)]
 
     def read(self, part: Part) -> Iterator[pa.RecordBatch]:
-        waiting, rows = [part.folder], []
+        waiting, rows = [part.folder, *part.more], []
         while waiting:
             folder = waiting.pop()
             folders, files = self._list(folder)
@@ -117,9 +120,9 @@ class TreeReader(WholeTreeReader):
 
 
 class FileTree(DataSource):
-    """Options: ``root``; ``exclude``, a JSON list of folder names that are not entered; ``parts``, folders
-    to plan for; ``names``, files of one folder in a task; ``under``, how all paths begin; ``pushdown``, "true"
-    to push filters too, in a session that allows it."""
+    """Options: ``root``; ``exclude``, a JSON list of folder names that are not entered; ``under``, how all
+    paths begin; ``parts``, folders to plan for and the most tasks that walk some; ``names``, files of one
+    folder in a task; ``pushdown``, "true" to push filters too, in a session that allows it."""
 
     @classmethod
     def name(cls) -> str:

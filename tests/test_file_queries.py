@@ -13,6 +13,7 @@ from conftest import SMALL  # noqa: E402
 from docfleet.plans.runtime import scratch_path  # noqa: E402
 from docfleet.queries import load_all  # noqa: E402
 from docfleet.sources import files as SF  # noqa: E402
+from docfleet.sources.tree import TreeReader  # noqa: E402
 
 PUSHDOWN = "spark.sql.python.filterPushdown.enabled"
 ODD = [
@@ -54,3 +55,13 @@ def test_files_written_again_stay_whole(spark):
     for _ in range(2):
         assert SF.write_files(files, root) == 3
     assert sorted((r.path, r.size) for r in SF.scan_files(spark, root).collect()) == [("a/b/c", 2), ("a/d", 0), ("e", 1)]
+
+
+def test_many_folders_of_one_level_share_tasks(spark, tmp_path):
+    names = [f"s{i}/{name}" for i in range(300) for name in ("x", "deep/y")]
+    SF.write_files(spark.createDataFrame([(n, b"1") for n in names], "path string, content binary"), str(tmp_path))
+    reader = TreeReader({"root": str(tmp_path), "parts": "8"})
+    planned = reader.partitions()
+    assert len(planned) == 8 and {1 + len(p.more) for p in planned} == {37, 38}
+    assert sorted(r["path"] for p in planned for b in reader.read(p) for r in b.to_pylist()) == sorted(names)
+    assert sorted(r.path for r in SF.scan_files(spark, str(tmp_path)).collect()) == sorted(names)
