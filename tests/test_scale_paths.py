@@ -239,6 +239,46 @@ def test_similar_names_of_any_length_and_case(spark):
         assert any(n == 0 for _, _, n in want)
 
 
+def rows_of_joins(df):
+    """The rows that the joins of a DataFrame have made, after it was collected."""
+    total, queue = 0, [df._jdf.queryExecution().executedPlan()]
+    while queue:
+        node = queue.pop()
+        kind = node.getClass().getSimpleName()
+        if kind == "AdaptiveSparkPlanExec":
+            queue.append(node.executedPlan())
+        elif kind.endswith("QueryStageExec"):
+            queue.append(node.plan())
+        if kind.endswith("JoinExec"):
+            total += node.metrics().apply("numOutputRows").value()
+        children = node.children()
+        queue += [children.apply(i) for i in range(children.size())]
+    return total
+
+
+def test_names_that_share_a_part_are_not_paired(spark):
+    """Every stem ends alike, so all of them share segments; only those that are close may meet."""
+    rng = random.Random(3)
+    stems = sorted({"".join(rng.choice("abcdefghijklmnop") for _ in range(4)) for _ in range(400)})
+    close = sum(sum(x != y for x, y in zip(a, b)) <= 2 for a, b in itertools.combinations(stems, 2))
+    got = N.similar_names(spark.createDataFrame([(f"d/{s}-report.md",) for s in stems], "path string"), 2)
+    pairs = len(got.collect())
+    assert pairs >= close > 100
+    assert rows_of_joins(got) <= 2 * pairs  # the segments alone join more than all pairs of names
+
+
+def test_similar_names_at_the_limit_of_forms(spark, monkeypatch):
+    """Some pairs are found by their forms, some by segments, some have a name on either side; holes are in a name."""
+    rng = random.Random(4)
+    stems = sorted({"".join(rng.choice("ab" + N.HOLE) for _ in range(rng.randrange(0, 9))) for _ in range(90)})
+    files = spark.createDataFrame([(f"{s}.md",) for s in stems] + [(None,)], "path string")
+    want = None
+    for most in (0, 30, 60, 10**6):
+        monkeypatch.setattr(N, "MOST_FORMS", most)
+        got = rows(N.similar_names(files, 2))
+        assert len(got) == len(set(got)) and got == (want := want or got)
+
+
 def test_labels_of_a_long_chain(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(70) if i != 40], "a bigint, b bigint")
     got = {r.id: r.label for r in N.connected_labels(edges).collect()}
