@@ -12,6 +12,7 @@ from docfleet.operators import hygiene
 from docfleet.operators import similarity as N
 from docfleet.operators import status as S
 from docfleet.plans import ordered as O
+from docfleet.plans.runtime import Folder, scratch_path
 
 
 def rows(df):
@@ -172,6 +173,24 @@ def test_near_duplicates_equal_brute_force(spark, tight, seed):
     assert {r.doc_id: r.cluster_id for r in got.collect()} == brute_clusters(docs)
 
 
+@pytest.mark.parametrize("most", [0, 2_000_000])
+def test_near_duplicates_with_copies_by_broadcast_and_by_shuffle(spark, monkeypatch, most):
+    monkeypatch.setattr(N, "BROADCAST_IDS", most)
+    texts = family(7, 30, 50, 2)
+    docs = [(len(texts) * 3 - i, t) for i, t in enumerate(texts + texts + texts[:9])] + [(500, ""), (501, None), (502, "one two")]
+    got = N.near_duplicates(spark.createDataFrame(docs, "doc_id bigint, text string"))
+    assert {r.doc_id: r.cluster_id for r in got.collect()} == brute_clusters([(i, t or "") for i, t in docs])
+
+
+def test_near_duplicates_leave_no_shingles_behind(spark):
+    """Shingles take more room than the texts: one stored copy, which goes when the clusters are known."""
+    base = Folder(spark, scratch_path(spark, "any").rsplit("/", 1)[0])
+    before = set(base.names())
+    got = N.near_duplicates(spark.createDataFrame(list(enumerate(family(8, 30, 50, 2))), "doc_id bigint, text string"))
+    left = [n for n in set(base.names()) - before if "tokens" in spark.read.parquet(f"{base.path}/{n}").columns or n.startswith("shared-")]
+    assert got.count() > 0 and left == []
+
+
 def test_residual_pairs_are_needed_and_found(spark):
     # a chain: neighbours are similar, the ends are not, and the pivot sees only its own end
     words = [f"w{i}" for i in range(60)]
