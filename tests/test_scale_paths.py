@@ -12,7 +12,7 @@ from docfleet.operators import hygiene
 from docfleet.operators import similarity as N
 from docfleet.operators import status as S
 from docfleet.plans import ordered as O
-from docfleet.plans.runtime import Folder, scratch_path
+from docfleet.plans.runtime import Folder, scratch_path, spread_out
 
 
 def rows(df):
@@ -191,6 +191,15 @@ def test_near_duplicates_leave_no_shingles_behind(spark):
     assert got.count() > 0 and left == []
 
 
+def test_counting_splits_runs_nothing(spark):
+    """The shuffles of a join were run once to count its splits and once more for the result."""
+    one = spark.range(1000).withColumn("v", F.rand(1)).hint("merge")
+    both = one.join(spark.range(1000), "id")
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup()
+    spread_out(both)
+    assert spark.sparkContext.statusTracker().getJobIdsForGroup() == jobs
+
+
 def test_residual_pairs_are_needed_and_found(spark):
     # a chain: neighbours are similar, the ends are not, and the pivot sees only its own end
     words = [f"w{i}" for i in range(60)]
