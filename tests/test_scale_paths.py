@@ -299,10 +299,11 @@ def test_similar_names_at_the_limit_of_forms(spark, monkeypatch):
     """Some pairs are found by their forms, some by segments, some have a name on either side; holes are in a name."""
     rng = random.Random(4)
     stems = sorted({"".join(rng.choice("ab" + N.HOLE) for _ in range(rng.randrange(0, 9))) for _ in range(90)})
-    files = spark.createDataFrame([(f"{s}.md",) for s in stems] + [(None,)], "path string")
+    files = spark.createDataFrame([(f"{i % 3}/{s}.md",) for i, s in enumerate(stems)] + [(None,)], "path string")
     want = None
-    for most in (0, 30, 60, 10**6):
+    for most, in_slice in ((0, 10**6), (30, 10**6), (60, 500), (10**6, 500), (10**6, 10**6)):
         monkeypatch.setattr(N, "MOST_FORMS", most)
+        monkeypatch.setattr(N, "FORMS_PER_SLICE", in_slice)
         got = rows(N.similar_names(files, 2))
         assert len(got) == len(set(got)) and got == (want := want or got)
 
